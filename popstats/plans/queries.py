@@ -172,3 +172,282 @@ WHERE rank <= 3
 def q_top_first_names_by_gender(spark, sf_dir):
     """N1 with rank semantics: every name tied within the top 3 is kept."""
     return ranking.top_names_by_gender(_people(spark, sf_dir), name="first_name", k=3, ties="all")
+
+
+# --------------------------------------------------------------------------
+# Ages, bands, shares
+# --------------------------------------------------------------------------
+
+from popstats.functions.dates import age_years as _age_years  # noqa: E402
+from popstats.operators import association, distribution, trend  # noqa: E402
+
+# months_between(DATE '2009-12-31', d) for the fixed reference day, in DuckDB
+_AGE_SQL = ("round(((2009 - year(birth_date)) * 12 + 12 - month(birth_date) + "
+            "CASE WHEN birth_date = last_day(birth_date) THEN 0 "
+            "ELSE round((31 - day(birth_date)) / 31.0, 8) END) / 12, 2)")
+_AGED_SQL = f", aged AS (SELECT *, {_AGE_SQL} AS age FROM people)"
+
+
+def _aged(spark, sf_dir):
+    return _age_years(_people(spark, sf_dir), "birth_date", as_of=AS_OF)
+
+
+@register("age_years", with_people(f"SELECT person_id, {_AGE_SQL} AS age FROM people"))
+def q_age_years(spark, sf_dir):
+    """Age in years on 2009-12-31, two decimals (NULL for a NULL date)."""
+    return _aged(spark, sf_dir).select("person_id", "age")
+
+
+_BAND_SQL = """CASE WHEN age > 0 AND age <= 18 THEN '0-18'
+     WHEN age > 18 AND age <= 28 THEN '19-28'
+     WHEN age > 28 AND age <= 38 THEN '29-38'
+     WHEN age > 38 AND age <= 48 THEN '39-48'
+     WHEN age > 48 AND age <= 59 THEN '49-59'
+     WHEN age > 59 AND age < 200 THEN '60+'
+     ELSE 'NULL' END"""
+
+
+@register("age_distribution", with_people(f"""{_AGED_SQL}
+SELECT band, total, round(total / sum(total) OVER (), 3) AS proportion FROM (
+  SELECT {_BAND_SQL} AS band, count(*) AS total FROM aged GROUP BY 1)
+"""))
+def q_age_distribution(spark, sf_dir):
+    """Rows and share per age band."""
+    return distribution.age_distribution(_aged(spark, sf_dir).select("age"))
+
+
+@register("gender_counts", with_people("SELECT gender, count(*) AS total FROM people GROUP BY gender"))
+def q_gender_counts(spark, sf_dir):
+    """Rows per gender code."""
+    return distribution.gender_counts(_people(spark, sf_dir))
+
+
+@register("gender_ratio", with_people("""
+SELECT count_if(gender = 'M') AS male, count_if(gender = 'F') AS female,
+       CAST(count_if(gender = 'M') AS DOUBLE) / nullif(count_if(gender = 'F'), 0) AS ratio
+FROM people
+"""))
+def q_gender_ratio(spark, sf_dir):
+    """Male and female counts and their ratio, one pass."""
+    return distribution.gender_ratio(_people(spark, sf_dir))
+
+
+@register("city_aging", with_people(f"""{_AGED_SQL}
+SELECT address_city, count(*) AS count,
+       round(sum(CAST(round(age * 100) AS BIGINT)) / (count(age) * 100.0), 3) AS avg_age,
+       round(count_if(age >= 60) / count(*), 3) AS gt_60,
+       round(count_if(age >= 65) / count(*), 3) AS gt_65,
+       (round(count_if(age >= 60) / count(*), 3) > 0.1
+        OR round(count_if(age >= 65) / count(*), 3) > 0.07) AS aging
+FROM aged GROUP BY address_city
+"""))
+def q_city_aging(spark, sf_dir):
+    """Per city the average age, shares aged 60+ and 65+, and the aging flag."""
+    return distribution.city_aging(_aged(spark, sf_dir).select("address_city", "age"))
+
+
+def _area_dim(spark, sf_dir):
+    """Dimension table derived from the driver's tables: every nation name with
+    an integer 'area' (its number of suppliers); a nation without suppliers
+    has no row, so its density is NULL."""
+    sup = table(spark, sf_dir, "supplier").select(F.col("s_nationkey").alias("n_nationkey"))
+    nat = table(spark, sf_dir, "nation").select("n_nationkey", F.col("n_name").alias("address_city"))
+    return (sup.join(F.broadcast(nat), "n_nationkey")
+            .groupBy("address_city").agg(F.count(F.lit(1)).alias("area")))
+
+
+@register("density", with_people("""
+, top AS (SELECT address_city, count(*) AS total FROM people GROUP BY 1
+          ORDER BY total DESC, address_city ASC LIMIT 10)
+, dim AS (SELECT n.n_name AS address_city, count(*) AS area
+          FROM supplier s JOIN nation n ON s.s_nationkey = n.n_nationkey GROUP BY 1)
+SELECT t.address_city, t.total, d.area, round(t.total / nullif(d.area, 0), 2) AS density
+FROM top t LEFT JOIN dim d ON t.address_city = d.address_city
+"""))
+def q_density(spark, sf_dir):
+    """Rows per area for the 10 most populous cities."""
+    return distribution.density(_people(spark, sf_dir), "address_city", _area_dim(spark, sf_dir))
+
+
+@register("migration_share", with_people("""
+SELECT 'district' AS pair, count_if(origin_district != address_district) AS moved, count(*) AS total,
+       count_if(origin_district != address_district) / count(*) AS proportion FROM people
+UNION ALL
+SELECT 'city', count_if(origin_city != address_city), count(*),
+       count_if(origin_city != address_city) / count(*) FROM people
+"""))
+def q_migration_share(spark, sf_dir):
+    """Share of rows whose registered district (city) differs from the current one."""
+    return distribution.migration_share(_people(spark, sf_dir))
+
+
+_LETTERS_SQL = ("unnest(string_split(regexp_replace(concat_ws('', {cols}), '\\P{{L}}+', '', 'g'), ''))")
+
+
+@register("letter_frequency", with_people(f"""
+SELECT letter, count(*) AS total FROM (
+  SELECT {_LETTERS_SQL.format(cols="lower(first_name), lower(last_name)")} AS letter FROM people)
+WHERE letter != '' GROUP BY letter
+"""))
+def q_letter_frequency(spark, sf_dir):
+    """Letter counts over all first and last names."""
+    return distribution.letter_frequency(_people(spark, sf_dir))
+
+
+@register("top_letter", f"""
+SELECT letter, total FROM (
+  SELECT letter, count(*) AS total, rank() OVER (ORDER BY count(*) DESC) AS r FROM (
+    SELECT {_LETTERS_SQL.format(cols="lower(text)")} AS letter FROM documents)
+  WHERE letter != '' GROUP BY letter)
+WHERE r = 1
+""")
+def q_top_letter(spark, sf_dir):
+    """E2 on whole texts: the most frequent letter over every document."""
+    return distribution.top_letter(table(spark, sf_dir, "documents"), ["text"])
+
+
+# --------------------------------------------------------------------------
+# Association (N4 second half)
+# --------------------------------------------------------------------------
+
+_TOP_CITIES_SQL = """
+, top AS (SELECT address_city FROM people GROUP BY 1 ORDER BY count(*) DESC, address_city ASC LIMIT 10)
+, kept AS (SELECT * FROM people WHERE address_city IN (SELECT address_city FROM top))
+"""
+
+
+def _in_top_cities(spark, sf_dir, k=10):
+    from popstats.operators.ranking import top_groups
+
+    p = _people(spark, sf_dir)
+    top = top_groups(p.select("address_city"), "address_city", k=k).select("address_city")
+    return p.join(F.broadcast(top), "address_city", "left_semi")  # at most k rows
+
+
+@register("dense_counts", with_people(f"""{_TOP_CITIES_SQL}
+, cells AS (SELECT address_city, last_name, count(*) AS total FROM kept GROUP BY 1, 2)
+SELECT c.address_city, n.last_name, coalesce(x.total, 0) AS total
+FROM (SELECT address_city FROM top) c CROSS JOIN (SELECT DISTINCT last_name FROM cells) n
+LEFT JOIN cells x ON x.address_city = c.address_city AND x.last_name = n.last_name
+"""))
+def q_dense_counts(spark, sf_dir):
+    """Zero-filled surname counts for each of the top-10 cities."""
+    return association.dense_counts(_people(spark, sf_dir), "address_city", "last_name", k_groups=10)
+
+
+@register("count_pivot")
+def q_count_pivot(spark, sf_dir):
+    """N4 (commented-out variant in the reference): surnames x top-10 cities, wide."""
+    return association.count_pivot(_people(spark, sf_dir), "last_name", "address_city", k=10)
+
+
+_CHI2_SQL = """
+, cells AS (SELECT {a} AS a, {b} AS b, count(*) AS o FROM {src} WHERE {a} IS NOT NULL AND {b} IS NOT NULL GROUP BY 1, 2)
+, r AS (SELECT a, sum(o) AS r FROM cells GROUP BY a)
+, c AS (SELECT b, sum(o) AS c FROM cells GROUP BY b)
+, s AS (SELECT sum(o) AS n, sum(CAST(o AS DOUBLE) * o / (CAST(r AS DOUBLE) * c)) AS s,
+               count(DISTINCT cells.a) AS nr, count(DISTINCT cells.b) AS nc
+        FROM cells JOIN r ON cells.a = r.a JOIN c ON cells.b = c.b)
+SELECT round(n * (s - 1), 9) AS statistic, CAST((nr - 1) * (nc - 1) AS BIGINT) AS dof,
+       round(sqrt(n * (s - 1) / (n * nullif(least(nr, nc) - 1, 0))), 9) AS cramers_v, n
+FROM s
+"""
+
+
+@register("contingency_chi2", with_people(_TOP_CITIES_SQL + _CHI2_SQL.format(
+    a="address_city", b="last_name", src="kept")))
+def q_contingency_chi2(spark, sf_dir):
+    """N4 intended test: are surname and city independent (top-10 cities)?"""
+    return association.contingency_chi2(_in_top_cities(spark, sf_dir), "address_city", "last_name")
+
+
+@register("contingency_chi2_lineitem", "WITH x AS (SELECT 1)" + _CHI2_SQL.format(
+    a="l_returnflag", b="l_linestatus", src="lineitem"))
+def q_contingency_chi2_lineitem(spark, sf_dir):
+    """The same test on another table: return flag against line status."""
+    return association.contingency_chi2(table(spark, sf_dir, "lineitem"), "l_returnflag", "l_linestatus")
+
+
+@register("contingency_chi2_p")
+def q_contingency_chi2_p(spark, sf_dir):
+    """Surname x city test with its p-value (chi-square upper tail)."""
+    return association.contingency_chi2(_in_top_cities(spark, sf_dir), "address_city", "last_name",
+                                        p_value=True)
+
+
+@register("chi_square_features")
+def q_chi_square_features(spark, sf_dir):
+    """N4 as the reference ran it: ChiSquareTest of categorical features against the city."""
+    return association.chi_square_features(_people(spark, sf_dir),
+                                           ["origin_city", "last_name", "gender"], "address_city")
+
+
+# --------------------------------------------------------------------------
+# Yearly counts and trend models (H4)
+# --------------------------------------------------------------------------
+
+_YEARLY_SQL = """
+, yearly AS (SELECT CAST(year(birth_date) AS INTEGER) AS year, count(*) AS total
+             FROM people WHERE year(birth_date) > 1700 GROUP BY 1)
+, long AS (SELECT 'linear' AS model, year, year - (SELECT min(year) FROM yearly) AS index,
+                  CAST(total AS DOUBLE) AS y FROM yearly
+           UNION ALL
+           SELECT 'log', year, year - (SELECT min(year) FROM yearly), ln(total) FROM yearly WHERE total > 0)
+"""
+
+
+def _yearly(spark, sf_dir):
+    return distribution.yearly_counts(_people(spark, sf_dir), "birth_date", min_year=1700)
+
+
+@register("yearly_counts", with_people(_YEARLY_SQL + "SELECT year, total FROM yearly"))
+def q_yearly_counts(spark, sf_dir):
+    """H4: births per calendar year (years after 1700)."""
+    return _yearly(spark, sf_dir)
+
+
+_FIT_SQL = """SELECT round(regr_slope(y, index), 9) AS slope, round(regr_intercept(y, index), 9) AS intercept,
+       round(regr_r2(y, index), 9) AS r2, count(*) AS n FROM long WHERE model = '{m}'"""
+
+
+@register("yearly_trend", with_people(_YEARLY_SQL + _FIT_SQL.format(m="linear")))
+def q_yearly_trend(spark, sf_dir):
+    """H4: linear trend of births per year."""
+    return trend.yearly_trend(_yearly(spark, sf_dir))
+
+
+@register("yearly_log_trend", with_people(_YEARLY_SQL + _FIT_SQL.format(m="log")))
+def q_yearly_log_trend(spark, sf_dir):
+    """H4: exponential (log-linear) trend of births per year."""
+    return trend.yearly_log_trend(_yearly(spark, sf_dir))
+
+
+@register("trend_eval", with_people(_YEARLY_SQL + """
+, marked AS (SELECT *, row_number() OVER (PARTITION BY model ORDER BY year)
+                       > count(*) OVER (PARTITION BY model) - ceil(count(*) OVER (PARTITION BY model) * 0.2) AS test
+             FROM long)
+, fit AS (SELECT model, regr_slope(y, index) AS slope, regr_intercept(y, index) AS intercept, count(*) AS n
+          FROM marked WHERE NOT test GROUP BY model)
+, score AS (SELECT m.model, sum((y - (intercept + slope * index)) * (y - (intercept + slope * index))) AS sse,
+                   var_pop(y) * count(*) AS sst, count(*) AS n_test
+            FROM marked m JOIN fit f ON m.model = f.model WHERE test GROUP BY m.model)
+SELECT f.model, round(slope, 9) AS slope, round(intercept, 9) AS intercept,
+       round(1 - sse / nullif(sst, 0), 9) AS r2, n AS n_train, coalesce(n_test, 0) AS n_test
+FROM fit f LEFT JOIN score s ON f.model = s.model
+"""))
+def q_trend_eval(spark, sf_dir):
+    """H4: both models fitted on earlier years, r2 on the last 20 % of years."""
+    return trend.trend_eval(_yearly(spark, sf_dir))
+
+
+@register("next_year_forecast", with_people(_YEARLY_SQL + """
+, fit AS (SELECT model, regr_slope(y, index) AS slope, regr_intercept(y, index) AS intercept,
+                 max(year) AS last, max(year - index) AS origin FROM long GROUP BY model)
+SELECT model, CAST(last + 1 AS INTEGER) AS year,
+       round(CASE WHEN model = 'log' THEN exp(intercept + slope * (last + 1 - origin))
+                  ELSE intercept + slope * (last + 1 - origin) END, 6) AS forecast
+FROM fit
+"""))
+def q_next_year_forecast(spark, sf_dir):
+    """H4 as asked: the number of births forecast for the next year, both models."""
+    return trend.next_year_forecast(_yearly(spark, sf_dir))
