@@ -29,13 +29,13 @@ AS_OF = _dt.date(2009, 12, 31)
 
 def parse_date(text: Column, pattern: str = DATE_PATTERN, shape: str = DATE_SHAPE) -> Column:
     """DATE for well-shaped real dates, NULL otherwise."""
-    return F.when(text.rlike(shape), F.try_to_date(text, F.lit(pattern)))
+    return F.when(text.rlike(shape), F.try_to_date(text, pattern))
 
 
 def date_status(text: Column, pattern: str = DATE_PATTERN, shape: str = DATE_SHAPE) -> Column:
     well_shaped = F.coalesce(text.rlike(shape), F.lit(False))
     return (F.when(~well_shaped, F.lit("malformed"))
-            .when(F.try_to_date(text, F.lit(pattern)).isNull(), F.lit("impossible"))
+            .when(F.try_to_date(text, pattern).isNull(), F.lit("impossible"))
             .otherwise(F.lit("ok")))
 
 

@@ -451,3 +451,204 @@ FROM fit
 def q_next_year_forecast(spark, sf_dir):
     """H4 as asked: the number of births forecast for the next year, both models."""
     return trend.next_year_forecast(_yearly(spark, sf_dir))
+
+
+# --------------------------------------------------------------------------
+# Dump ingest (S1-S4) and date cleaning (F7, P6) on a dump Spark derives
+# from the people view, with planted defects: a footer line, short lines,
+# ISO (malformed) and 31 February (impossible) dates, empty dates.
+# --------------------------------------------------------------------------
+
+from popstats.functions.dates import clean_dates as _clean_dates  # noqa: E402
+from popstats.sources import dump  # noqa: E402
+
+PEOPLE_DUMP_COLUMNS = ("uid", "first_name", "last_name", "gender", "date_of_birth", "origin_city",
+                       "origin_district", "address_city", "address_district", "street")
+
+
+def _people_dump(spark, sf_dir):
+    p = _people(spark, sf_dir)
+    pid, b = F.col("person_id"), F.col("birth_date")
+    date_text = (F.when(b.isNull(), F.lit(""))
+                 .when(pid % 211 == 0, F.date_format(b, "yyyy-MM-dd"))
+                 .when(pid % 223 == 0, F.concat(F.lit("31/2/"), F.year(b).cast("string")))
+                 .otherwise(F.date_format(b, "d/M/yyyy")))
+    street = F.when(pid % 499 == 0, F.lit(None)).otherwise(F.col("street"))  # short line
+    lines = p.select(F.concat_ws(dump.SEPARATOR, "uid", "first_name", "last_name", "gender", date_text,
+                                 "origin_city", "origin_district", "address_city", "address_district",
+                                 street, F.lit(dump.TRAILER)).alias("value"))
+    footer = p.agg(F.concat(F.lit("-- rows: "), F.count(F.lit(1)).cast("string")).alias("value"))
+    return lines.unionByName(footer)
+
+
+_DUMP_SQL = """
+, dump AS (
+  SELECT concat_ws(chr(9), uid, first_name, last_name, gender,
+           CASE WHEN birth_date IS NULL THEN ''
+                WHEN person_id % 211 = 0 THEN strftime(birth_date, '%Y-%m-%d')
+                WHEN person_id % 223 = 0 THEN '31/2/' || CAST(year(birth_date) AS VARCHAR)
+                ELSE strftime(birth_date, '%-d/%-m/%Y') END,
+           origin_city, origin_district, address_city, address_district,
+           CASE WHEN person_id % 499 = 0 THEN NULL ELSE street END, '<NULL>') AS value
+  FROM people
+  UNION ALL SELECT '-- rows: ' || CAST(count(*) AS VARCHAR) FROM people)
+, parsed AS (
+  SELECT p[1] AS uid, p[2] AS first_name, p[3] AS last_name, p[4] AS gender, p[5] AS date_of_birth,
+         p[6] AS origin_city, p[7] AS origin_district, p[8] AS address_city, p[9] AS address_district,
+         p[10] AS street
+  FROM (SELECT string_split(value, chr(9)) AS p FROM dump WHERE regexp_matches(value, '^[0-9]{6}'))
+  WHERE len(p) = 11)
+"""
+
+
+@register("dump_lines", with_people(_DUMP_SQL + "SELECT value FROM dump WHERE regexp_matches(value, '^[0-9]{6}')"))
+def q_dump_lines(spark, sf_dir):
+    """Data lines of the dump (the footer is left out)."""
+    return dump.dump_lines(_people_dump(spark, sf_dir))
+
+
+@register("dump_parse", with_people(_DUMP_SQL + "SELECT * FROM parsed"))
+def q_dump_parse(spark, sf_dir):
+    """S3: dump lines split into the 10-column schema (trailer dropped)."""
+    return dump.dump_parse(_people_dump(spark, sf_dir), columns=PEOPLE_DUMP_COLUMNS)
+
+
+@register("dump_rejects", with_people(_DUMP_SQL + """
+SELECT value, CAST(len(string_split(value, chr(9))) AS INTEGER) AS n_parts,
+       CASE WHEN NOT regexp_matches(value, '^[0-9]{6}') THEN 'no_uid' ELSE 'field_count' END AS reason
+FROM dump
+WHERE NOT regexp_matches(value, '^[0-9]{6}') OR len(string_split(value, chr(9))) != 11
+"""))
+def q_dump_rejects(spark, sf_dir):
+    """Lines that cannot be bound to the schema, with the reason."""
+    return dump.dump_rejects(_people_dump(spark, sf_dir), columns=PEOPLE_DUMP_COLUMNS)
+
+
+_SHAPE_SQL = "regexp_matches(date_of_birth, '^[0-9]{1,2}/[0-9]{1,2}/[0-9]{4}$')"
+_PARSE_SQL = "CAST(try_strptime(date_of_birth, '%d/%m/%Y') AS DATE)"
+
+
+@register("clean_dates", with_people(_DUMP_SQL + f"""
+SELECT uid, date_of_birth, birth_date, CAST(month(birth_date) AS INTEGER) AS birth_month,
+       CAST(year(birth_date) AS INTEGER) AS birth_year, date_status FROM (
+  SELECT uid, date_of_birth, CASE WHEN {_SHAPE_SQL} THEN {_PARSE_SQL} END AS birth_date,
+         CASE WHEN NOT {_SHAPE_SQL} THEN 'malformed'
+              WHEN {_PARSE_SQL} IS NULL THEN 'impossible' ELSE 'ok' END AS date_status
+  FROM parsed)
+WHERE date_status != 'malformed'
+"""))
+def q_clean_dates(spark, sf_dir):
+    """Parse d/M/yyyy dates; drop malformed rows, keep impossible ones with a NULL date."""
+    parsed = dump.dump_parse(_people_dump(spark, sf_dir), columns=PEOPLE_DUMP_COLUMNS)
+    return _clean_dates(parsed.select("uid", "date_of_birth"), "date_of_birth")
+
+
+@register("date_status_counts", with_people(_DUMP_SQL + f"""
+SELECT CASE WHEN NOT {_SHAPE_SQL} THEN 'malformed' WHEN {_PARSE_SQL} IS NULL THEN 'impossible' ELSE 'ok' END
+         AS date_status, count(*) AS total
+FROM parsed GROUP BY 1
+"""))
+def q_date_status_counts(spark, sf_dir):
+    """Rows per date state in the parsed dump (nothing dropped)."""
+    parsed = dump.dump_parse(_people_dump(spark, sf_dir), columns=PEOPLE_DUMP_COLUMNS)
+    cleaned = _clean_dates(parsed.select("date_of_birth"), "date_of_birth", drop_malformed=False)
+    return ranking.count_by(cleaned, "date_status")
+
+
+# --------------------------------------------------------------------------
+# Completeness, sampling, splitting, vocabularies
+# --------------------------------------------------------------------------
+
+from popstats.operators import classify, features, sampling  # noqa: E402
+
+_PEOPLE_COLS = ("person_id", "uid", "first_name", "last_name", "gender", "birth_date", "origin_city",
+                "address_city", "origin_district", "address_district", "street")
+
+
+@register("drop_incomplete", with_people(
+    "SELECT * FROM people WHERE " + " AND ".join(f"{c} IS NOT NULL" for c in _PEOPLE_COLS)))
+def q_drop_incomplete(spark, sf_dir):
+    """Rows without any NULL."""
+    return sampling.drop_incomplete(_people(spark, sf_dir))
+
+
+@register("sample_by_key")
+def q_sample_by_key(spark, sf_dir):
+    """P10: reproducible 10 % Bernoulli sample decided by a hash of the key."""
+    return sampling.sample_by_key(_people(spark, sf_dir), "person_id", 0.1, seed=2018)
+
+
+@register("split_by_key")
+def q_split_by_key(spark, sf_dir):
+    """M4: train/valid/test parts 70/10/20 decided by a hash of the key."""
+    p = _people(spark, sf_dir).select("person_id", "address_city")
+    return sampling.split_by_key(p, "person_id", weights=(0.7, 0.1, 0.2), seed=100)
+
+
+@register("string_index", with_people("""
+, pairs AS (SELECT 'address_city' AS column_name, address_city AS value FROM people
+            UNION ALL SELECT 'gender', gender FROM people
+            UNION ALL SELECT 'last_name', last_name FROM people
+            UNION ALL SELECT 'street', street FROM people)
+SELECT column_name, value, total,
+       row_number() OVER (PARTITION BY column_name ORDER BY total DESC, value ASC) - 1 AS index
+FROM (SELECT column_name, value, count(*) AS total FROM pairs WHERE value IS NOT NULL GROUP BY 1, 2)
+"""))
+def q_string_index(spark, sf_dir):
+    """M1: value counts and frequency-descending indexes of four columns."""
+    return features.string_index(_people(spark, sf_dir), ["address_city", "gender", "last_name", "street"])
+
+
+# --------------------------------------------------------------------------
+# Classifier (H1-H3): predict the current city from the other columns
+# --------------------------------------------------------------------------
+
+CITY_FEATURES = ("first_name", "last_name", "gender", "birth_month", "birth_year", "origin_city",
+                 "origin_district", "address_district", "street")
+
+
+def _model_input(spark, sf_dir):
+    p = _people(spark, sf_dir)
+    return p.withColumn("birth_month", F.month("birth_date")).withColumn("birth_year", F.year("birth_date"))
+
+
+@register("classify_eval")
+def q_classify_eval(spark, sf_dir):
+    """H1: city model; regParam chosen on validation, scored on test (F1 and accuracy)."""
+    return classify.classify_eval(_model_input(spark, sf_dir), CITY_FEATURES, "address_city", "person_id",
+                                  reg_params=(0.3, 0.01, 0.001))
+
+
+@register("classify_eval_gender")
+def q_classify_eval_gender(spark, sf_dir):
+    """H2: the same operator with the gender code as label."""
+    feats = [c for c in CITY_FEATURES if c != "gender"] + ["address_city"]
+    return classify.classify_eval(_model_input(spark, sf_dir), feats, "gender", "person_id",
+                                  reg_params=(0.01,))
+
+
+@register("classify_eval_name")
+def q_classify_eval_name(spark, sf_dir):
+    """H3: the same operator with the surname as label (capped to the 5 most common + other)."""
+    feats = [c for c in CITY_FEATURES if c not in ("first_name", "last_name")] + ["address_city"]
+    return classify.classify_eval(_model_input(spark, sf_dir), feats, "last_name", "person_id",
+                                  reg_params=(0.01,), max_classes=5)
+
+
+def _city_classifier(spark, sf_dir):
+    return classify.train_classifier(_model_input(spark, sf_dir), CITY_FEATURES, "address_city", "person_id",
+                                     reg_params=(0.01,), evaluate_test=False)
+
+
+@register("topk_accuracy")
+def q_topk_accuracy(spark, sf_dir):
+    """H1/H3 as asked: top-1 to top-5 accuracy of the city model on the test part."""
+    clf = _city_classifier(spark, sf_dir)
+    return classify.topk_accuracy(classify.predictions(clf, "test"), ks=(1, 2, 3, 4, 5))
+
+
+@register("top_confident")
+def q_top_confident(spark, sf_dir):
+    """The 10 test predictions made with the highest confidence (no identifiers)."""
+    clf = _city_classifier(spark, sf_dir)
+    return classify.top_confident(classify.predictions(clf, "test"), 10, key="person_id")
