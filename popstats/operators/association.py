@@ -78,7 +78,8 @@ def contingency_chi2(df: DataFrame, a: str, b: str, *, digits: int = 9,
                   F.sum(o * o / (F.col("_r").cast("double") * F.col("_c"))).alias("_s"),
                   F.count_distinct(a).alias("_nr"),
                   F.count_distinct(b).alias("_nc")))
-    stat = F.col("n") * (F.col("_s") - 1)
+    # clamp: for an exactly independent table rounding can leave a tiny negative value
+    stat = F.greatest(F.col("n") * (F.col("_s") - 1), F.lit(0.0))
     k = F.least(F.col("_nr"), F.col("_nc")) - 1
     out = (stats
            .withColumn("statistic", F.round(stat, digits))

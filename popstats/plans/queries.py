@@ -348,8 +348,8 @@ _CHI2_SQL = """
 , s AS (SELECT sum(o) AS n, sum(CAST(o AS DOUBLE) * o / (CAST(r AS DOUBLE) * c)) AS s,
                count(DISTINCT cells.a) AS nr, count(DISTINCT cells.b) AS nc
         FROM cells JOIN r ON cells.a = r.a JOIN c ON cells.b = c.b)
-SELECT round(n * (s - 1), 9) AS statistic, CAST((nr - 1) * (nc - 1) AS BIGINT) AS dof,
-       round(sqrt(n * (s - 1) / (n * nullif(least(nr, nc) - 1, 0))), 9) AS cramers_v, n
+SELECT round(greatest(n * (s - 1), 0.0), 9) AS statistic, CAST((nr - 1) * (nc - 1) AS BIGINT) AS dof,
+       round(sqrt(greatest(n * (s - 1), 0.0) / (n * nullif(least(nr, nc) - 1, 0))), 9) AS cramers_v, n
 FROM s
 """
 
