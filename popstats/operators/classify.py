@@ -14,12 +14,14 @@ source joins.  Each iteration's gradient is a ``treeAggregate`` over the
 partitions: no data passes through the driver, only coefficients.
 
 Reported metrics are named for what they are: ``f1`` (weighted F1, what
-the evaluator computes by default) and ``accuracy``.
+the evaluator computes by default) and ``accuracy``; both come from one
+pass that counts (label, prediction) cells.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame
@@ -55,36 +57,68 @@ def _prep_pipeline(features: Sequence[str], label: str, encoder: str, num_hash_f
     from pyspark.ml import Pipeline
     from pyspark.ml.feature import FeatureHasher, OneHotEncoder, StringIndexer, VectorAssembler
 
-    stages = [StringIndexer(inputCol=label, outputCol="_label", handleInvalid="keep")]
+    features = list(features)
     if encoder == "onehot":
+        # one indexer for label and features: one pass over the training data
         idx = [f"_i{i}" for i in range(len(features))]
         ohe = [f"_o{i}" for i in range(len(features))]
-        stages += [StringIndexer(inputCols=list(features), outputCols=idx, handleInvalid="keep"),
-                   OneHotEncoder(inputCols=idx, outputCols=ohe, handleInvalid="keep"),
-                   VectorAssembler(inputCols=ohe, outputCol="features")]
+        stages = [StringIndexer(inputCols=[label] + features, outputCols=["_label"] + idx, handleInvalid="keep"),
+                  OneHotEncoder(inputCols=idx, outputCols=ohe, handleInvalid="keep"),
+                  VectorAssembler(inputCols=ohe, outputCol="features")]
     elif encoder == "hash":
-        stages += [FeatureHasher(inputCols=list(features), outputCol="features",
-                                 numFeatures=num_hash_features, categoricalCols=list(features))]
+        stages = [StringIndexer(inputCol=label, outputCol="_label", handleInvalid="keep"),
+                  FeatureHasher(inputCols=features, outputCol="features",
+                                numFeatures=num_hash_features, categoricalCols=features)]
     else:
         raise ValueError("encoder must be 'onehot' or 'hash'")
     return Pipeline(stages=stages)
 
 
+def weighted_scores(confusion: Sequence[tuple[float, float, int]]) -> tuple[float, float, int]:
+    """Weighted F1 and accuracy from ``(label, prediction, count)`` cells, with
+    the definitions of ``MulticlassMetrics`` (a class's F1 is 0 when its
+    precision and recall are both 0; weights are the true-class shares)."""
+    n = sum(c for _, _, c in confusion)
+    if n == 0:
+        return float("nan"), float("nan"), 0
+    actual: dict[float, int] = {}
+    predicted: dict[float, int] = {}
+    hits: dict[float, int] = {}
+    for lab, pred, c in confusion:
+        actual[lab] = actual.get(lab, 0) + c
+        predicted[pred] = predicted.get(pred, 0) + c
+        if lab == pred:
+            hits[lab] = hits.get(lab, 0) + c
+    f1 = 0.0
+    for lab, cnt in actual.items():
+        tp = hits.get(lab, 0)
+        prec = tp / predicted[lab] if predicted.get(lab) else 0.0
+        rec = tp / cnt
+        f1 += cnt / n * (2 * prec * rec / (prec + rec) if prec + rec > 0 else 0.0)
+    return f1, sum(hits.values()) / n, n
+
+
 def _evaluate(pred: DataFrame) -> tuple[float, float, int]:
-    from pyspark.ml.evaluation import MulticlassClassificationEvaluator
+    """One pass: the confusion counts (at most classes x classes rows; the
+    class list is already on the driver in the fitted indexer) are fetched
+    and scored."""
+    cells = pred.groupBy("_label", "prediction").agg(F.count(F.lit(1)).alias("n")).collect()
+    return weighted_scores([(float(r["_label"]), float(r["prediction"]), int(r["n"])) for r in cells])
+
 
-    ev = MulticlassClassificationEvaluator(labelCol="_label", predictionCol="prediction")
-    f1 = ev.setMetricName("f1").evaluate(pred)
-    acc = ev.setMetricName("accuracy").evaluate(pred)
-    n = pred.count()
-    return float(f1), float(acc), int(n)
+def _at_least_parallelism(df: DataFrame) -> DataFrame:
+    """Spread a frame over the cluster's cores when its source gives fewer
+    partitions (never merges: large inputs keep their own partitioning)."""
+    target = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(target) if df.rdd.getNumPartitions() < target else df
 
 
 def train_classifier(df: DataFrame, features: Sequence[str], label: str, key: str, *,
                      reg_params: Sequence[float] = (0.3, 0.01, 0.001), weights=(0.7, 0.1, 0.2),
                      seed: int = 100, max_classes: int | None = None, max_iter: int = 100,
                      elastic_net: float = 0.0, encoder: str = "onehot",
-                     num_hash_features: int = 1 << 18, evaluate_test: bool = True) -> Classifier:
+                     num_hash_features: int = 1 << 18, evaluate_test: bool = True,
+                     parallelism: int | None = None) -> Classifier:
     """Fit on train, pick ``regParam`` by validation F1, score the test part."""
     from pyspark.ml.classification import LogisticRegression
 
@@ -94,22 +128,32 @@ def train_classifier(df: DataFrame, features: Sequence[str], label: str, key: st
             .filter(F.col(label).isNotNull()))
     data = split_by_key(data, key, weights=weights, seed=seed)
     data = _capped_label(data.filter(F.col("part") == "train"), data, label, max_classes)
+    # the iterative fit reads the training part many times: balance it over
+    # the cores and cut the lineage once (the source joins never rerun)
+    data = cut_lineage(_at_least_parallelism(data))
     train = data.filter(F.col("part") == "train")
     prep = _prep_pipeline(features, label, encoder, num_hash_features).fit(train)
     encoded = prep.transform(data).select(key, "part", label, "_label", "features")
-    train_x = cut_lineage(encoded.filter(F.col("part") == "train"))
+    train_x = encoded.filter(F.col("part") == "train")
     valid_x = encoded.filter(F.col("part") == "valid")
     test_x = encoded.filter(F.col("part") == "test")
 
-    metrics, best = [], None
-    for rp in reg_params:
+    def fit_and_score(rp: float):
         lr = LogisticRegression(featuresCol="features", labelCol="_label", maxIter=max_iter,
                                 regParam=float(rp), elasticNetParam=float(elastic_net))
         model = lr.fit(train_x)
-        f1, acc, n = _evaluate(model.transform(valid_x))
-        metrics.append(("valid", float(rp), f1, acc, n))
+        return float(rp), model, _evaluate(model.transform(valid_x))
+
+    # grid points are independent: fit them concurrently on the same
+    # checkpointed data, as TrainValidationSplit(parallelism=...) does
+    workers = max(1, min(parallelism or len(reg_params), len(reg_params)))
+    with ThreadPoolExecutor(max_workers=workers) as pool:
+        fitted = list(pool.map(fit_and_score, reg_params))
+    metrics, best = [], None
+    for rp, model, (f1, acc, n) in fitted:
+        metrics.append(("valid", rp, f1, acc, n))
         if best is None or f1 > best[0]:
-            best = (f1, float(rp), model)
+            best = (f1, rp, model)
     _, best_rp, best_model = best
     if evaluate_test:
         f1, acc, n = _evaluate(best_model.transform(test_x))

@@ -24,6 +24,7 @@ def spark():
              .config("spark.sql.adaptive.enabled", "true")
              .config("spark.sql.session.timeZone", "UTC")
              .config("spark.ui.enabled", "false")
+             .config("spark.ui.showConsoleProgress", "false")
              .config("spark.checkpoint.dir", os.path.join(scratch, "ckpt"))
              .config("spark.sql.warehouse.dir", os.path.join(scratch, "wh"))
              .getOrCreate())
