@@ -92,11 +92,12 @@ def rank_within_topk(df: DataFrame, group: str, item: str | Sequence[str], *, k_
                      total: str = "total", include_null: bool = False) -> DataFrame:
     """Top items inside the top groups (N3: months in top cities, N4: names).
 
-    One scan: the (group, item) counts are aggregated once; the group
-    totals are summed from those cells (the shuffle is reused), the top
-    ``k_groups`` groups are broadcast (at most k rows with
-    ``group_ties='first'``) into a semi join, and a rank filter picks the
-    items.  Output: ``group, item..., total, rank``.
+    The top ``k_groups`` groups (at most k rows with ``group_ties='first'``)
+    are broadcast into a semi join; Catalyst pushes that semi join below the
+    (group, item) aggregation, so only rows of the top groups are counted
+    and shuffled, and a rank filter picks the items.  The group totals are
+    a separate aggregate over the group and item columns only.
+    Output: ``group, item..., total, rank``.
     """
     item = _as_list(item)
     cells = count_by(df, [group] + item, total)
@@ -111,20 +112,42 @@ def rank_within_topk(df: DataFrame, group: str, item: str | Sequence[str], *, k_
 
 
 def extreme_rows(df: DataFrame, group: str | Sequence[str] | None, order_by: str, *,
-                 ascending: bool = True) -> DataFrame:
+                 ascending: bool = True, max_groups: int = 1024) -> DataFrame:
     """All rows holding the minimum (or maximum) of ``order_by`` in each group.
 
     Ties are kept with every input column (E1: the oldest men).  Rows whose
-    ``order_by`` is NULL never match.  Planned as a rank filter, so a
-    partial WindowGroupLimit trims each task to its local extremes before
-    the shuffle: a hot group does not move to one task.
+    ``order_by`` is NULL never match; a NULL group is a group.
+
+    Two plans, chosen by a size check:
+
+    * few groups (at most ``max_groups``, checked by fetching at most
+      ``max_groups + 1`` rows of the per-group extremes, which read only
+      the group and order columns): the extremes are broadcast and the
+      rows are picked by a filtering join -- no sort and no shuffle of the
+      full rows;
+    * more groups: a rank filter per group, planned with a partial
+      WindowGroupLimit so each task keeps only its local extremes before
+      the shuffle (a hot group never moves to one task).
     """
-    order = F.col(order_by).asc() if ascending else F.col(order_by).desc()
-    w = Window.partitionBy(*_as_list(group)) if group else Window.partitionBy()
-    w = w.orderBy(order)
+    groups = _as_list(group) if group else []
     cols = df.columns
-    return (df.filter(F.col(order_by).isNotNull())
-            .withColumn("_r", F.rank().over(w))
+    valued = df.filter(F.col(order_by).isNotNull())
+    pick = F.min(order_by) if ascending else F.max(order_by)
+    extremes = (valued.groupBy(*groups).agg(pick.alias("_x")) if groups
+                else valued.agg(pick.alias("_x")).filter(F.col("_x").isNotNull()))
+    found = extremes.limit(max_groups + 1).collect()
+    if len(found) <= max_groups:
+        if not found:
+            return df.limit(0)
+        small = df.sparkSession.createDataFrame(found, extremes.schema)  # size checked above
+        cond = F.col(order_by) == F.col("_x")
+        for g in groups:
+            cond = cond & F.col(f"l.{g}").eqNullSafe(F.col(f"r.{g}"))
+        joined = valued.alias("l").join(F.broadcast(small.alias("r")), cond, "left_semi")
+        return joined.select(*cols)
+    order = F.col(order_by).asc() if ascending else F.col(order_by).desc()
+    w = (Window.partitionBy(*groups) if groups else Window.partitionBy()).orderBy(order)
+    return (valued.withColumn("_r", F.rank().over(w))
             .filter(F.col("_r") == 1)
             .select(*cols))
 

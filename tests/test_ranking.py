@@ -76,8 +76,8 @@ def test_rank_plans_limit_before_shuffle(ties):
     """A hot group is trimmed to k rows per task before the exchange."""
     plan = plan_text(ranking.top_items_per_group(ties, "grp", "item", k=2).select("grp"))
     assert "WindowGroupLimit" in plan
-    plan = plan_text(ranking.extreme_rows(ties.withColumn("n", F.length("item")), "grp", "n"))
-    assert "WindowGroupLimit" in plan
+    many = ranking.extreme_rows(ties.withColumn("n", F.length("item")), "grp", "n", max_groups=0)
+    assert "WindowGroupLimit" in plan_text(many)
     plan = plan_text(ranking.modal_value(ties, "item"))
     assert "WindowGroupLimit" in plan
 
@@ -87,3 +87,21 @@ def test_top_groups_semi_join_is_broadcast(ties):
     out.collect()
     plan = out._jdf.queryExecution().executedPlan().toString()
     assert "BroadcastHashJoin" in plan or "LeftSemi" in plan
+
+
+def test_extreme_rows_few_groups_broadcast_no_sort(ties):
+    df = ties.withColumn("n", F.length("item"))
+    few = ranking.extreme_rows(df, "grp", "n")
+    plan = plan_text(few)
+    assert "BroadcastHashJoin" in plan and "LeftSemi" in plan and "Window" not in plan
+    many = ranking.extreme_rows(df, "grp", "n", max_groups=1)
+    assert rows(few) == rows(many)
+
+
+def test_extreme_rows_null_group_and_no_group(spark):
+    df = spark.createDataFrame([(None, 1), (None, 1), (None, 2), ("a", 5)], "g string, v int")
+    got = sorted((tuple(r) for r in ranking.extreme_rows(df, "g", "v").collect()), key=str)
+    assert got == sorted([(None, 1), (None, 1), ("a", 5)], key=str)
+    assert rows(ranking.extreme_rows(df, None, "v", ascending=False)) == [("a", 5)]
+    empty = spark.createDataFrame([(None, None)], "g string, v int")
+    assert ranking.extreme_rows(empty, "g", "v").count() == 0
