@@ -63,18 +63,29 @@ def yearly_log_trend(counts: DataFrame, *, year: str = "year", total: str = "tot
 
 
 def trend_eval(counts: DataFrame, *, year: str = "year", total: str = "total",
-               test_fraction: float = 0.2, origin: int | None = None, digits: int = 9) -> DataFrame:
-    """Fit both models on the earlier years and score r2 on the last
-    ``ceil(n * test_fraction)`` years (a time split: the future is held out).
+               test_fraction: float = 0.2, split: str = "time", seed: int = 2020,
+               origin: int | None = None, digits: int = 9) -> DataFrame:
+    """Fit both models on training years and score r2 on held-out years.
+
+    ``split='time'`` holds out the last ``ceil(n * test_fraction)`` years
+    (the future is predicted from the past); ``split='hash'`` holds out the
+    years whose seeded hash falls in the top ``test_fraction`` (the
+    reference's random 80/20 split, made reproducible).
 
     Output per model: ``model, slope, intercept, r2, n_train, n_test``; r2
     is ``1 - SSE / SST`` on the test years, in the model's own scale.
     """
+    if split not in ("time", "hash"):
+        raise ValueError("split must be 'time' or 'hash'")
     long = _long(counts, year, total, origin)
-    w_all = Window.partitionBy("model")
-    n = F.count(F.lit(1)).over(w_all)
-    rn = F.row_number().over(Window.partitionBy("model").orderBy("year"))
-    marked = long.withColumn("_test", rn > n - F.ceil(n * F.lit(test_fraction)))
+    if split == "time":
+        n = F.count(F.lit(1)).over(Window.partitionBy("model"))
+        rn = F.row_number().over(Window.partitionBy("model").orderBy("year"))
+        marked = long.withColumn("_test", rn > n - F.ceil(n * F.lit(test_fraction)))
+    else:
+        from popstats.operators.sampling import key_uniform
+
+        marked = long.withColumn("_test", key_uniform("year", seed) >= 1 - test_fraction)
     fit = _fit(marked.filter(~F.col("_test")))
     test = marked.filter(F.col("_test")).join(fit.select("model", "slope", "intercept"), "model")
     resid = F.col("y") - (F.col("intercept") + F.col("slope") * F.col("index"))

@@ -44,3 +44,13 @@ def test_trend_eval_time_split(spark):
     assert (lin.n_train, lin.n_test) == (8, 2)
     assert lin.r2 == pytest.approx(1.0) and lin.slope == pytest.approx(3.0)
     assert out["log"].r2 < 1.0
+
+
+def test_trend_eval_hash_split(spark):
+    df = _yearly(spark, [(1900 + i, 2 * i + 1) for i in range(60)])
+    out = {r.model: r for r in trend.trend_eval(df, split="hash", seed=2020).collect()}
+    lin = out["linear"]
+    assert lin.n_train + lin.n_test == 60 and 3 <= lin.n_test <= 25
+    assert lin.r2 == pytest.approx(1.0) and lin.slope == pytest.approx(2.0)
+    again = {r.model: r for r in trend.trend_eval(df.repartition(7), split="hash", seed=2020).collect()}
+    assert again["linear"].n_test == lin.n_test
