@@ -20,15 +20,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from popstats.functions.chi2 import chi2_p_value
-from popstats.operators.ranking import count_by, top_groups
+from popstats.operators.ranking import count_by, restrict_to_top_groups, top_groups
 
 
 def _top_cells(df: DataFrame, a: str, b: str, k_groups: int, total: str) -> tuple[DataFrame, DataFrame]:
     cells = count_by(df.select(a, b), [a, b], total)
-    top = top_groups(cells.groupBy(a).agg(F.sum(total).alias(total)), a, k=k_groups,
-                     total=total, counted=True)
-    kept = cells.join(F.broadcast(top.select(a)), a, "left_semi")  # at most k_groups keys
-    return kept, top
+    kept = restrict_to_top_groups(cells, a, k=k_groups, total=total)
+    return kept, kept.select(a).distinct()
 
 
 def dense_counts(df: DataFrame, a: str, b: str, *, k_groups: int = 10, total: str = "total") -> DataFrame:
@@ -40,7 +38,7 @@ def dense_counts(df: DataFrame, a: str, b: str, *, k_groups: int = 10, total: st
     observed counts.
     """
     kept, top = _top_cells(df, a, b, k_groups, total)
-    top_values = top.agg(F.sort_array(F.collect_list(a))).scalar()
+    top_values = top.agg(F.sort_array(F.collect_list(a))).scalar()  # at most k_groups values
     grid = kept.select(b).distinct().select(F.explode(top_values).alias(a), b)
     return grid.join(kept, [a, b], "left").na.fill(0, [total])
 
@@ -61,15 +59,21 @@ def count_pivot(df: DataFrame, row: str, column: str, *, values: Sequence | None
             .na.fill(0, [str(v) for v in values]))
 
 
-def contingency_chi2(df: DataFrame, a: str, b: str, *, digits: int = 9,
+def contingency_chi2(df: DataFrame, a: str, b: str, *, counts: str | None = None, digits: int = 9,
                      p_value: bool = False) -> DataFrame:
     """Pearson chi-square test of independence between columns a and b.
 
     One row: ``statistic, dof, cramers_v, n`` (and ``p_value`` when asked).
-    Rows with a NULL in a or b are left out.  Doubles are rounded to
-    ``digits`` decimals so the result does not depend on summation order.
+    Rows with a NULL in a or b are left out.  ``counts`` names a count
+    column when ``df`` already holds one row per (a, b) cell.  Doubles are
+    rounded to ``digits`` decimals so the result does not depend on
+    summation order.
     """
-    cells = count_by(df.select(a, b).na.drop(), [a, b], "_o")
+    if counts:
+        cells = (df.filter(F.col(a).isNotNull() & F.col(b).isNotNull())
+                 .select(a, b, F.col(counts).alias("_o")))
+    else:
+        cells = count_by(df.select(a, b).na.drop(), [a, b], "_o")
     rows = cells.groupBy(a).agg(F.sum("_o").alias("_r"))
     cols = cells.groupBy(b).agg(F.sum("_o").alias("_c"))
     o = F.col("_o").cast("double")

@@ -80,11 +80,39 @@ def top_items_per_group(df: DataFrame, group: str | Sequence[str], item: str | S
     _check_ties(ties)
     group, item = _as_list(group), _as_list(item)
     cells = df if counted else count_by(df, group + item, total)
+    order = _order(total, item if ties == "first" else [])
+    if not include_null:
+        # NULL items sort after every real item, so the real items' ranks are
+        # those they would have without NULLs; they are dropped after the
+        # window.  (A NULL filter before the window would be pushed below the
+        # counting aggregation and stop its shuffle from being reused.)
+        order = [F.col(c).isNull().asc() for c in item] + order
+    w = Window.partitionBy(*group).orderBy(*order)
+    out = cells.withColumn("rank", _rank_fn(ties).over(w)).filter(F.col("rank") <= k)
     if not include_null:
         for c in item:
-            cells = cells.filter(F.col(c).isNotNull())
-    w = Window.partitionBy(*group).orderBy(*_order(total, item if ties == "first" else []))
-    return cells.withColumn("rank", _rank_fn(ties).over(w)).filter(F.col("rank") <= k)
+            out = out.filter(F.col(c).isNotNull())
+    return out
+
+
+def restrict_to_top_groups(cells: DataFrame, group: str, *, k: int = 10, total: str = "total",
+                           ties: str = "first") -> DataFrame:
+    """Rows of ``cells`` (already counted per group and item) whose group is
+    among the k groups with the largest summed ``total``.
+
+    The top keys (unique, at most k rows with ``ties='first'``) are
+    broadcast into an inner join; a NULL group is never among them.  An
+    inner join is used rather than a semi
+    join on purpose: Catalyst would push a semi join below the aggregation
+    that produced ``cells``, reading the source a second time, whereas this
+    way the shuffle of the counts is reused and the source is read once.
+    """
+    cells = cells.filter(F.col(group).isNotNull())  # an unknown group is never a top group
+    group_totals = cells.groupBy(group).agg(F.sum(total).alias(total))
+    top_keys = top_groups(group_totals, group, k=k, ties=ties, total=total, counted=True).select(group)
+    if ties == "first":
+        top_keys = F.broadcast(top_keys)  # bounded: at most k rows
+    return cells.join(top_keys, group, "inner")
 
 
 def rank_within_topk(df: DataFrame, group: str, item: str | Sequence[str], *, k_groups: int = 10,
@@ -92,21 +120,14 @@ def rank_within_topk(df: DataFrame, group: str, item: str | Sequence[str], *, k_
                      total: str = "total", include_null: bool = False) -> DataFrame:
     """Top items inside the top groups (N3: months in top cities, N4: names).
 
-    The top ``k_groups`` groups (at most k rows with ``group_ties='first'``)
-    are broadcast into a semi join; Catalyst pushes that semi join below the
-    (group, item) aggregation, so only rows of the top groups are counted
-    and shuffled, and a rank filter picks the items.  The group totals are
-    a separate aggregate over the group and item columns only.
-    Output: ``group, item..., total, rank``.
+    The (group, item) counts are aggregated once; the group totals are
+    summed from those counts, the top ``k_groups`` groups restrict them
+    (``restrict_to_top_groups``) and a rank filter picks the items.  The
+    source is scanned once.  Output: ``group, item..., total, rank``.
     """
     item = _as_list(item)
     cells = count_by(df, [group] + item, total)
-    group_totals = cells.groupBy(group).agg(F.sum(total).alias(total))
-    top = top_groups(group_totals, group, k=k_groups, ties=group_ties, total=total, counted=True)
-    top_keys = top.select(group)
-    if group_ties == "first":
-        top_keys = F.broadcast(top_keys)  # bounded: at most k_groups rows
-    kept = cells.join(top_keys, group, "left_semi")
+    kept = restrict_to_top_groups(cells, group, k=k_groups, total=total, ties=group_ties)
     return top_items_per_group(kept, group, item, k=k_items, ties=ties, total=total,
                                include_null=include_null, counted=True)
 

@@ -41,7 +41,7 @@ def q_row_count(spark, sf_dir):
 _PEAK_MONTHS_SQL = with_people("""
 , cells AS (SELECT address_city, CAST(month(birth_date) AS INTEGER) AS birth_month, count(*) AS total
             FROM people GROUP BY 1, 2)
-, top AS (SELECT address_city FROM cells GROUP BY address_city
+, top AS (SELECT address_city FROM cells WHERE address_city IS NOT NULL GROUP BY address_city
           ORDER BY sum(total) DESC, address_city ASC LIMIT 10)
 SELECT address_city, birth_month, total, CAST(rank AS INTEGER) AS rank FROM (
   SELECT c.*, rank() OVER (PARTITION BY address_city ORDER BY total DESC) AS rank
@@ -59,7 +59,7 @@ def q_peak_months_in_top_cities(spark, sf_dir):
 
 @register("top_names_in_top_cities", with_people("""
 , cells AS (SELECT address_city, last_name, count(*) AS total FROM people GROUP BY 1, 2)
-, top AS (SELECT address_city FROM cells GROUP BY address_city
+, top AS (SELECT address_city FROM cells WHERE address_city IS NOT NULL GROUP BY address_city
           ORDER BY sum(total) DESC, address_city ASC LIMIT 10)
 SELECT address_city, last_name, total, CAST(rank AS INTEGER) AS rank FROM (
   SELECT c.*, rank() OVER (PARTITION BY address_city ORDER BY total DESC) AS rank
@@ -74,7 +74,8 @@ def q_top_names_in_top_cities(spark, sf_dir):
 
 @register("rank_within_topk", """
 WITH cells AS (SELECT user_id, event_type, count(*) AS total FROM events GROUP BY 1, 2)
-, top AS (SELECT user_id FROM cells GROUP BY user_id ORDER BY sum(total) DESC, user_id ASC LIMIT 10)
+, top AS (SELECT user_id FROM cells WHERE user_id IS NOT NULL GROUP BY user_id
+          ORDER BY sum(total) DESC, user_id ASC LIMIT 10)
 SELECT user_id, event_type, total, CAST(rank AS INTEGER) AS rank FROM (
   SELECT c.*, rank() OVER (PARTITION BY user_id ORDER BY total DESC) AS rank
   FROM cells c WHERE event_type IS NOT NULL AND user_id IN (SELECT user_id FROM top))
@@ -311,17 +312,18 @@ def q_top_letter(spark, sf_dir):
 # --------------------------------------------------------------------------
 
 _TOP_CITIES_SQL = """
-, top AS (SELECT address_city FROM people GROUP BY 1 ORDER BY count(*) DESC, address_city ASC LIMIT 10)
+, top AS (SELECT address_city FROM people WHERE address_city IS NOT NULL GROUP BY 1
+          ORDER BY count(*) DESC, address_city ASC LIMIT 10)
 , kept AS (SELECT * FROM people WHERE address_city IN (SELECT address_city FROM top))
 """
 
 
-def _in_top_cities(spark, sf_dir, k=10):
-    from popstats.operators.ranking import top_groups
+def _top_city_cells(spark, sf_dir, item="last_name", k=10):
+    """(city, item) counts restricted to the k most populous cities (one scan)."""
+    from popstats.operators.ranking import count_by, restrict_to_top_groups
 
-    p = _people(spark, sf_dir)
-    top = top_groups(p.select("address_city"), "address_city", k=k).select("address_city")
-    return p.join(F.broadcast(top), "address_city", "left_semi")  # at most k rows
+    cells = count_by(_people(spark, sf_dir).select("address_city", item), ["address_city", item])
+    return restrict_to_top_groups(cells, "address_city", k=k)
 
 
 @register("dense_counts", with_people(f"""{_TOP_CITIES_SQL}
@@ -358,7 +360,8 @@ FROM s
     a="address_city", b="last_name", src="kept")))
 def q_contingency_chi2(spark, sf_dir):
     """N4 intended test: are surname and city independent (top-10 cities)?"""
-    return association.contingency_chi2(_in_top_cities(spark, sf_dir), "address_city", "last_name")
+    return association.contingency_chi2(_top_city_cells(spark, sf_dir), "address_city", "last_name",
+                                        counts="total")
 
 
 @register("contingency_chi2_lineitem", "WITH x AS (SELECT 1)" + _CHI2_SQL.format(
@@ -371,8 +374,8 @@ def q_contingency_chi2_lineitem(spark, sf_dir):
 @register("contingency_chi2_p")
 def q_contingency_chi2_p(spark, sf_dir):
     """Surname x city test with its p-value (chi-square upper tail)."""
-    return association.contingency_chi2(_in_top_cities(spark, sf_dir), "address_city", "last_name",
-                                        p_value=True)
+    return association.contingency_chi2(_top_city_cells(spark, sf_dir), "address_city", "last_name",
+                                        counts="total", p_value=True)
 
 
 @register("chi_square_features")
