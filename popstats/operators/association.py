@@ -69,11 +69,14 @@ def contingency_chi2(df: DataFrame, a: str, b: str, *, counts: str | None = None
     rounded to ``digits`` decimals so the result does not depend on
     summation order.
     """
+    # the same explicit NULL filter on both columns in every branch (cells,
+    # row margins, column margins) keeps the three subtrees identical, so
+    # the counting shuffle is computed once and reused
+    both = F.col(a).isNotNull() & F.col(b).isNotNull()
     if counts:
-        cells = (df.filter(F.col(a).isNotNull() & F.col(b).isNotNull())
-                 .select(a, b, F.col(counts).alias("_o")))
+        cells = df.filter(both).select(a, b, F.col(counts).alias("_o"))
     else:
-        cells = count_by(df.select(a, b).na.drop(), [a, b], "_o")
+        cells = count_by(df.filter(both).select(a, b), [a, b], "_o")
     rows = cells.groupBy(a).agg(F.sum("_o").alias("_r"))
     cols = cells.groupBy(b).agg(F.sum("_o").alias("_c"))
     o = F.col("_o").cast("double")
