@@ -47,22 +47,25 @@ def clean_dates(df: DataFrame, column: str = "date_of_birth", *, out: str = "bir
     """Add the parsed date (and month, year, status) to ``df``.
 
     Defaults follow the reference: rows of the wrong shape are removed,
-    impossible dates stay with a NULL date.
+    impossible dates stay with a NULL date.  The shape test is the only
+    thing the malformed filter evaluates (a filter is pushed towards the
+    scan and would otherwise repeat the parse); the date is parsed once
+    and status, month and year are derived from it.
     """
     text = F.col(column)
-    out_df = df.withColumn(out, parse_date(text, pattern, shape))
-    if status or drop_malformed or not keep_impossible:
-        out_df = out_df.withColumn("_status", date_status(text, pattern, shape))
-    if drop_malformed:
-        out_df = out_df.filter(F.col("_status") != "malformed")
+    well_shaped = F.coalesce(text.rlike(shape), F.lit(False))
+    out_df = df.filter(well_shaped) if drop_malformed else df
+    out_df = out_df.withColumn(out, parse_date(text, pattern, shape))
     if not keep_impossible:
-        out_df = out_df.filter(F.col("_status") != "impossible")
+        out_df = out_df.filter(F.col(out).isNotNull())
+    if status:
+        out_df = out_df.withColumn(status, F.when(~well_shaped, F.lit("malformed"))
+                                   .when(F.col(out).isNull(), F.lit("impossible"))
+                                   .otherwise(F.lit("ok")))
     if month:
         out_df = out_df.withColumn(month, F.month(out))
     if year:
         out_df = out_df.withColumn(year, F.year(out))
-    if "_status" in out_df.columns:
-        out_df = out_df.withColumnRenamed("_status", status) if status else out_df.drop("_status")
     return out_df
 
 
