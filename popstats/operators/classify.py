@@ -2,8 +2,9 @@
 
 Pipeline: reproducible key-hash split (train/valid/test) -> optional cap
 of the label to its most frequent classes -> ``StringIndexer`` +
-``OneHotEncoder`` (or ``FeatureHasher`` for very large vocabularies, which
-needs no fitted vocabulary at all) -> ``VectorAssembler`` ->
+``OneHotEncoder`` for columns with at most ``max_onehot`` distinct values
+and ``FeatureHasher`` for the others (no fitted vocabulary, nothing on the
+driver, a fixed model width) -> ``VectorAssembler`` ->
 ``LogisticRegression``.  Everything that learns from data is fitted on the
 training part only; unseen categories map to the 'keep' bucket.
 
@@ -53,27 +54,44 @@ def _capped_label(train: DataFrame, data: DataFrame, label: str, max_classes: in
     return kept.withColumn(label, F.when(F.col("_keep").isNull(), F.lit(OTHER)).otherwise(F.col(label))).drop("_keep")
 
 
-def _prep_pipeline(features: Sequence[str], label: str, encoder: str, num_hash_features: int):
+def _prep_pipeline(features: Sequence[str], label: str, hashed: Sequence[str], num_hash_features: int):
+    """Label index + one-hot for ``features`` not in ``hashed`` + hashing for
+    those in ``hashed``, assembled into one ``features`` vector."""
     from pyspark.ml import Pipeline
     from pyspark.ml.feature import FeatureHasher, OneHotEncoder, StringIndexer, VectorAssembler
 
-    features = list(features)
-    if encoder == "onehot":
-        # one indexer for label and features: one pass over the training data
-        idx = [f"_i{i}" for i in range(len(features))]
-        ohe = [f"_o{i}" for i in range(len(features))]
-        stages = [StringIndexer(inputCols=[label] + features, outputCols=["_label"] + idx, handleInvalid="keep"),
-                  OneHotEncoder(inputCols=idx, outputCols=ohe, handleInvalid="keep"),
-                  VectorAssembler(inputCols=ohe, outputCol="features")]
-    elif encoder == "hash":
-        stages = [StringIndexer(inputCol=label, outputCol="_label", handleInvalid="keep"),
-                  FeatureHasher(inputCols=features, outputCol="features",
-                                numFeatures=num_hash_features, categoricalCols=features)]
-    else:
-        raise ValueError("encoder must be 'onehot' or 'hash'")
+    onehot = [c for c in features if c not in set(hashed)]
+    idx = [f"_i{i}" for i in range(len(onehot))]
+    ohe = [f"_o{i}" for i in range(len(onehot))]
+    # one indexer for the label and the one-hot features: one pass over train
+    stages = [StringIndexer(inputCols=[label] + onehot, outputCols=["_label"] + idx, handleInvalid="keep")]
+    parts = []
+    if onehot:
+        stages.append(OneHotEncoder(inputCols=idx, outputCols=ohe, handleInvalid="keep"))
+        parts += ohe
+    if hashed:
+        stages.append(FeatureHasher(inputCols=list(hashed), outputCol="_hashed",
+                                    numFeatures=num_hash_features, categoricalCols=list(hashed)))
+        parts.append("_hashed")
+    stages.append(VectorAssembler(inputCols=parts, outputCol="features"))
     return Pipeline(stages=stages)
 
 
+def _hashed_columns(train: DataFrame, features: Sequence[str], encoder: str, max_onehot: int) -> list[str]:
+    """Which features to hash.  ``auto`` hashes the columns whose approximate
+    distinct count (HyperLogLog, one pass, one row back) exceeds
+    ``max_onehot``: their vocabularies would otherwise be collected by the
+    indexer and widen the model by one coefficient per value and class."""
+    if encoder == "onehot":
+        return []
+    if encoder == "hash":
+        return list(features)
+    if encoder != "auto":
+        raise ValueError("encoder must be 'auto', 'onehot' or 'hash'")
+    card = train.agg(*[F.approx_count_distinct(c).alias(c) for c in features]).first()
+    return [c for c in features if card[c] > max_onehot]
+
+
 def weighted_scores(confusion: Sequence[tuple[float, float, int]]) -> tuple[float, float, int]:
     """Weighted F1 and accuracy from ``(label, prediction, count)`` cells, with
     the definitions of ``MulticlassMetrics`` (a class's F1 is 0 when its
@@ -116,7 +134,7 @@ def _at_least_parallelism(df: DataFrame) -> DataFrame:
 def train_classifier(df: DataFrame, features: Sequence[str], label: str, key: str, *,
                      reg_params: Sequence[float] = (0.3, 0.01, 0.001), weights=(0.7, 0.1, 0.2),
                      seed: int = 100, max_classes: int | None = None, max_iter: int = 100,
-                     elastic_net: float = 0.0, encoder: str = "onehot",
+                     elastic_net: float = 0.0, encoder: str = "auto", max_onehot: int = 1000,
                      num_hash_features: int = 1 << 18, evaluate_test: bool = True,
                      parallelism: int | None = None) -> Classifier:
     """Fit on train, pick ``regParam`` by validation F1, score the test part."""
@@ -132,7 +150,8 @@ def train_classifier(df: DataFrame, features: Sequence[str], label: str, key: st
     # the cores and cut the lineage once (the source joins never rerun)
     data = cut_lineage(_at_least_parallelism(data))
     train = data.filter(F.col("part") == "train")
-    prep = _prep_pipeline(features, label, encoder, num_hash_features).fit(train)
+    hashed = _hashed_columns(train, features, encoder, max_onehot)
+    prep = _prep_pipeline(features, label, hashed, num_hash_features).fit(train)
     encoded = prep.transform(data).select(key, "part", label, "_label", "features")
     train_x = encoded.filter(F.col("part") == "train")
     valid_x = encoded.filter(F.col("part") == "valid")

@@ -54,3 +54,16 @@ def test_hashing_encoder_and_class_cap(spark):
     rows = out.collect()
     assert [r.part for r in rows] == ["valid", "test"]
     assert all(0 <= r.accuracy <= 1 and r.n > 0 for r in rows)
+
+
+def test_auto_encoder_hashes_wide_columns(spark):
+    from popstats.operators.classify import _hashed_columns
+
+    people = load_people(spark, SF_SMALL)
+    wide = _hashed_columns(people, ["person_id", "gender", "street"], "auto", 50)
+    assert wide == ["person_id", "street"]
+    assert _hashed_columns(people, ["street"], "onehot", 50) == []
+    clf = classify.train_classifier(people, ["gender", "street", "origin_city"], "address_city", "person_id",
+                                    reg_params=(0.01,), max_iter=10, max_onehot=50, num_hash_features=256)
+    assert clf.prep.stages[-2].__class__.__name__ == "FeatureHasher"
+    assert clf.metrics[-1][0] == "test"
