@@ -33,6 +33,9 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
     builder = SparkSession.builder.master(master).appName(app_name)
     for key, value in _DEFAULTS.items():
         builder = builder.config(key, value)
+    if master.startswith("local"):
+        # a few MB of shuffle is common in local runs: keep several partitions
+        builder = builder.config("spark.sql.adaptive.coalescePartitions.minPartitionSize", "64k")
     if shuffle_partitions is not None:
         builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
     builder = builder.config("spark.driver.memory", os.environ.get("POPSTATS_DRIVER_MEMORY", "16g"))
