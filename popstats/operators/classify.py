@@ -124,13 +124,6 @@ def _evaluate(pred: DataFrame) -> tuple[float, float, int]:
     return weighted_scores([(float(r["_label"]), float(r["prediction"]), int(r["n"])) for r in cells])
 
 
-def _at_least_parallelism(df: DataFrame) -> DataFrame:
-    """Spread a frame over the cluster's cores when its source gives fewer
-    partitions (never merges: large inputs keep their own partitioning)."""
-    target = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(target) if df.rdd.getNumPartitions() < target else df
-
-
 def train_classifier(df: DataFrame, features: Sequence[str], label: str, key: str, *,
                      reg_params: Sequence[float] = (0.3, 0.01, 0.001), weights=(0.7, 0.1, 0.2),
                      seed: int = 100, max_classes: int | None = None, max_iter: int = 100,
@@ -146,9 +139,9 @@ def train_classifier(df: DataFrame, features: Sequence[str], label: str, key: st
             .filter(F.col(label).isNotNull()))
     data = split_by_key(data, key, weights=weights, seed=seed)
     data = _capped_label(data.filter(F.col("part") == "train"), data, label, max_classes)
-    # the iterative fit reads the training part many times: balance it over
-    # the cores and cut the lineage once (the source joins never rerun)
-    data = cut_lineage(_at_least_parallelism(data))
+    # the iterative fit reads the training part many times: cut the lineage
+    # once, so the source joins never rerun
+    data = cut_lineage(data)
     train = data.filter(F.col("part") == "train")
     hashed = _hashed_columns(train, features, encoder, max_onehot)
     prep = _prep_pipeline(features, label, hashed, num_hash_features).fit(train)
