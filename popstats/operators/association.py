@@ -52,7 +52,8 @@ def count_pivot(df: DataFrame, row: str, column: str, *, values: Sequence | None
     the driver to name the output columns).  Missing counts are 0.
     """
     if values is None:
-        values = [r[0] for r in top_groups(df.select(column), column, k=k).select(column).collect()]
+        named = df.select(column).filter(F.col(column).isNotNull())  # NULL cannot name a column
+        values = [r[0] for r in top_groups(named, column, k=k).select(column).collect()]
     values = list(values)
     return (df.filter(F.col(column).isin(values))
             .groupBy(row).pivot(column, values).agg(F.count(F.lit(1)))

@@ -337,7 +337,12 @@ def q_dense_counts(spark, sf_dir):
     return association.dense_counts(_people(spark, sf_dir), "address_city", "last_name", k_groups=10)
 
 
-@register("count_pivot")
+@register("count_pivot", with_people("""
+, top AS (SELECT address_city FROM people WHERE address_city IS NOT NULL GROUP BY 1
+          ORDER BY count(*) DESC, address_city ASC LIMIT 10)
+, kept AS (SELECT last_name, address_city FROM people WHERE address_city IN (SELECT address_city FROM top))
+SELECT * FROM (PIVOT kept ON address_city USING count(*) GROUP BY last_name)
+"""))
 def q_count_pivot(spark, sf_dir):
     """N4 (commented-out variant in the reference): surnames x top-10 cities, wide."""
     return association.count_pivot(_people(spark, sf_dir), "last_name", "address_city", k=10)

@@ -57,8 +57,7 @@ def test_rows_only_queries_run(spark, key):
 
 def test_every_key_has_an_oracle_or_is_non_sql():
     non_sql = set(entry.queries()) - set(entry.oracle_sql())
-    assert non_sql <= SLOW | {"count_pivot", "contingency_chi2_p", "chi_square_features",
-                              "sample_by_key", "split_by_key"}
+    assert non_sql <= SLOW | {"contingency_chi2_p", "chi_square_features", "sample_by_key", "split_by_key"}
 
 
 def test_entry_smoke(spark):
