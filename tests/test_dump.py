@@ -80,3 +80,25 @@ def test_streaming_ingest_matches_batch(spark, scratch):
     finally:
         q.stop()
     assert got == [("100001", "ok"), ("100002", "impossible")]
+
+
+def test_start_ingest_exactly_once_to_parquet(spark, scratch):
+    from popstats.streaming.ingest import start_ingest
+
+    src, out, ckpt = (os.path.join(scratch, d) for d in ("src", "out", "ckpt"))
+    os.makedirs(src)
+    with open(os.path.join(src, "a.txt"), "w") as f:
+        f.write("100001\tx\t1/2/1950\t<NULL>\n100002\ty\tbad\t<NULL>\n")
+    cols = ("uid", "name", "date_of_birth")
+    q = start_ingest(spark, src, out, columns=cols, date_column="date_of_birth", checkpoint=ckpt,
+                     trigger_once=True, query_name="ingest_once")
+    q.awaitTermination(120)
+    first = rows(spark.read.parquet(out), "uid", "date_status")
+    assert first == [("100001", "ok")]
+    # a restart with the same checkpoint reads only the new file
+    with open(os.path.join(src, "b.txt"), "w") as f:
+        f.write("100003\tz\t31/2/1950\t<NULL>\n")
+    q = start_ingest(spark, src, out, columns=cols, date_column="date_of_birth", checkpoint=ckpt,
+                     trigger_once=True, query_name="ingest_once")
+    q.awaitTermination(120)
+    assert rows(spark.read.parquet(out), "uid", "date_status") == [("100001", "ok"), ("100003", "impossible")]
