@@ -224,7 +224,7 @@ def q_gender_counts(spark, sf_dir):
 
 
 @register("gender_ratio", with_people("""
-SELECT count_if(gender = 'M') AS male, count_if(gender = 'F') AS female,
+SELECT CAST(count_if(gender = 'M') AS BIGINT) AS male, CAST(count_if(gender = 'F') AS BIGINT) AS female,
        CAST(count_if(gender = 'M') AS DOUBLE) / nullif(count_if(gender = 'F'), 0) AS ratio
 FROM people
 """))
@@ -271,10 +271,10 @@ def q_density(spark, sf_dir):
 
 
 @register("migration_share", with_people("""
-SELECT 'district' AS pair, count_if(origin_district != address_district) AS moved, count(*) AS total,
+SELECT 'district' AS pair, CAST(count_if(origin_district != address_district) AS BIGINT) AS moved, count(*) AS total,
        count_if(origin_district != address_district) / count(*) AS proportion FROM people
 UNION ALL
-SELECT 'city', count_if(origin_city != address_city), count(*),
+SELECT 'city', CAST(count_if(origin_city != address_city) AS BIGINT), count(*),
        count_if(origin_city != address_city) / count(*) FROM people
 """))
 def q_migration_share(spark, sf_dir):
@@ -352,7 +352,7 @@ _CHI2_SQL = """
 , cells AS (SELECT {a} AS a, {b} AS b, count(*) AS o FROM {src} WHERE {a} IS NOT NULL AND {b} IS NOT NULL GROUP BY 1, 2)
 , r AS (SELECT a, sum(o) AS r FROM cells GROUP BY a)
 , c AS (SELECT b, sum(o) AS c FROM cells GROUP BY b)
-, s AS (SELECT sum(o) AS n, sum(CAST(o AS DOUBLE) * o / (CAST(r AS DOUBLE) * c)) AS s,
+, s AS (SELECT CAST(sum(o) AS BIGINT) AS n, sum(CAST(o AS DOUBLE) * o / (CAST(r AS DOUBLE) * c)) AS s,
                count(DISTINCT cells.a) AS nr, count(DISTINCT cells.b) AS nc
         FROM cells JOIN r ON cells.a = r.a JOIN c ON cells.b = c.b)
 SELECT round(greatest(n * (s - 1), 0.0), 9) AS statistic, CAST((nr - 1) * (nc - 1) AS BIGINT) AS dof,

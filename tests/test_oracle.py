@@ -70,3 +70,16 @@ def test_no_python_in_sql_checked_plans(spark):
     for key in sorted(entry.oracle_sql()):
         plan = plan_text(entry.queries()[key](spark, SF_SMALL))
         assert "BatchEvalPython" not in plan and "ArrowEvalPython" not in plan, key
+
+
+_TYPES = {"bigint": "BIGINT", "int": "INTEGER", "string": "VARCHAR", "double": "DOUBLE", "date": "DATE",
+          "boolean": "BOOLEAN", "timestamp_ntz": "TIMESTAMP"}
+
+
+@pytest.mark.parametrize("key", sorted(entry.oracle_sql()))
+def test_oracle_types_match(spark, con, key):
+    df = entry.queries()[key](spark, SF_SMALL)
+    rel = con.sql(entry.oracle_sql()[key])
+    ours = {n: _TYPES.get(t, t) for n, t in df.dtypes}
+    theirs = {n: str(t) for n, t in zip(rel.columns, rel.types)}
+    assert ours == theirs
