@@ -14,9 +14,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-MODELS = ("linear", "log")
-
-
 def _origin(counts: DataFrame, year: str, origin: int | None) -> Column:
     if origin is not None:
         return F.lit(origin)

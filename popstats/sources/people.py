@@ -102,8 +102,3 @@ JOIN part p ON p.p_partkey = (o.o_orderkey * 13 + o.o_custkey) % 200
 def with_people(sql: str) -> str:
     """Prefix an oracle query with the ``people`` CTE."""
     return f"WITH people AS ({PEOPLE_SQL})\n{sql}"
-
-
-def gender_codes() -> dict[str, str]:
-    """Codes used by the synthetic view (the reference's dump used other codes)."""
-    return {"male": "M", "female": "F"}

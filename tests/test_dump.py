@@ -102,3 +102,10 @@ def test_start_ingest_exactly_once_to_parquet(spark, scratch):
                      trigger_once=True, query_name="ingest_once")
     q.awaitTermination(120)
     assert rows(spark.read.parquet(out), "uid", "date_status") == [("100001", "ok"), ("100003", "impossible")]
+
+
+def test_rejects_stream_on_static_lines(spark):
+    from popstats.streaming.ingest import rejects_stream
+
+    out = {r.value: r.reason for r in rejects_stream(_lines(spark), columns=COLS).collect()}
+    assert out["123459\tx\t<NULL>"] == "field_count" and out["uid\ta\tb\tmisc"] == "no_uid"
