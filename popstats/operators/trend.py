@@ -101,10 +101,15 @@ def trend_eval(counts: DataFrame, *, year: str = "year", total: str = "total",
 
 
 def next_year_forecast(counts: DataFrame, *, year: str = "year", total: str = "total",
-                       origin: int | None = None, digits: int = 6) -> DataFrame:
-    """Fit both models on all years and forecast the year after the last one:
-    ``model, year, forecast`` (the log model's forecast is ``exp`` of its fit)."""
+                       origin: int | None = None, model: str | None = None, digits: int = 6) -> DataFrame:
+    """Fit the models on all years and forecast the year after the last one:
+    ``model, year, forecast`` (the log model's forecast is ``exp`` of its fit).
+    ``model`` ('linear' or 'log') keeps one model; both by default."""
+    if model not in (None, "linear", "log"):
+        raise ValueError("model must be 'linear', 'log' or None")
     long = _long(counts, year, total, origin)
+    if model:
+        long = long.filter(F.col("model") == model)
     fit = _fit(long)
     last = long.groupBy("model").agg(F.max("year").alias("_last"),
                                      F.max(F.col("year") - F.col("index")).alias("_origin"))

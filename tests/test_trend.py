@@ -54,3 +54,9 @@ def test_trend_eval_hash_split(spark):
     assert lin.r2 == pytest.approx(1.0) and lin.slope == pytest.approx(2.0)
     again = {r.model: r for r in trend.trend_eval(df.repartition(7), split="hash", seed=2020).collect()}
     assert again["linear"].n_test == lin.n_test
+
+
+def test_forecast_single_model(spark):
+    df = _yearly(spark, [(2000 + i, 100 + 5 * i) for i in range(10)])
+    out = [tuple(r) for r in trend.next_year_forecast(df, model="linear").collect()]
+    assert out == [("linear", 2010, 150.0)]
