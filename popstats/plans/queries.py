@@ -11,8 +11,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from popstats.operators import ranking
+from popstats.functions.dates import age_years as _age_years
+from popstats.functions.dates import clean_dates as _clean_dates
+from popstats.operators import association, classify, distribution, features, ranking, sampling, trend
 from popstats.plans.registry import register
+from popstats.sources import dump
 from popstats.sources.people import load_people, with_people
 from popstats.sources.tables import table
 
@@ -29,9 +32,7 @@ def _people(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register("row_count", with_people("SELECT count(*) AS total FROM people"))
 def q_row_count(spark, sf_dir):
-    from popstats.operators.distribution import row_count
-
-    return row_count(_people(spark, sf_dir))
+    return distribution.row_count(_people(spark, sf_dir))
 
 
 # --------------------------------------------------------------------------
@@ -179,8 +180,6 @@ def q_top_first_names_by_gender(spark, sf_dir):
 # Ages, bands, shares
 # --------------------------------------------------------------------------
 
-from popstats.functions.dates import age_years as _age_years  # noqa: E402
-from popstats.operators import association, distribution, trend  # noqa: E402
 
 # months_between(DATE '2009-12-31', d) for the fixed reference day, in DuckDB
 _AGE_SQL = ("round(((2009 - year(birth_date)) * 12 + 12 - month(birth_date) + "
@@ -467,8 +466,6 @@ def q_next_year_forecast(spark, sf_dir):
 # ISO (malformed) and 31 February (impossible) dates, empty dates.
 # --------------------------------------------------------------------------
 
-from popstats.functions.dates import clean_dates as _clean_dates  # noqa: E402
-from popstats.sources import dump  # noqa: E402
 
 PEOPLE_DUMP_COLUMNS = ("uid", "first_name", "last_name", "gender", "date_of_birth", "origin_city",
                        "origin_district", "address_city", "address_district", "street")
@@ -567,7 +564,6 @@ def q_date_status_counts(spark, sf_dir):
 # Completeness, sampling, splitting, vocabularies
 # --------------------------------------------------------------------------
 
-from popstats.operators import classify, features, sampling  # noqa: E402
 
 _PEOPLE_COLS = ("person_id", "uid", "first_name", "last_name", "gender", "birth_date", "origin_city",
                 "address_city", "origin_district", "address_district", "street")
