@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from popstats.operators.ranking import top_groups
-from popstats.operators.sampling import split_by_key
+from popstats.operators.sampling import sample_by_key, split_by_key
 from popstats.session import cut_lineage
 
 OTHER = "__other__"
@@ -129,14 +129,22 @@ def train_classifier(df: DataFrame, features: Sequence[str], label: str, key: st
                      seed: int = 100, max_classes: int | None = None, max_iter: int = 100,
                      elastic_net: float = 0.0, encoder: str = "auto", max_onehot: int = 1000,
                      num_hash_features: int = 1 << 18, evaluate_test: bool = True,
-                     parallelism: int | None = None) -> Classifier:
-    """Fit on train, pick ``regParam`` by validation F1, score the test part."""
+                     parallelism: int | None = None, sample_fraction: float | None = None,
+                     sample_seed: int = 2018) -> Classifier:
+    """Fit on train, pick ``regParam`` by validation F1, score the test part.
+
+    ``sample_fraction`` first keeps a reproducible Bernoulli sample of the
+    rows (decided by a hash of ``key``), as the reference did before its
+    model fits; by default every row is used.
+    """
     from pyspark.ml.classification import LogisticRegression
 
     features = list(features)
     data = (df.select(key, *[F.col(c).cast("string").alias(c) for c in features],
                       F.col(label).cast("string").alias(label))
             .filter(F.col(label).isNotNull()))
+    if sample_fraction is not None:
+        data = sample_by_key(data, key, sample_fraction, seed=sample_seed)
     data = split_by_key(data, key, weights=weights, seed=seed)
     data = _capped_label(data.filter(F.col("part") == "train"), data, label, max_classes)
     # the iterative fit reads the training part many times: cut the lineage

@@ -67,3 +67,15 @@ def test_auto_encoder_hashes_wide_columns(spark):
                                     reg_params=(0.01,), max_iter=10, max_onehot=50, num_hash_features=256)
     assert clf.prep.stages[-2].__class__.__name__ == "FeatureHasher"
     assert clf.metrics[-1][0] == "test"
+
+
+def test_sample_fraction_trains_on_a_reproducible_sample(spark):
+    people = load_people(spark, SF_SMALL)
+    clf = classify.train_classifier(people, ["origin_city"], "address_city", "person_id",
+                                    reg_params=(0.01,), max_iter=5, sample_fraction=0.5)
+    n = sum(m[4] for m in clf.metrics)  # valid + test rows
+    full = people.count()
+    assert 0 < clf.splits["train"].count() + n < full
+    again = classify.train_classifier(people, ["origin_city"], "address_city", "person_id",
+                                      reg_params=(0.01,), max_iter=5, sample_fraction=0.5)
+    assert [m[4] for m in again.metrics] == [m[4] for m in clf.metrics]
