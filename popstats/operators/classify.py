@@ -124,13 +124,26 @@ def _evaluate(pred: DataFrame) -> tuple[float, float, int]:
     return weighted_scores([(float(r["_label"]), float(r["prediction"]), int(r["n"])) for r in cells])
 
 
+def _fit_partitions(data: DataFrame, rows_per_partition: int) -> DataFrame:
+    """Each L-BFGS iteration is one job over every partition, so small data
+    split into many small partitions pays task overhead on every iteration.
+    When the materialised data holds fewer than ``rows_per_partition`` rows
+    per core, it is merged (``coalesce``: narrow, no shuffle) to one
+    partition per core; larger data keeps its partitioning."""
+    cores = data.sparkSession.sparkContext.defaultParallelism
+    rows = data.count()  # reads the checkpoint (or fills the persisted copy) once
+    if data.rdd.getNumPartitions() > cores and rows <= rows_per_partition * cores:
+        return data.coalesce(cores)
+    return data
+
+
 def train_classifier(df: DataFrame, features: Sequence[str], label: str, key: str, *,
                      reg_params: Sequence[float] = (0.3, 0.01, 0.001), weights=(0.7, 0.1, 0.2),
                      seed: int = 100, max_classes: int | None = None, max_iter: int = 100,
                      elastic_net: float = 0.0, encoder: str = "auto", max_onehot: int = 1000,
                      num_hash_features: int = 1 << 18, evaluate_test: bool = True,
                      parallelism: int | None = None, sample_fraction: float | None = None,
-                     sample_seed: int = 2018) -> Classifier:
+                     sample_seed: int = 2018, rows_per_partition: int = 1_000_000) -> Classifier:
     """Fit on train, pick ``regParam`` by validation F1, score the test part.
 
     ``sample_fraction`` first keeps a reproducible Bernoulli sample of the
@@ -149,7 +162,7 @@ def train_classifier(df: DataFrame, features: Sequence[str], label: str, key: st
     data = _capped_label(data.filter(F.col("part") == "train"), data, label, max_classes)
     # the iterative fit reads the training part many times: cut the lineage
     # once, so the source joins never rerun
-    data = cut_lineage(data)
+    data = _fit_partitions(cut_lineage(data), rows_per_partition)
     train = data.filter(F.col("part") == "train")
     hashed = _hashed_columns(train, features, encoder, max_onehot)
     prep = _prep_pipeline(features, label, hashed, num_hash_features).fit(train)
