@@ -35,3 +35,16 @@ def test_get_session_keeps_cluster_settings(spark):
     assert session.get_session() is spark
     assert spark.conf.get("spark.sql.shuffle.partitions") == "8"
     assert os.path.isdir(session.ensure_checkpoint_dir(spark).replace("file:", ""))
+
+
+def test_table_schema_cache_is_keyed_by_file_state(spark, tmp_path):
+    from popstats.sources import tables
+
+    d = tmp_path / "sf"
+    spark.range(3).selectExpr("id AS o_orderkey").write.parquet(str(d / "orders.parquet"))
+    first = tables.table(spark, str(d), "orders")
+    again = tables.table(spark, str(d), "orders")
+    assert first.schema == again.schema and again.count() == 3
+    spark.range(5).selectExpr("id AS o_orderkey", "id * 2 AS o_custkey").write.mode("overwrite") \
+        .parquet(str(d / "orders.parquet"))
+    assert tables.table(spark, str(d), "orders").columns == ["o_orderkey", "o_custkey"]
