@@ -25,14 +25,18 @@ def dense_index(df: DataFrame, by: str, order: Sequence[Column], *, out: str = "
     """
     ranged = (df.repartitionByRange(F.col(by).asc(), *order)
               .withColumn("_pid", F.spark_partition_id()))
-    local = ranged.withColumn("_local", F.row_number().over(Window.partitionBy("_pid", by).orderBy(*order)))
-    sizes = ranged.groupBy(by, "_pid").agg(F.count(F.lit(1)).alias("_n"))
+    # position and size come from the same window, so both see the partition
+    # ids assigned once (that stage's shuffle is reused by the join below)
+    part = Window.partitionBy("_pid", by)
+    local = (ranged.withColumn("_local", F.row_number().over(part.orderBy(*order)))
+             .withColumn("_n", F.count(F.lit(1)).over(part)))
+    sizes = local.groupBy(by, "_pid").agg(F.max("_n").alias("_n"))
     before = Window.partitionBy(by).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
     offsets = sizes.select(by, "_pid", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off"))
     # offsets: one row per (range partition, group) -> bounded by partitions x groups
     return (local.join(F.broadcast(offsets), [by, "_pid"])
             .withColumn(out, (F.col("_off") + F.col("_local") - 1).cast("long"))
-            .drop("_pid", "_local", "_off"))
+            .drop("_pid", "_local", "_n", "_off"))
 
 
 def string_index(df: DataFrame, columns: Sequence[str], *, total: str = "total") -> DataFrame:

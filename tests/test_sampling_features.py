@@ -56,3 +56,12 @@ def test_string_index_matches_stringindexer(spark):
     labels = StringIndexer(inputCol="x", outputCol="i").fit(df).labels
     assert ours == {v: i for i, v in enumerate(labels)}
     assert ours == {"c": 0, "a": 1, "b": 2, "d": 3}
+
+
+def test_dense_index_with_adaptive_coalescing(spark):
+    df = spark.range(30000).select((F.col("id") % 4).cast("string").alias("g"), F.col("id").alias("v"))
+    out = features.dense_index(df.repartition(11), "g", [F.col("v").asc()])
+    got = out.groupBy("g").agg(F.min("index").alias("lo"), F.max("index").alias("hi"),
+                               F.countDistinct("index").alias("n")).collect()
+    assert sorted((r.g, r.lo, r.hi, r.n) for r in got) == [(g, 0, 7499, 7500) for g in "0123"]
+    assert out.filter((F.col("index") != (F.col("v") / 4).cast("long"))).count() == 0
