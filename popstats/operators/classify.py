@@ -171,11 +171,15 @@ def train_classifier(df: DataFrame, features: Sequence[str], label: str, key: st
     valid_x = encoded.filter(F.col("part") == "valid")
     test_x = encoded.filter(F.col("part") == "test")
 
+    # with one candidate and no report wanted, validation would choose nothing
+    score_valid = len(reg_params) > 1 or evaluate_test
+
     def fit_and_score(rp: float):
         lr = LogisticRegression(featuresCol="features", labelCol="_label", maxIter=max_iter,
                                 regParam=float(rp), elasticNetParam=float(elastic_net))
         model = lr.fit(train_x)
-        return float(rp), model, _evaluate(model.transform(valid_x))
+        scores = _evaluate(model.transform(valid_x)) if score_valid else (float("nan"), float("nan"), 0)
+        return float(rp), model, scores
 
     # grid points are independent: fit them concurrently on the same
     # checkpointed data, as TrainValidationSplit(parallelism=...) does
@@ -184,7 +188,8 @@ def train_classifier(df: DataFrame, features: Sequence[str], label: str, key: st
         fitted = list(pool.map(fit_and_score, reg_params))
     metrics, best = [], None
     for rp, model, (f1, acc, n) in fitted:
-        metrics.append(("valid", rp, f1, acc, n))
+        if score_valid:
+            metrics.append(("valid", rp, f1, acc, n))
         if best is None or f1 > best[0]:
             best = (f1, rp, model)
     _, best_rp, best_model = best
