@@ -14,6 +14,7 @@ import pytest
 from conftest import SF_SMALL, plan_text
 
 import __spark_entry__ as entry
+from popstats import plans
 from popstats.sources.tables import TABLES
 
 SLOW = {"classify_eval", "classify_eval_gender", "classify_eval_name", "topk_accuracy", "top_confident"}
@@ -40,23 +41,23 @@ def con():
     return c
 
 
-@pytest.mark.parametrize("key", sorted(entry.oracle_sql()))
+@pytest.mark.parametrize("key", sorted(plans.oracles()))
 def test_query_matches_oracle(spark, con, key):
-    df = entry.queries()[key](spark, SF_SMALL)
+    df = plans.queries()[key](spark, SF_SMALL)
     got = [tuple(r) for r in df.collect()]
-    rel = con.sql(entry.oracle_sql()[key])
+    rel = con.sql(plans.oracles()[key])
     assert sorted(df.columns) == sorted(rel.columns)
     assert _canon(df.columns, got) == _canon(list(rel.columns), rel.fetchall())
 
 
-@pytest.mark.parametrize("key", sorted(set(entry.queries()) - set(entry.oracle_sql()) - SLOW))
+@pytest.mark.parametrize("key", sorted(set(plans.queries()) - set(plans.oracles()) - SLOW))
 def test_rows_only_queries_run(spark, key):
-    df = entry.queries()[key](spark, SF_SMALL)
+    df = plans.queries()[key](spark, SF_SMALL)
     assert df.count() > 0
 
 
 def test_every_key_has_an_oracle_or_is_non_sql():
-    non_sql = set(entry.queries()) - set(entry.oracle_sql())
+    non_sql = set(plans.queries()) - set(plans.oracles())
     assert non_sql <= SLOW | {"contingency_chi2_p", "chi_square_features", "sample_by_key", "split_by_key"}
 
 
@@ -67,8 +68,8 @@ def test_entry_smoke(spark):
 
 
 def test_no_python_in_sql_checked_plans(spark):
-    for key in sorted(entry.oracle_sql()):
-        plan = plan_text(entry.queries()[key](spark, SF_SMALL))
+    for key in sorted(plans.oracles()):
+        plan = plan_text(plans.queries()[key](spark, SF_SMALL))
         assert "BatchEvalPython" not in plan and "ArrowEvalPython" not in plan, key
 
 
@@ -76,10 +77,10 @@ _TYPES = {"bigint": "BIGINT", "int": "INTEGER", "string": "VARCHAR", "double": "
           "boolean": "BOOLEAN", "timestamp_ntz": "TIMESTAMP"}
 
 
-@pytest.mark.parametrize("key", sorted(entry.oracle_sql()))
+@pytest.mark.parametrize("key", sorted(plans.oracles()))
 def test_oracle_types_match(spark, con, key):
-    df = entry.queries()[key](spark, SF_SMALL)
-    rel = con.sql(entry.oracle_sql()[key])
+    df = plans.queries()[key](spark, SF_SMALL)
+    rel = con.sql(plans.oracles()[key])
     ours = {n: _TYPES.get(t, t) for n, t in df.dtypes}
     theirs = {n: str(t) for n, t in zip(rel.columns, rel.types)}
     assert ours == theirs
