@@ -27,3 +27,44 @@ def op9_adaptive_quality_rules(spark, sf_dir):
     return quality_rules(load(spark, sf_dir, "documents")).select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept",
         "lang", "source", "symbols_per_word", "dup_line_share", "repeat_share", "mean_word_chars")
+
+
+@register
+def op10_simhash_vp_trees(spark, sf_dir):
+    from popstats.llm.simhash import near_duplicates
+
+    return near_duplicates(load(spark, sf_dir, "documents"), shingle=3, max_bits=2)
+
+
+@register
+def op2_suffix_array_decontamination(spark, sf_dir):
+    from popstats.llm.decontam import contamination
+
+    found = contamination(load(spark, sf_dir, "documents"), load(spark, sf_dir, "benchmark"))
+    return found.select(
+        "doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), "contaminated")
+
+
+ORACLES["op2_suffix_array_decontamination"] = r"""
+WITH low AS (SELECT doc_id, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS x FROM documents)
+, dw AS (SELECT doc_id, regexp_extract_all(x, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM low)
+, bw AS (SELECT CAST(item_id AS VARCHAR) AS item_id, regexp_extract_all(
+           translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+           '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark)
+, win AS (SELECT DISTINCT item_id, m, array_to_string(w[i:i + m - 1], ' ') AS s FROM (
+            SELECT item_id, w, least(len(w), 13) AS m, unnest(range(1, len(w) - least(len(w), 13) + 2)) AS i
+            FROM bw WHERE len(w) > 0))
+, lens AS (SELECT DISTINCT m FROM win)
+, grams AS (SELECT doc_id, m, i, array_to_string(w[i:i + m - 1], ' ') AS s FROM (
+              SELECT doc_id, w, m, unnest(range(1, len(w) - m + 2)) AS i FROM dw, lens WHERE len(w) >= m))
+, hit AS (SELECT g.doc_id, g.m, g.i, win.item_id FROM grams g JOIN win ON win.m = g.m AND win.s = g.s)
+, words AS (SELECT doc_id, count(*) AS n_hit FROM (
+              SELECT DISTINCT doc_id, unnest(range(i, i + m)) AS p FROM hit) GROUP BY doc_id)
+, items AS (SELECT doc_id, count(*) AS n_items, string_agg(item_id, ',' ORDER BY item_id) AS l FROM (
+              SELECT DISTINCT doc_id, item_id FROM hit) GROUP BY doc_id)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+       sha256(coalesce(l, '')) AS items_sha256,
+       coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
+FROM dw LEFT JOIN words USING (doc_id) LEFT JOIN items USING (doc_id)
+"""
