@@ -68,3 +68,18 @@ SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, c
        coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
 FROM dw LEFT JOIN words USING (doc_id) LEFT JOIN items USING (doc_id)
 """
+
+
+@register
+def op4_virtual_slot_sharding(spark, sf_dir):
+    from popstats.llm.sharding import shard_documents
+
+    return shard_documents(load(spark, sf_dir, "documents"), n_shards=16)
+
+
+@register
+def op6_pareto_mixing(spark, sf_dir):
+    from popstats.llm.mixing import mix_plan
+
+    return mix_plan(load(spark, sf_dir, "documents")).select(
+        "doc_id", "size", "source_size", "target", "taken", "source", "copies")
