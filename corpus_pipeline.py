@@ -6,8 +6,12 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-from popstats.llm._spark import load, shared_dir
+from popstats.llm._spark import load, release, shared_dir
+from popstats.llm.decontam import decontaminate
+from popstats.llm.mixing import mix
 from popstats.llm.quality import quality_filter
+from popstats.llm.sharding import with_shard
+from popstats.llm.simhash import drop_near_duplicates
 
 
 def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -15,7 +19,33 @@ def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
     return quality_filter(docs)
 
 
-STAGES = [("quality rules", keep_quality)]
+def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Operator 10: of every component of fingerprints the document with the smallest id stays."""
+    return drop_near_duplicates(docs, shingle=3, max_bits=2)
+
+
+def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Operator 2: documents contaminated by the benchmark go."""
+    return decontaminate(docs, load(spark, sf_dir, "benchmark"))
+
+
+def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Operator 6: every document as often (0, 1 or 2 times) as the mix takes it."""
+    return mix(docs)
+
+
+def shard(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Operator 4: the documents' columns and the shard of each row."""
+    return with_shard(docs, n_shards=16)
+
+
+STAGES = [
+    ("quality rules", keep_quality),
+    ("SimHash near-dedup", drop_near_copies),
+    ("benchmark decontamination", drop_leaks),
+    ("mixing sources", mix_sources),
+    ("sharding", shard),
+]
 
 #: Quantile sketches, Hamming components and hashed draws have no SQL form; tests/llm compares with brute force.
 ORACLE_SQL = None
@@ -28,4 +58,5 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     for k, (_, stage) in enumerate(STAGES):
         stage(spark, docs, sf_dir).write.parquet(f"{folder}/{k}")
         docs = spark.read.parquet(f"{folder}/{k}")
+        release(spark)
     return docs

@@ -83,3 +83,12 @@ def op6_pareto_mixing(spark, sf_dir):
 
     return mix_plan(load(spark, sf_dir, "documents")).select(
         "doc_id", "size", "source_size", "target", "taken", "source", "copies")
+
+
+@register
+def op1_two_tier_token_counts(spark, sf_dir):
+    import public_tokenizers
+
+    from popstats.llm.token_counts import token_counts
+
+    return token_counts(load(spark, sf_dir, "documents"), str(public_tokenizers.path("byte_bpe_50k.json")))

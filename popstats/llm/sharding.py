@@ -128,7 +128,8 @@ def shard_documents(docs: DataFrame, n_shards: int = 16, n_slots: int = N_SLOTS)
 
 
 def with_shard(docs: DataFrame, n_shards: int = 16, n_slots: int = N_SLOTS) -> DataFrame:
-    """All columns of ``docs`` plus ``_shard``; the text is read twice and never shuffled."""
+    """All columns of ``docs`` (one named ``shard`` is replaced) plus ``shard``; the text is never shuffled."""
     slot_map = first_map(slot_bytes(sized(docs, n_slots)), n_shards, n_slots)
-    m = map_frame(docs.sparkSession, slot_map).select(F.col("virtual_slot").alias("_slot"), F.col("shard").alias("_shard"))
-    return docs.withColumn("_slot", slot_of(n_slots)).join(F.broadcast(m), "_slot").drop("_slot")
+    m = map_frame(docs.sparkSession, slot_map).select(F.col("virtual_slot").alias("_slot"), F.col("shard"))
+    return (docs.drop("shard", "_slot").withColumn("_slot", slot_of(n_slots))
+            .join(F.broadcast(m), "_slot").drop("_slot"))
