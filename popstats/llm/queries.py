@@ -92,3 +92,12 @@ def op1_two_tier_token_counts(spark, sf_dir):
     from popstats.llm.token_counts import token_counts
 
     return token_counts(load(spark, sf_dir, "documents"), str(public_tokenizers.path("byte_bpe_50k.json")))
+
+
+@register
+def op8_ecoc_language_id(spark, sf_dir):
+    from popstats.llm.langid import fit, fold, identify
+
+    docs = load(spark, sf_dir, "documents")
+    model = fit(docs.filter(fold("doc_id", 3) != 1).select("lang", "text"))
+    return identify(docs, model).select("doc_id", (fold("doc_id", 3) == 1).alias("held_out"), "lang_pred", "score", "ambiguous")
