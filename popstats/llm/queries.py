@@ -101,3 +101,17 @@ def op8_ecoc_language_id(spark, sf_dir):
     docs = load(spark, sf_dir, "documents")
     model = fit(docs.filter(fold("doc_id", 3) != 1).select("lang", "text"))
     return identify(docs, model).select("doc_id", (fold("doc_id", 3) == 1).alias("held_out"), "lang_pred", "score", "ambiguous")
+
+
+@register
+def op3_prefix_free_parsing_dedup(spark, sf_dir):
+    from popstats.llm.sa_dedup import remove_repeats
+
+    return remove_repeats(load(spark, sf_dir, "documents")).drop("removed")
+
+
+@register
+def op7_deleted_interpolation(spark, sf_dir):
+    from popstats.llm.lm import score
+
+    return score(load(spark, sf_dir, "documents"), order=2)
