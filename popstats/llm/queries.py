@@ -115,3 +115,12 @@ def op7_deleted_interpolation(spark, sf_dir):
     from popstats.llm.lm import score
 
     return score(load(spark, sf_dir, "documents"), order=2)
+
+
+@register
+def op5_quotation_linking(spark, sf_dir):
+    from popstats.llm.chat import link_quotes
+
+    linked = link_quotes(load(spark, sf_dir, "conversations"))
+    return linked.select("conv_id", "turn", "role", "body", "n_quoted", "n_linked", "reply_to", "root_turn", "depth",
+                         F.array_join(F.transform("reply_path", lambda x: x.cast("string")), ".").alias("reply_path"))
