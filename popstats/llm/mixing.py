@@ -84,6 +84,12 @@ def _with_rank(rows: DataFrame, plan: DataFrame) -> DataFrame:
             .withColumn("_rank", (F.col("_u") / (1 - F.col("_u"))) / (p / (1 - p))))
 
 
+def _bin():
+    """Bin of a rank, by its draw at the source's own odds: uniform over the bins for any p."""
+    odds = F.col("_rank") * F.col("odds")
+    return F.floor(F.lit(BINS) * odds / (1 + odds)).cast("int")
+
+
 def cuts(rows: DataFrame, weights=WEIGHTS, share: float = 1.5, most: float = 2.0) -> DataFrame:
     """(one row per source) its size, target, certain copies, p, and the last place (rank, _at) that is sampled."""
     sums = rows.groupBy(F.col("_source").alias("source")).agg(F.sum("_size").alias("source_size"))
@@ -92,10 +98,11 @@ def cuts(rows: DataFrame, weights=WEIGHTS, share: float = 1.5, most: float = 2.0
             .withColumn("certain", F.floor(ratio + 1e-12).cast("int"))
             .withColumn("p", F.greatest(ratio - F.col("certain"), F.lit(0.0)))
             .withColumn("rest", F.col("p") * F.col("source_size"))
+            .withColumn("odds", F.greatest(F.col("p"), F.lit(1e-12)) / F.greatest(1 - F.col("p"), F.lit(1e-12)))
             .withColumnRenamed("source", "_s"))
     plan = materialise(plan)
     r = _with_rank(rows, plan).withColumn(
-        "_bin", F.floor(F.lit(BINS) * F.col("_rank") / (1 + F.col("_rank"))).cast("int"))
+        "_bin", _bin())
     bins = r.groupBy("_s", "rest", "_bin").agg(F.sum("_size").alias("n"))
     run = F.sum("n").over(Window.partitionBy("_s").orderBy("_bin"))  # at most BINS rows per source
     edge = (bins.withColumn("run", run).withColumn("before", F.col("run") - F.col("n"))
@@ -112,7 +119,7 @@ def cuts(rows: DataFrame, weights=WEIGHTS, share: float = 1.5, most: float = 2.0
 
 def _copies(r: DataFrame) -> DataFrame:
     """Adds ``_copies``: certain copies and the sampled one."""
-    bin_ = F.floor(F.lit(BINS) * F.col("_rank") / (1 + F.col("_rank"))).cast("int")
+    bin_ = _bin()
     sampled = (F.when(F.col("rest") <= 0, 0)
                .when(F.col("edge_bin").isNull(), 1)     # rounding: all of the source is below its rest
                .when(F.col("last").isNull(), (bin_ < F.col("edge_bin")).cast("int"))
