@@ -221,7 +221,7 @@ def links(distinct: DataFrame, max_bits: int = 2, leaf_size: int = 2048) -> Data
 def group(prints: DataFrame, max_bits: int = 2) -> DataFrame:
     """(doc_id, fp) rows -> one row per distinct fingerprint: fp, first_id, root, component_id (smallest id reachable)."""
     distinct = materialise(prints.groupBy("fp").agg(F.min("doc_id").alias("first_id")))
-    roots = components(links(distinct.select("fp"), max_bits))
+    roots = components(materialise(links(distinct.select("fp"), max_bits)))
     rooted = (distinct.join(roots, distinct["fp"] == roots["vertex"], "left")
               .select("fp", "first_id", F.coalesce("root", "fp").alias("root")))
     least = rooted.groupBy("root").agg(F.min("first_id").alias("component_id"))
