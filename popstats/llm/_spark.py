@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import gc
 import tempfile
+import time
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
@@ -42,11 +44,13 @@ def release(spark: SparkSession) -> None:
 
     The cleaner acts when the driver collects garbage, which a driver that
     only schedules seldom does; several passes would otherwise pile up on disk.
+    It takes two collections: the first frees the query objects that hold the
+    shuffles.
     """
-    import gc
-
-    gc.collect()
-    spark.sparkContext._jvm.System.gc()
+    for _ in range(2):
+        gc.collect()
+        spark.sparkContext._jvm.System.gc()
+        time.sleep(0.5)
 
 
 def map_batches(df: DataFrame, fn: Callable[[pa.RecordBatch], Iterator[pa.RecordBatch]], schema: str) -> DataFrame:

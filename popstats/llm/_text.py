@@ -38,7 +38,7 @@ _powers = [np.ones(1, U64), np.ones(1, U64)]
 
 def _powers_to(n: int) -> tuple[np.ndarray, np.ndarray]:
     if _powers[0].size < n:
-        size = max(n, 2 * SLICE_BYTES if n <= 2 * SLICE_BYTES else n)
+        size = max(n, SLICE_BYTES // 2 + 1)
         for k, base in enumerate((_BASE, _BASE_INV)):
             steps = np.full(size, base, U64)
             steps[0] = 1

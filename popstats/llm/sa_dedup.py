@@ -55,6 +55,7 @@ LENGTH = 50
 WIDTH = 19
 _LAST = np.int64(2**63 - 1)
 PARSE, DICTIONARY = 1, 2
+SHARD_BYTES = 2 << 20
 
 
 class Parse:
@@ -185,7 +186,7 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     if length <= WIDTH:
         raise ValueError(f"length must be above {WIDTH}")
     spark = docs.sparkSession
-    shards = pack(docs)
+    shards = pack(docs, SHARD_BYTES)
     log2 = ranges_for(shards)
 
     def emit_parse(shard: Shard):
