@@ -131,8 +131,7 @@ def test_remove_repeats_over_many_shards(spark, monkeypatch):
     rng = random.Random(11)
     parts = ["".join(rng.choice("abc é") for _ in range(rng.randint(30, 90))) for _ in range(12)]
     data = [(i, "".join(rng.choice(parts) for _ in range(rng.randint(1, 6)))) for i in range(60)]
-    pack = sa_dedup.pack
-    monkeypatch.setattr(sa_dedup, "pack", lambda d: pack(d, 500))
+    monkeypatch.setattr(sa_dedup, "SHARD_BYTES", 500)
     got = {r.doc_id: r for r in sa_dedup.remove_repeats(spark.createDataFrame(data, "doc_id long, text string")).collect()}
     for (i, _), e in zip(data, brute.remove_repeats(data)):
         assert (got[i].n_bytes, got[i].n_removed, got[i].n_spans, got[i].kept_sha256) == e
