@@ -89,8 +89,8 @@ def _links(m: DataFrame, min_chars: int) -> DataFrame:
                        F.length("piece").alias("chars")))
     quoting = materialise(quoting)
     own = (m.filter("_turn is not null").join(quoting.select("_conv").distinct(), "_conv", "left_semi")
-           .withColumn("own", F.concat(F.array("_body"), F.transform(
-               F.filter("_runs", lambda r: r["level"] == 0), lambda r: r["passage"])))
+           .withColumn("own", F.when(~F.col("_quotes"), F.array("_body")).otherwise(F.concat(F.array("_body"), F.transform(
+               F.filter("_runs", lambda r: r["level"] == 0), lambda r: r["passage"]))))
            .select("_conv", "_turn", F.explode("own").alias("passage"))
            .select("_conv", "_turn", F.explode(_pieces(F.col("passage"), min_chars)).alias("piece"))
            .groupBy("_conv", F.sha2("piece", 256).alias("hash")).agg(F.min("_turn").alias("origin")))
@@ -129,8 +129,8 @@ def link_quotes(messages: DataFrame, min_chars: int = MIN_CHARS) -> DataFrame:
          .withColumn("_conv", F.coalesce(F.concat(F.lit("="), conv.cast("string")), F.lit("")))
          .withColumn("_turn", turn.cast("long"))
          .withColumn("_quotes", F.coalesce(text.rlike(_QUOTES), F.lit(False)))
-         .withColumn("_parsed", _parsed(of["text"]))
-         .withColumn("_runs", F.when(F.col("_parsed").isNotNull(), _runs("_parsed")))
+         .withColumn("_parsed", F.when(F.col("_quotes"), _parsed(of["text"])))  # only messages that quote are taken apart
+         .withColumn("_runs", F.when(F.col("_quotes"), _runs("_parsed")))
          .withColumn("_body", F.when(~F.col("_quotes"), text).otherwise(_body("_parsed"))))
     links = materialise(_links(m, min_chars))
     paths = _paths(links)
