@@ -4,7 +4,9 @@ Spark SQL has no chi-square CDF, so the tail probability
 ``Q(dof/2, statistic/2)`` (regularised upper incomplete gamma function) is
 computed by a vectorised pandas UDF.  It only ever runs on the final,
 already aggregated statistics (one row per test), never on input rows.
-Series for x < a + 1, continued fraction (modified Lentz) otherwise.
+Series for x < a + 1, continued fraction (modified Lentz) otherwise.  Either
+needs some multiple of sqrt(a) terms; where the sum has not converged within
+that many (or within ``_MOST_TERMS``), the p-value is NULL, never a partial sum.
 """
 
 from __future__ import annotations
@@ -19,7 +21,11 @@ from pyspark.sql.types import DoubleType
 
 _EPS = 1e-15
 _TINY = 1e-300
-_MAX_ITER = 100_000
+_MOST_TERMS = 5_000_000
+
+
+def _terms(a: float) -> int:
+    return min(_MOST_TERMS, 1000 + int(20 * math.sqrt(a)))
 
 
 def _upper_gamma_q(a: float, x: float) -> float:
@@ -31,18 +37,20 @@ def _upper_gamma_q(a: float, x: float) -> float:
     if x < a + 1:
         term = total = 1.0 / a
         ap = a
-        for _ in range(_MAX_ITER):
+        for _ in range(_terms(a)):
             ap += 1
             term *= x / ap
             total += term
             if abs(term) < abs(total) * _EPS:
                 break
+        else:
+            return float("nan")
         return max(0.0, 1.0 - total * math.exp(log_front))
     b = x + 1 - a
     c = 1 / _TINY
     d = 1 / b
     h = d
-    for i in range(1, _MAX_ITER):
+    for i in range(1, _terms(a)):
         an = -i * (i - a)
         b += 2
         d = an * d + b
@@ -54,6 +62,8 @@ def _upper_gamma_q(a: float, x: float) -> float:
         h *= delta
         if abs(delta - 1) < _EPS:
             break
+    else:
+        return float("nan")
     return min(1.0, math.exp(log_front) * h)
 
 

@@ -1,12 +1,14 @@
 """Multiclass classifier over categorical columns, with evaluation (H1-H3).
 
-Pipeline: reproducible key-hash split (train/valid/test) -> optional cap
-of the label to its most frequent classes -> ``StringIndexer`` +
-``OneHotEncoder`` for columns with at most ``max_onehot`` distinct values
-and ``FeatureHasher`` for the others (no fitted vocabulary, nothing on the
-driver, a fixed model width) -> ``VectorAssembler`` ->
+Pipeline: reproducible key-hash split (train/valid/test) -> optional merge
+of all but the most frequent classes of the label -> ``StringIndexer`` +
+``OneHotEncoder``, or ``FeatureHasher`` for the columns that the caller names
+in ``hashed`` (no fitted vocabulary, a fixed model width: the choice for any
+column whose values grow with the data) -> ``VectorAssembler`` ->
 ``LogisticRegression``.  Everything that learns from data is fitted on the
-training part only; unseen categories map to the 'keep' bucket.
+training part only; unseen categories map to the 'keep' bucket.  A logistic
+model has one row of coefficients per class on the driver, so more than
+``class_limit`` classes are an error, not a silent merge.
 
 The training set is checkpointed (written to the session's checkpoint
 folder) before the iterative fit, so an executor lost during one of the
@@ -15,8 +17,8 @@ source joins.  Each iteration's gradient is a ``treeAggregate`` over the
 partitions: no data passes through the driver, only coefficients.
 
 Reported metrics are named for what they are: ``f1`` (weighted F1, what
-the evaluator computes by default) and ``accuracy``; both come from one
-pass that counts (label, prediction) cells.
+the evaluator computes by default) and ``accuracy``; both are aggregates over
+(label, prediction) counts, and one row comes back.
 """
 
 from __future__ import annotations
@@ -77,75 +79,44 @@ def _prep_pipeline(features: Sequence[str], label: str, hashed: Sequence[str], n
     return Pipeline(stages=stages)
 
 
-def _hashed_columns(train: DataFrame, features: Sequence[str], encoder: str, max_onehot: int) -> list[str]:
-    """Which features to hash.  ``auto`` hashes the columns whose approximate
-    distinct count (HyperLogLog, one pass, one row back) exceeds
-    ``max_onehot``: their vocabularies would otherwise be collected by the
-    indexer and widen the model by one coefficient per value and class."""
-    if encoder == "onehot":
-        return []
-    if encoder == "hash":
-        return list(features)
-    if encoder != "auto":
-        raise ValueError("encoder must be 'auto', 'onehot' or 'hash'")
-    card = train.agg(*[F.approx_count_distinct(c).alias(c) for c in features]).first()
-    return [c for c in features if card[c] > max_onehot]
-
-
-def weighted_scores(confusion: Sequence[tuple[float, float, int]]) -> tuple[float, float, int]:
-    """Weighted F1 and accuracy from ``(label, prediction, count)`` cells, with
-    the definitions of ``MulticlassMetrics`` (a class's F1 is 0 when its
-    precision and recall are both 0; weights are the true-class shares)."""
-    n = sum(c for _, _, c in confusion)
-    if n == 0:
-        return float("nan"), float("nan"), 0
-    actual: dict[float, int] = {}
-    predicted: dict[float, int] = {}
-    hits: dict[float, int] = {}
-    for lab, pred, c in confusion:
-        actual[lab] = actual.get(lab, 0) + c
-        predicted[pred] = predicted.get(pred, 0) + c
-        if lab == pred:
-            hits[lab] = hits.get(lab, 0) + c
-    f1 = 0.0
-    for lab, cnt in actual.items():
-        tp = hits.get(lab, 0)
-        prec = tp / predicted[lab] if predicted.get(lab) else 0.0
-        rec = tp / cnt
-        f1 += cnt / n * (2 * prec * rec / (prec + rec) if prec + rec > 0 else 0.0)
-    return f1, sum(hits.values()) / n, n
+def score_eval(pred: DataFrame, *, label: str = "_label", prediction: str = "prediction") -> DataFrame:
+    """One row ``f1, accuracy, n``: weighted F1 and accuracy of predictions.
+
+    A class's F1 is 2 tp / (actual + predicted), 0 where it has no hit;
+    weights are the true-class shares.  Rows without a label do not count.
+    """
+    cells = (pred.filter(F.col(label).isNotNull())
+             .groupBy(F.col(label).cast("string").alias("_l"), F.col(prediction).cast("string").alias("_p"))
+             .agg(F.count(F.lit(1)).alias("_n")))
+    n, zero = F.col("_n"), F.lit(0).cast("long")
+    sides = F.array(
+        F.struct(F.col("_l").alias("_class"), n.alias("_actual"), zero.alias("_said"),
+                 F.when(F.col("_l").eqNullSafe(F.col("_p")), n).otherwise(zero).alias("_hit")),
+        F.struct(F.col("_p").alias("_class"), zero.alias("_actual"), n.alias("_said"), zero.alias("_hit")))
+    classes = cells.select(F.inline(sides)).groupBy("_class").agg(*[F.sum(c).alias(c) for c in ("_actual", "_said", "_hit")])
+    f1 = F.col("_actual") * (2.0 * F.col("_hit") / (F.col("_actual") + F.col("_said")))
+    return classes.agg((F.sum(f1) / F.sum("_actual")).alias("f1"), (F.sum("_hit") / F.sum("_actual")).alias("accuracy"),
+                       F.coalesce(F.sum("_actual"), F.lit(0)).alias("n"))
 
 
 def _evaluate(pred: DataFrame) -> tuple[float, float, int]:
-    """One pass: the confusion counts (at most classes x classes rows; the
-    class list is already on the driver in the fitted indexer) are fetched
-    and scored."""
-    cells = pred.groupBy("_label", "prediction").agg(F.count(F.lit(1)).alias("n")).collect()
-    return weighted_scores([(float(r["_label"]), float(r["prediction"]), int(r["n"])) for r in cells])
-
-
-def _fit_partitions(data: DataFrame, rows_per_partition: int) -> DataFrame:
-    """Each L-BFGS iteration is one job over every partition, so small data
-    split into many small partitions pays task overhead on every iteration.
-    When the materialised data holds fewer than ``rows_per_partition`` rows
-    per core, it is merged (``coalesce``: narrow, no shuffle) to one
-    partition per core; larger data keeps its partitioning."""
-    cores = data.sparkSession.sparkContext.defaultParallelism
-    rows = data.count()  # reads the checkpoint (or fills the persisted copy) once
-    if data.rdd.getNumPartitions() > cores and rows <= rows_per_partition * cores:
-        return data.coalesce(cores)
-    return data
+    row = score_eval(pred).first()
+    return (float("nan"), float("nan"), 0) if not row["n"] else (row["f1"], row["accuracy"], row["n"])
 
 
 def train_classifier(df: DataFrame, features: Sequence[str], label: str, key: str, *,
                      reg_params: Sequence[float] = (0.3, 0.01, 0.001), weights=(0.7, 0.1, 0.2),
                      seed: int = 100, max_classes: int | None = None, max_iter: int = 100,
-                     elastic_net: float = 0.0, encoder: str = "auto", max_onehot: int = 1000,
+                     elastic_net: float = 0.0, hashed: Sequence[str] = (),
                      num_hash_features: int = 1 << 18, evaluate_test: bool = True,
                      parallelism: int | None = None, sample_fraction: float | None = None,
-                     sample_seed: int = 2018, rows_per_partition: int = 1_000_000) -> Classifier:
+                     sample_seed: int = 2018, partitions: int | None = None, class_limit: int = 10_000) -> Classifier:
     """Fit on train, pick ``regParam`` by validation F1, score the test part.
 
+    ``hashed`` names the features to hash instead of one-hot encoding them.
+    ``partitions`` coalesces the materialised data before the iterative fit
+    (every iteration is a job over all partitions); by default they stay.
+
     ``sample_fraction`` first keeps a reproducible Bernoulli sample of the
     rows (decided by a hash of ``key``), as the reference did before its
     model fits; by default every row is used.
@@ -159,12 +130,16 @@ def train_classifier(df: DataFrame, features: Sequence[str], label: str, key: st
     if sample_fraction is not None:
         data = sample_by_key(data, key, sample_fraction, seed=sample_seed)
     data = split_by_key(data, key, weights=weights, seed=seed)
-    data = _capped_label(data.filter(F.col("part") == "train"), data, label, max_classes)
     # the iterative fit reads the training part many times: cut the lineage
     # once, so the source joins never rerun
-    data = _fit_partitions(cut_lineage(data), rows_per_partition)
+    data = cut_lineage(data)
+    if partitions:
+        data = data.coalesce(partitions)
+    data = _capped_label(data.filter(F.col("part") == "train"), data, label, max_classes)
     train = data.filter(F.col("part") == "train")
-    hashed = _hashed_columns(train, features, encoder, max_onehot)
+    found = train.select(label).distinct().limit(class_limit + 1).count()
+    if found > class_limit:
+        raise ValueError(f"more than {class_limit} classes in {label!r}: merge them (max_classes) or choose another label")
     prep = _prep_pipeline(features, label, hashed, num_hash_features).fit(train)
     encoded = prep.transform(data).select(key, "part", label, "_label", "features")
     train_x = encoded.filter(F.col("part") == "train")
@@ -213,6 +188,13 @@ def predictions(clf: Classifier, part: str = "test") -> DataFrame:
     return clf.model.transform(clf.splits[part]).select(clf.key, "_label", "probability", "prediction")
 
 
+def _probabilities(pred: DataFrame, column: str):
+    """The probability column as an array (a model's output is a vector, a table may hold arrays)."""
+    from pyspark.ml.functions import vector_to_array
+
+    return F.col(column) if dict(pred.dtypes)[column] == "array<double>" else vector_to_array(F.col(column))
+
+
 def topk_accuracy(pred: DataFrame, *, probability: str = "probability", label: str = "_label",
                   ks: Sequence[int] = (1, 2, 3, 4, 5)) -> DataFrame:
     """Share of rows whose true class is among the k most probable: ``k, accuracy, n``.
@@ -222,10 +204,7 @@ def topk_accuracy(pred: DataFrame, *, probability: str = "probability", label: s
     lower class index, as ``argmax`` does), so top-1 equals plain accuracy.
     A label the model never saw has no position and counts as a miss.
     """
-    from pyspark.ml.functions import vector_to_array
-
-    p = vector_to_array(F.col(probability)) if dict(pred.dtypes)[probability] != "array<double>" \
-        else F.col(probability)
+    p = _probabilities(pred, probability)
     lab = F.col(label).cast("int")
     pl = F.try_element_at(p, lab + 1)
     ahead = F.size(F.filter(p, lambda x, i: (x > pl) | ((x == pl) & (i < lab))))
@@ -242,9 +221,7 @@ def top_confident(pred: DataFrame, n: int = 10, *, probability: str = "probabili
                   label: str = "_label", prediction: str = "prediction", key: str | None = None) -> DataFrame:
     """The n predictions made with the highest confidence (largest class
     probability): ``prediction, label, confidence`` -- no identifiers."""
-    from pyspark.ml.functions import vector_to_array
-
-    conf = F.array_max(vector_to_array(F.col(probability)))
+    conf = F.array_max(_probabilities(pred, probability))
     order = [F.col("confidence").desc()] + ([F.col(key).asc()] if key else [])
     return (pred.select(F.col(prediction).alias("prediction"), F.col(label).alias("label"),
                         conf.alias("confidence"), *([key] if key else []))

@@ -5,13 +5,14 @@ Plan notes (what keeps these safe when one key holds a third of the rows):
 * Counting is always ``groupBy().agg(count)``: partial aggregation runs
   before the shuffle, so a hot key leaves each map task as a single row.
 * Top-k over a whole table is ``orderBy().limit()`` (TakeOrderedAndProject:
-  every task keeps k rows) or a rank filter over a window without
-  partitioning, which Catalyst plans with a partial WindowGroupLimit
-  before the single-partition exchange, so that task only sees
-  ``k (+ ties) x tasks`` rows.
-* Top-k inside groups is a rank filter over ``partitionBy(group)``; the
-  partial WindowGroupLimit again trims every map task to ``k (+ ties)``
-  rows per group before rows of a hot group meet in one task.
+  every task keeps k rows).  With ties, that gives the k-th count, and every
+  group that reaches it is kept by a filter: tied groups stay where they are.
+* Top-k inside groups numbers rows over ``partitionBy(group)``; the partial
+  WindowGroupLimit trims every map task to k rows per group before rows of a
+  hot group meet in one task.  With ties, the at most k counts per group and
+  their ranks are joined back to the cells on (group, count).
+* Extreme rows are first cut to the extremes of each (group, salt), then to
+  those of the group, by joins: tied rows never meet in one task.
 * The set of top groups has at most k rows (``ties='first'``), so it is
   broadcast for the semi join with a proven bound.
 """
@@ -40,10 +41,6 @@ def count_by(df: DataFrame, keys: str | Sequence[str], total: str = "total") ->
     return df.groupBy(*_as_list(keys)).agg(F.count(F.lit(1)).alias(total))
 
 
-def _rank_fn(ties: str) -> Column:
-    return F.row_number() if ties == "first" else F.rank()
-
-
 def _order(total: str, tie_keys: Sequence[str], descending: bool = True) -> list[Column]:
     first = F.col(total).desc() if descending else F.col(total).asc()
     return [first] + [F.col(c).asc_nulls_last() for c in tie_keys]
@@ -63,8 +60,8 @@ def top_groups(df: DataFrame, keys: str | Sequence[str], *, k: int = 10, ties: s
     counts = df if counted else count_by(df, keys, total)
     if ties == "first":
         return counts.orderBy(*_order(total, keys)).limit(k)
-    w = Window.orderBy(F.col(total).desc())
-    return counts.withColumn("_r", F.rank().over(w)).filter(F.col("_r") <= k).drop("_r")
+    kth = counts.orderBy(F.col(total).desc()).limit(k).agg(F.min(total)).scalar()
+    return counts.filter(F.col(total) >= kth)
 
 
 def top_items_per_group(df: DataFrame, group: str | Sequence[str], item: str | Sequence[str], *,
@@ -80,19 +77,29 @@ def top_items_per_group(df: DataFrame, group: str | Sequence[str], item: str | S
     _check_ties(ties)
     group, item = _as_list(group), _as_list(item)
     cells = df if counted else count_by(df, group + item, total)
-    order = _order(total, item if ties == "first" else [])
-    if not include_null:
-        # NULL items sort after every real item, so the real items' ranks are
-        # those they would have without NULLs; they are dropped after the
-        # window.  (A NULL filter before the window would be pushed below the
-        # counting aggregation and stop its shuffle from being reused.)
-        order = [F.col(c).isNull().asc() for c in item] + order
-    w = Window.partitionBy(*group).orderBy(*order)
-    out = cells.withColumn("rank", _rank_fn(ties).over(w)).filter(F.col("rank") <= k)
-    if not include_null:
-        for c in item:
-            out = out.filter(F.col(c).isNotNull())
-    return out
+    # NULL items sort after every real item, so the real items' ranks are
+    # those they would have without NULLs; they are dropped after the window.
+    # (A NULL filter before the window would be pushed below the counting
+    # aggregation and stop its shuffle from being reused.)
+    order = [] if include_null else [F.col(c).isNull().asc() for c in item]
+    order += _order(total, item)
+    known = [] if include_null else [F.col(c).isNotNull() for c in item]
+    first = cells.withColumn("rank", F.row_number().over(Window.partitionBy(*group).orderBy(*order))).filter(
+        F.col("rank") <= k)
+    for c in known:
+        first = first.filter(c)
+    if ties == "first":
+        return first
+    # at most k rows per group: their distinct counts with the rank each count has
+    levels = first.groupBy(*[F.col(g).alias(f"_g{i}") for i, g in enumerate(group)], F.col(total).alias("_t")).agg(
+        F.min("rank").alias("rank"))
+    on = F.col(total) == F.col("_t")
+    for i, g in enumerate(group):
+        on = on & F.col(g).eqNullSafe(F.col(f"_g{i}"))
+    out = cells.join(levels, on)
+    for c in known:
+        out = out.filter(c)
+    return out.select(*cells.columns, "rank")
 
 
 def restrict_to_top_groups(cells: DataFrame, group: str, *, k: int = 10, total: str = "total",
@@ -133,44 +140,35 @@ def rank_within_topk(df: DataFrame, group: str, item: str | Sequence[str], *, k_
 
 
 def extreme_rows(df: DataFrame, group: str | Sequence[str] | None, order_by: str, *,
-                 ascending: bool = True, max_groups: int = 1024) -> DataFrame:
+                 ascending: bool = True, salts: int = 64) -> DataFrame:
     """All rows holding the minimum (or maximum) of ``order_by`` in each group.
 
     Ties are kept with every input column (E1: the oldest men).  Rows whose
     ``order_by`` is NULL never match; a NULL group is a group.
 
-    Two plans, chosen by a size check:
-
-    * few groups (at most ``max_groups``, checked by fetching at most
-      ``max_groups + 1`` rows of the per-group extremes, which read only
-      the group and order columns): the extremes are broadcast and the
-      rows are picked by a filtering join -- no sort and no shuffle of the
-      full rows;
-    * more groups: a rank filter per group, planned with a partial
-      WindowGroupLimit so each task keeps only its local extremes before
-      the shuffle (a hot group never moves to one task).
+    One pass over the source: a rank filter over (group, salt) leaves, through
+    a partial WindowGroupLimit, only each task's local extremes to be
+    shuffled; the salt (a hash of the whole row) spreads the ties of a hot
+    group over ``salts`` tasks.  What is left is joined to its own extreme per
+    group.  Both sides of that join hold the same columns, so the shuffle is
+    computed once and reused; the result does not depend on that.
     """
     groups = _as_list(group) if group else []
     cols = df.columns
-    valued = df.filter(F.col(order_by).isNotNull())
-    pick = F.min(order_by) if ascending else F.max(order_by)
-    extremes = (valued.groupBy(*groups).agg(pick.alias("_x")) if groups
-                else valued.agg(pick.alias("_x")).filter(F.col("_x").isNotNull()))
-    found = extremes.limit(max_groups + 1).collect()
-    if len(found) <= max_groups:
-        if not found:
-            return df.limit(0)
-        small = df.sparkSession.createDataFrame(found, extremes.schema)  # size checked above
-        cond = F.col(order_by) == F.col("_x")
-        for g in groups:
-            cond = cond & F.col(f"l.{g}").eqNullSafe(F.col(f"r.{g}"))
-        joined = valued.alias("l").join(F.broadcast(small.alias("r")), cond, "left_semi")
-        return joined.select(*cols)
+    row_hash = F.xxhash64(*[F.col(c) for c in cols])
     order = F.col(order_by).asc() if ascending else F.col(order_by).desc()
-    w = (Window.partitionBy(*groups) if groups else Window.partitionBy()).orderBy(order)
-    return (valued.withColumn("_r", F.rank().over(w))
-            .filter(F.col("_r") == 1)
-            .select(*cols))
+    local = Window.partitionBy(*groups, "_salt").orderBy(order)
+    near = (df.filter(F.col(order_by).isNotNull())
+            .withColumn("_salt", F.pmod(row_hash, F.lit(salts)))
+            .withColumn("_r", F.rank().over(local)).filter(F.col("_r") == 1).drop("_r"))
+    pick = F.min(order_by) if ascending else F.max(order_by)
+    # _any keeps every column in this branch, so its shuffle is the same as the other one's
+    extremes = near.groupBy(*[F.col(g).alias(f"_g{i}") for i, g in enumerate(groups)]).agg(
+        pick.alias("_x"), F.max(row_hash).alias("_any")).filter(F.col("_any").isNotNull())
+    on = F.col(order_by) == F.col("_x")
+    for i, g in enumerate(groups):
+        on = on & F.col(g).eqNullSafe(F.col(f"_g{i}"))
+    return near.join(extremes, on).select(*cols)
 
 
 def oldest_by_gender(df: DataFrame, *, gender: str = "gender", birth: str = "birth_date",
@@ -188,8 +186,7 @@ def modal_value(df: DataFrame, keys: str | Sequence[str], *, total: str = "total
     """The key value(s) with the most rows; every tied value is returned."""
     keys = _as_list(keys)
     counts = count_by(df, keys, total)
-    w = Window.orderBy(F.col(total).desc())
-    return counts.withColumn("_r", F.rank().over(w)).filter(F.col("_r") == 1).drop("_r")
+    return counts.filter(F.col(total) == counts.agg(F.max(total)).scalar())
 
 
 def peak_item_by_group(df: DataFrame, group: str, item: str, *, ties: str = "first",

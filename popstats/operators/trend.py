@@ -80,9 +80,9 @@ def trend_eval(counts: DataFrame, *, year: str = "year", total: str = "total",
         rn = F.row_number().over(Window.partitionBy("model").orderBy("year"))
         marked = long.withColumn("_test", rn > n - F.ceil(n * F.lit(test_fraction)))
     else:
-        from popstats.operators.sampling import key_uniform
+        from popstats.operators.sampling import key_draw
 
-        marked = long.withColumn("_test", key_uniform("year", seed) >= 1 - test_fraction)
+        marked = long.withColumn("_test", key_draw("year", seed) >= int((1 - test_fraction) * (1 << 60)))
     fit = _fit(marked.filter(~F.col("_test")))
     test = marked.filter(F.col("_test")).join(fit.select("model", "slope", "intercept"), "model")
     resid = F.col("y") - (F.col("intercept") + F.col("slope") * F.col("index"))

@@ -1,8 +1,8 @@
 """Session helpers.
 
-On a cluster the session is owned by whoever submits the job; these helpers
-only fill in settings that are unset, so that tests and the local bench run
-with sensible defaults and a cluster's own settings always win.
+On a cluster the session is owned by whoever submits the job, and these
+helpers use that session as it is.  ``get_session`` builds a local one where
+none is active, with the settings below.
 """
 
 from __future__ import annotations
@@ -12,7 +12,7 @@ import tempfile
 
 from pyspark.sql import SparkSession
 
-# Settings applied only when the caller has not set them.
+# Settings of a session that get_session builds (an active session keeps its own).
 _DEFAULTS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
@@ -45,39 +45,29 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
     return spark
 
 
-def ensure_checkpoint_dir(spark: SparkSession) -> str | None:
-    """Make sure reliable checkpoints have a directory.
+def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """The folder of reliable checkpoints: the one that ``spark.checkpoint.dir`` names.
 
-    A cluster names its shared folder in ``spark.checkpoint.dir``; that
-    setting is read and used as is.  Only a local-mode session without the
-    setting (tests, the local bench) gets a fresh scratch folder.  On a
-    cluster without the setting nothing is invented: callers fall back to
-    persisting, which lineage can recompute after an executor loss.
+    A cluster must name a folder that all its executors share.  Only a
+    local-mode session without the setting (a test, a notebook) gets a
+    scratch folder of its own.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
     if current:
         return current
     configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
-    if configured:
-        sc.setCheckpointDir(configured)
-        return sc.getCheckpointDir()
-    if sc.master.startswith("local"):
-        sc.setCheckpointDir(tempfile.mkdtemp(prefix="popstats-ckpt-"))
-        return sc.getCheckpointDir()
-    return None
+    if not configured and not sc.master.startswith("local"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
+    sc.setCheckpointDir(configured or tempfile.mkdtemp(prefix="popstats-ckpt-"))
+    return sc.getCheckpointDir()
 
 
 def cut_lineage(df, spark: SparkSession | None = None):
-    """Materialise ``df`` reliably and return a DataFrame with short lineage.
+    """Materialise ``df`` with ``checkpoint()`` and return a DataFrame with short lineage.
 
-    Uses ``checkpoint()`` into the session's checkpoint folder.  When no
-    folder exists (a cluster that did not name one) the frame is persisted
-    instead; a lost executor then recomputes its partitions from lineage.
+    The files are removed when the DataFrame is garbage if the session has
+    ``spark.cleaner.referenceTracking.cleanCheckpoints`` on.
     """
-    spark = spark or df.sparkSession
-    if ensure_checkpoint_dir(spark):
-        return df.checkpoint(eager=True)
-    from pyspark import StorageLevel
-
-    return df.persist(StorageLevel.MEMORY_AND_DISK)
+    ensure_checkpoint_dir(spark or df.sparkSession)
+    return df.checkpoint(eager=True)

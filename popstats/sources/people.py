@@ -4,17 +4,16 @@ The operators are written for person records (names, gender code, birth
 date, registered and current city/district, street).  No real record is
 used; this view derives such columns deterministically from ``orders``,
 ``customer``, ``nation`` and ``part`` so that the work grows with the
-tables.  The same definition in SQL (``PEOPLE_SQL``) is the CTE every
-oracle starts from.
-
-Plan shape: ``orders`` joins ``customer`` on the customer key.  Both sides
-grow with the data, so the join is planned as the sort-merge join it is at
-scale (``merge`` hint; AQE splits a hot customer key) instead of
-broadcasting ``customer`` because it happens to be small in a test; the
-shuffle also spreads the rows of a single large input file over all
-cores.  ``nation`` is a fixed 25-row dimension and ``part`` is read only for
-keys 0..199 (the join key is taken modulo 200), so both are broadcast with
-a proven size bound.
+tables: surnames with ``part``, streets and districts with ``customer``.
+The same definition in SQL (``PEOPLE_SQL``) is the CTE every oracle starts
+from.
+
+Plan shape: ``orders`` joins ``customer`` on the customer key and ``part`` on
+a key made of both, taken modulo the number of parts (a scalar subquery that
+parquet answers from its footers).  All three grow with the data, so both
+joins are sort-merge joins (``merge`` hint; AQE splits a hot key) instead of
+broadcasts of tables that happen to be small in a test.  Only ``nation``, a
+fixed 25-row dimension, is broadcast.
 """
 
 from __future__ import annotations
@@ -27,10 +26,10 @@ from pyspark.sql import functions as F
 from popstats.sources.tables import table
 
 # Fixed values of the synthetic view (must equal PEOPLE_SQL below).
-PART_KEYS = 200          # part keys used for names: 0..199
 NATIONS = 25             # nation keys 0..24 (TPC-H fixed dimension)
-DISTRICTS = 12           # district codes D0..D11
-STREETS = 300            # street numbers 0..299
+PARTS_PER_SURNAME = 20   # part keys that share one surname suffix
+CUSTOMERS_PER_STREET = 5
+CUSTOMERS_PER_DISTRICT = 100
 DATE_ORIGIN = _dt.date(1900, 1, 1)
 DATE_SPAN_DAYS = 33238   # birth dates fall in [1900-01-01, 1990-12-31)
 
@@ -41,34 +40,35 @@ def people(orders: DataFrame, customer: DataFrame, nation: DataFrame, part: Data
     c = customer.select(F.col("c_custkey").alias("ck"), F.col("c_nationkey").alias("nk"))
     origin = nation.select(F.col("n_nationkey").alias("nk"), F.col("n_name").alias("origin_city"))
     address = nation.select(F.col("n_nationkey").alias("mk"), F.col("n_name").alias("address_city"))
-    names = (part.filter((F.col("p_partkey") >= 0) & (F.col("p_partkey") < PART_KEYS))
-             .select(F.col("p_partkey").alias("pk"),
-                     F.split_part(F.col("p_name"), F.lit(" "), F.lit(1)).alias("first_name"),
-                     F.split_part(F.col("p_name"), F.lit(" "), F.lit(2)).alias("last_name")))
+    names = part.select(F.col("p_partkey").alias("pk"), F.col("p_name").alias("name"))
+    n_part = part.agg(F.count(F.lit(1))).scalar()
 
-    k, ck = F.col("k"), F.col("ck")
+    k, ck, pk = F.col("k"), F.col("ck"), F.col("pk")
     moved_city = F.when(k % 10 < 2, k % NATIONS).otherwise(F.lit(0))
     moved_district = F.when(k % 10 < 3, k).otherwise(F.lit(0))
     birth = F.when(k % 97 == 0, F.lit(None).cast("date")).otherwise(
         F.date_add(F.lit(DATE_ORIGIN), ((k * 7919) % DATE_SPAN_DAYS).cast("int")))
+    numbered = lambda name, x, size: F.concat(F.lit(name), F.floor(x / size).cast("string"))
 
-    base = (o.join(c.hint("merge"), "ck")  # both sides grow: shuffle join
+    base = (o.join(c.hint("merge"), "ck")  # all sides grow: shuffle joins
             .withColumn("mk", (F.col("nk") + moved_city) % NATIONS)
-            .withColumn("pk", (k * 13 + ck) % PART_KEYS))
+            .withColumn("pk", (k * 13 + ck) % n_part)
+            .join(names.hint("merge"), "pk"))
     return (base
             .join(F.broadcast(origin), "nk")
             .join(F.broadcast(address), "mk")
-            .join(F.broadcast(names), "pk")
             .select(
                 k.alias("person_id"),
-                F.lpad(k.cast("string"), 6, "0").alias("uid"),
-                "first_name", "last_name",
+                F.format_string("%06d", k).alias("uid"),
+                F.split_part(F.col("name"), F.lit(" "), F.lit(1)).alias("first_name"),
+                F.concat(F.split_part(F.col("name"), F.lit(" "), F.lit(2)), F.lit("_"),
+                         F.floor(pk / PARTS_PER_SURNAME).cast("string")).alias("last_name"),
                 F.when((k * 31 + ck) % 50 < 26, "M").otherwise("F").alias("gender"),
                 birth.alias("birth_date"),
                 "origin_city", "address_city",
-                F.concat(F.lit("D"), (ck % DISTRICTS).cast("string")).alias("origin_district"),
-                F.concat(F.lit("D"), ((ck + moved_district) % DISTRICTS).cast("string")).alias("address_district"),
-                F.concat(F.lit("Street "), (ck % STREETS).cast("string")).alias("street"),
+                numbered("D", ck, CUSTOMERS_PER_DISTRICT).alias("origin_district"),
+                numbered("D", ck + moved_district, CUSTOMERS_PER_DISTRICT).alias("address_district"),
+                numbered("Street ", ck, CUSTOMERS_PER_STREET).alias("street"),
             ))
 
 
@@ -77,25 +77,25 @@ def load_people(spark: SparkSession, sf_dir: str) -> DataFrame:
                   table(spark, sf_dir, "nation"), table(spark, sf_dir, "part"))
 
 
-# The same view in SQL (runs unchanged in Spark and DuckDB).
+# The same view in SQL (DuckDB).
 PEOPLE_SQL = """
 SELECT o.o_orderkey AS person_id,
-       lpad(CAST(o.o_orderkey AS string), 6, '0') AS uid,
+       printf('%06d', o.o_orderkey) AS uid,
        split_part(p.p_name, ' ', 1) AS first_name,
-       split_part(p.p_name, ' ', 2) AS last_name,
+       concat(split_part(p.p_name, ' ', 2), '_', CAST(p.p_partkey // 20 AS string)) AS last_name,
        CASE WHEN (o.o_orderkey * 31 + o.o_custkey) % 50 < 26 THEN 'M' ELSE 'F' END AS gender,
        CASE WHEN o.o_orderkey % 97 = 0 THEN NULL
             ELSE DATE '1900-01-01' + CAST((o.o_orderkey * 7919) % 33238 AS int) END AS birth_date,
        n.n_name AS origin_city,
        m.n_name AS address_city,
-       concat('D', CAST(o.o_custkey % 12 AS string)) AS origin_district,
-       concat('D', CAST((o.o_custkey + CASE WHEN o.o_orderkey % 10 < 3 THEN o.o_orderkey ELSE 0 END) % 12 AS string)) AS address_district,
-       concat('Street ', CAST(o.o_custkey % 300 AS string)) AS street
+       concat('D', CAST(o.o_custkey // 100 AS string)) AS origin_district,
+       concat('D', CAST((o.o_custkey + CASE WHEN o.o_orderkey % 10 < 3 THEN o.o_orderkey ELSE 0 END) // 100 AS string)) AS address_district,
+       concat('Street ', CAST(o.o_custkey // 5 AS string)) AS street
 FROM orders o
 JOIN customer c ON o.o_custkey = c.c_custkey
 JOIN nation n ON c.c_nationkey = n.n_nationkey
 JOIN nation m ON m.n_nationkey = (c.c_nationkey + CASE WHEN o.o_orderkey % 10 < 2 THEN o.o_orderkey % 25 ELSE 0 END) % 25
-JOIN part p ON p.p_partkey = (o.o_orderkey * 13 + o.o_custkey) % 200
+JOIN part p ON p.p_partkey = (o.o_orderkey * 13 + o.o_custkey) % (SELECT count(*) FROM part)
 """
 
 

@@ -30,10 +30,13 @@ def read_dump_stream(spark: SparkSession, path: str, *, max_files_per_trigger: i
 
 def parsed_stream(lines: DataFrame, *, columns: Sequence[str] = DUMP_COLUMNS, date_column: str | None = None,
                   sep: str = SEPARATOR, pattern: str = UID_PATTERN) -> DataFrame:
-    """Parsed records of a streaming (or static) line frame, dates cleaned when
-    ``date_column`` names the text date field."""
+    """Parsed records of a streaming (or static) line frame.
+
+    When ``date_column`` names the text date field, its parsed date and
+    ``date_status`` are added; rows with a malformed date stay, marked.
+    """
     parsed = dump_parse(lines, columns=columns, sep=sep, pattern=pattern)
-    return clean_dates(parsed, date_column) if date_column else parsed
+    return clean_dates(parsed, date_column, drop_malformed=False) if date_column else parsed
 
 
 def rejects_stream(lines: DataFrame, *, columns: Sequence[str] = DUMP_COLUMNS, sep: str = SEPARATOR,
@@ -46,13 +49,23 @@ def start_ingest(spark: SparkSession, source: str, target: str, *, columns: Sequ
                  trigger_once: bool = False, query_name: str | None = None):
     """Start a query that appends parsed records from ``source`` to parquet at
     ``target``.  The checkpoint defaults to a folder under the session's
-    shared checkpoint directory."""
-    if checkpoint is None:
-        base = ensure_checkpoint_dir(spark)
-        if not base:
-            raise ValueError("no checkpoint location: set spark.checkpoint.dir or pass checkpoint=")
-        checkpoint = f"{base.rstrip('/')}/ingest-{query_name or 'dump'}"
+    shared checkpoint directory.  Lines that do not parse go to no parsed
+    record: start ``start_rejects`` beside it to keep them."""
     out = parsed_stream(read_dump_stream(spark, source), columns=columns, date_column=date_column)
+    return _append(spark, out, target, checkpoint, trigger_once, query_name, "ingest")
+
+
+def start_rejects(spark: SparkSession, source: str, target: str, *, columns: Sequence[str] = DUMP_COLUMNS,
+                  checkpoint: str | None = None, trigger_once: bool = False, query_name: str | None = None):
+    """Start a query that appends the lines ``start_ingest`` leaves out, with the reason, to parquet."""
+    out = rejects_stream(read_dump_stream(spark, source), columns=columns)
+    return _append(spark, out, target, checkpoint, trigger_once, query_name, "rejects")
+
+
+def _append(spark, out: DataFrame, target: str, checkpoint: str | None, trigger_once: bool,
+            query_name: str | None, kind: str):
+    if checkpoint is None:
+        checkpoint = f"{ensure_checkpoint_dir(spark).rstrip('/')}/{kind}-{query_name or 'dump'}"
     writer = (out.writeStream.format("parquet").option("path", target)
               .option("checkpointLocation", checkpoint).outputMode("append"))
     if query_name:

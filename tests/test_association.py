@@ -17,19 +17,37 @@ def test_chi2_sf_known_values():
     assert chi2_sf(0.0, 3) == 1.0
     assert chi2_sf(2.0, 2) == pytest.approx(math.exp(-1.0), rel=1e-12)
     assert chi2_sf(200.0, 168) == pytest.approx(0.0459, abs=5e-4)
+    for dof in (1e6, 1e8, 1e10):                       # statistic = dof: about one half, never a partial sum
+        assert chi2_sf(dof, dof) == pytest.approx(0.5, abs=1e-3)
+    assert math.isnan(chi2_sf(1e16, 1e16))
     assert math.isnan(chi2_sf(1.0, 0))
 
 
 def test_contingency_matches_chisquaretest(spark):
+    from pyspark.ml.feature import StringIndexer, VectorAssembler
+    from pyspark.ml.stat import ChiSquareTest
+
     people = load_people(spark, SF_SMALL)
     ours = a.contingency_chi2(people, "address_city", "last_name", p_value=True).first()
-    ref = a.chi_square_features(people, ["last_name"], "address_city").first()
-    assert ours.statistic == pytest.approx(ref.statistic, rel=1e-9)
-    assert ours.dof == ref.dof
-    assert ours.p_value == pytest.approx(ref.p_value, rel=1e-6, abs=1e-12)
+    assert ours == a.contingency_chi2(people, "address_city", "last_name", p_value=True, bounded="address_city").first()
+    one = a.chi_square_features(people, ["last_name", "gender"], "address_city").filter("feature = 'last_name'").first()
+    indexed = StringIndexer(inputCols=["last_name", "address_city"], outputCols=["f", "l"]).fit(people).transform(people)
+    vec = VectorAssembler(inputCols=["f"], outputCol="v").transform(indexed)
+    ref = ChiSquareTest.test(vec, "v", "l", flatten=True).first()
+    assert ours.statistic == pytest.approx(ref.statistic, rel=1e-9) and ours.dof == ref.degreesOfFreedom
+    assert ours.p_value == pytest.approx(ref.pValue, rel=1e-6, abs=1e-9)
+    assert (one.statistic, one.dof, one.p_value) == (ours.statistic, ours.dof, ours.p_value)
     assert 0 <= ours.cramers_v <= 1
 
 
+def test_chi_square_of_a_feature_does_not_depend_on_others(spark):
+    data = [("a", None, "x"), ("a", "p", "y"), ("b", "p", "x"), ("b", None, "y"), ("a", "q", "x"), ("b", "q", None)]
+    df = spark.createDataFrame(data, "f string, g string, l string")
+    alone = a.chi_square_features(df, ["f"], "l").first()
+    beside = a.chi_square_features(df, ["f", "g"], "l").filter("feature = 'f'").first()
+    assert alone == beside
+
+
 def test_contingency_independent_table(spark):
     # perfectly independent 2x2 counts -> statistic 0
     data = [("a", "x")] * 10 + [("a", "y")] * 20 + [("b", "x")] * 5 + [("b", "y")] * 10
@@ -52,8 +70,6 @@ def test_count_pivot(spark):
     df = spark.createDataFrame(data, "city string, name string")
     out = a.count_pivot(df, "name", "city", values=["c1", "c2"])
     assert rows(out, "name", "c1", "c2") == [("n1", 3, 1), ("n2", 0, 2)]
-    auto = a.count_pivot(df, "name", "city", k=1)
-    assert auto.columns == ["name", "c1"]
 
 
 def test_chi_square_features_rows(spark):

@@ -46,29 +46,39 @@ def test_classifier_beats_majority_and_topk_monotone(spark):
     assert top.columns == ["prediction", "label", "confidence"] and top.count() == 5
 
 
-def test_hashing_encoder_and_class_cap(spark):
+def test_hashing_encoder_and_class_merge(spark):
     people = load_people(spark, SF_SMALL)
     out = classify.classify_eval(people, ["origin_city", "address_city", "gender"], "last_name", "person_id",
-                                 reg_params=(0.01,), max_iter=20, encoder="hash", num_hash_features=1024,
-                                 max_classes=3)
+                                 reg_params=(0.01,), max_iter=20, hashed=["origin_city", "address_city", "gender"],
+                                 num_hash_features=1024, max_classes=3)
     rows = out.collect()
     assert [r.part for r in rows] == ["valid", "test"]
     assert all(0 <= r.accuracy <= 1 and r.n > 0 for r in rows)
 
 
-def test_auto_encoder_hashes_wide_columns(spark):
-    from popstats.operators.classify import _hashed_columns
-
+def test_named_columns_are_hashed(spark):
     people = load_people(spark, SF_SMALL)
-    wide = _hashed_columns(people, ["person_id", "gender", "street"], "auto", 50)
-    assert wide == ["person_id", "street"]
-    assert _hashed_columns(people, ["street"], "onehot", 50) == []
     clf = classify.train_classifier(people, ["gender", "street", "origin_city"], "address_city", "person_id",
-                                    reg_params=(0.01,), max_iter=10, max_onehot=50, num_hash_features=256)
+                                    reg_params=(0.01,), max_iter=10, hashed=["street"], num_hash_features=256, partitions=4)
     assert clf.prep.stages[-2].__class__.__name__ == "FeatureHasher"
     assert clf.metrics[-1][0] == "test"
 
 
+def test_too_many_classes_are_an_error(spark):
+    people = load_people(spark, SF_SMALL)
+    with pytest.raises(ValueError, match="classes"):
+        classify.train_classifier(people, ["gender"], "street", "person_id", class_limit=10)
+
+
+def test_score_eval(spark):
+    data = [("a", "a")] * 6 + [("a", "b")] * 2 + [("b", "b")] * 3 + [("c", "a")] + [(None, "a")]
+    r = classify.score_eval(spark.createDataFrame(data, "l string, p string"), label="l", prediction="p").first()
+    f1 = (8 * 2 * 6 / (8 + 7) + 3 * 2 * 3 / (3 + 5) + 0) / 12
+    assert (r.f1, r.accuracy, r.n) == (pytest.approx(f1), pytest.approx(9 / 12), 12)
+    none = classify.score_eval(spark.createDataFrame([], "l string, p string"), label="l", prediction="p").first()
+    assert (none.f1, none.n) == (None, 0)
+
+
 def test_sample_fraction_trains_on_a_reproducible_sample(spark):
     people = load_people(spark, SF_SMALL)
     clf = classify.train_classifier(people, ["origin_city"], "address_city", "person_id",

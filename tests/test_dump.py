@@ -94,14 +94,27 @@ def test_start_ingest_exactly_once_to_parquet(spark, scratch):
                      trigger_once=True, query_name="ingest_once")
     q.awaitTermination(120)
     first = rows(spark.read.parquet(out), "uid", "date_status")
-    assert first == [("100001", "ok")]
+    assert first == [("100001", "ok"), ("100002", "malformed")]  # marked, not dropped
     # a restart with the same checkpoint reads only the new file
     with open(os.path.join(src, "b.txt"), "w") as f:
         f.write("100003\tz\t31/2/1950\t<NULL>\n")
     q = start_ingest(spark, src, out, columns=cols, date_column="date_of_birth", checkpoint=ckpt,
                      trigger_once=True, query_name="ingest_once")
     q.awaitTermination(120)
-    assert rows(spark.read.parquet(out), "uid", "date_status") == [("100001", "ok"), ("100003", "impossible")]
+    assert rows(spark.read.parquet(out), "uid", "date_status") == [
+        ("100001", "ok"), ("100002", "malformed"), ("100003", "impossible")]
+
+
+def test_start_rejects_keeps_what_ingest_leaves_out(spark, scratch):
+    from popstats.streaming.ingest import start_rejects
+
+    src, out, ckpt = (os.path.join(scratch, d) for d in ("src2", "out2", "ckpt2"))
+    os.makedirs(src)
+    with open(os.path.join(src, "a.txt"), "w") as f:
+        f.write("header\n100001\tx\t1/2/1950\t<NULL>\n100002\tshort\n")
+    q = start_rejects(spark, src, out, columns=("uid", "name", "date_of_birth"), checkpoint=ckpt, trigger_once=True)
+    q.awaitTermination(120)
+    assert rows(spark.read.parquet(out), "value", "reason") == [("100002\tshort", "field_count"), ("header", "no_uid")]
 
 
 def test_rejects_stream_on_static_lines(spark):

@@ -76,10 +76,10 @@ def test_rank_plans_limit_before_shuffle(ties):
     """A hot group is trimmed to k rows per task before the exchange."""
     plan = plan_text(ranking.top_items_per_group(ties, "grp", "item", k=2).select("grp"))
     assert "WindowGroupLimit" in plan
-    many = ranking.extreme_rows(ties.withColumn("n", F.length("item")), "grp", "n", max_groups=0)
+    many = ranking.extreme_rows(ties.withColumn("n", F.length("item")), "grp", "n")
     assert "WindowGroupLimit" in plan_text(many)
-    plan = plan_text(ranking.modal_value(ties, "item"))
-    assert "WindowGroupLimit" in plan
+    for out in (ranking.modal_value(ties, "item"), ranking.top_groups(ties, "item", k=2, ties="all")):
+        assert "Window" not in plan_text(out)  # tied groups stay where they are
 
 
 def test_top_groups_semi_join_is_broadcast(ties):
@@ -89,13 +89,37 @@ def test_top_groups_semi_join_is_broadcast(ties):
     assert "BroadcastHashJoin" in plan or "LeftSemi" in plan
 
 
-def test_extreme_rows_few_groups_broadcast_no_sort(ties):
-    df = ties.withColumn("n", F.length("item"))
-    few = ranking.extreme_rows(df, "grp", "n")
-    plan = plan_text(few)
-    assert "BroadcastHashJoin" in plan and "LeftSemi" in plan and "Window" not in plan
-    many = ranking.extreme_rows(df, "grp", "n", max_groups=1)
-    assert rows(few) == rows(many)
+def test_extreme_rows_runs_no_job_while_it_is_built(spark, ties):
+    sc = spark.sparkContext
+    sc.setJobGroup("build", "build")
+    ranking.extreme_rows(ties.withColumn("n", F.length("item")), "grp", "n")
+    assert len(sc.statusTracker().getJobIdsForGroup("build")) == 0
+    sc.setJobGroup("", "")
+
+
+def test_extreme_rows_on_timestamps_in_another_time_zone(spark):
+    import os
+    import time
+
+    before = os.environ.get("TZ")
+    os.environ["TZ"] = "America/New_York"
+    time.tzset()
+    try:
+        df = spark.sql("SELECT * FROM VALUES (1, 'a', TIMESTAMP'2020-03-08 02:30:00'), (2, 'a', TIMESTAMP'2020-03-08 02:30:00'),"
+                       " (3, 'a', TIMESTAMP'2021-01-01 00:00:00') AS t(id, g, x)")
+        assert sorted(r.id for r in ranking.extreme_rows(df, "g", "x").select("id").collect()) == [1, 2]
+    finally:
+        os.environ.pop("TZ") if before is None else os.environ.update(TZ=before)
+        time.tzset()
+
+
+def test_a_million_tied_keys(spark):
+    df = spark.range(1_000_000).select(F.col("id").alias("key"), F.lit("g").alias("g"))
+    assert ranking.modal_value(df, "key").count() == 1_000_000
+    assert ranking.top_groups(df, "key", k=3, ties="all").count() == 1_000_000
+    top = ranking.top_items_per_group(df, "g", "key", k=3, ties="all")
+    assert top.agg(F.count("*"), F.min("rank"), F.max("rank")).first()[:] == (1_000_000, 1, 1)
+    assert ranking.extreme_rows(df.withColumn("x", F.lit(1)), "g", "x").count() == 1_000_000
 
 
 def test_extreme_rows_null_group_and_no_group(spark):

@@ -27,6 +27,23 @@ def test_sample_by_key_reproducible(spark):
     assert sampling.sample_by_key(df, "k", 1.0).count() == 10000
 
 
+def test_tiny_fractions_are_not_rounded_up(spark):
+    df = spark.range(2_000_000).withColumnRenamed("id", "k")
+    assert sampling.sample_by_key(df, "k", 1e-8).count() <= 2
+    assert 80 <= sampling.sample_by_key(df, "k", 6e-5).count() <= 170
+
+
+def test_dense_index_without_exchange_reuse(spark):
+    spark.conf.set("spark.sql.exchange.reuse", "false")
+    try:
+        df = spark.range(2_000_000).select(F.lit("g").alias("g"), F.xxhash64("id").alias("v"))
+        got = features.dense_index(df, "g", [F.col("v").asc()]).agg(
+            F.min("index"), F.max("index"), F.count_distinct("index")).first()
+    finally:
+        spark.conf.set("spark.sql.exchange.reuse", "true")
+    assert tuple(got) == (0, 1_999_999, 2_000_000)
+
+
 def test_drop_incomplete(spark):
     df = spark.createDataFrame([(1, "a"), (None, "b"), (3, None)], "x int, y string")
     assert sampling.drop_incomplete(df).count() == 1
