@@ -65,8 +65,8 @@ def targets(sources: DataFrame, weights=WEIGHTS, share: float = 1.5, most: float
 def drawn(docs: DataFrame, keep: list[str], source: str, text: str, doc_id: str, relative: str | None,
           seed: int) -> DataFrame:
     """The kept columns (renamed apart by the caller), _source, _size, the draw _u in (0, 1), weight _w, tie-break _at."""
-    draw = F.shiftrightunsigned(
-        F.xxhash64(F.coalesce(F.col(doc_id).cast("string"), F.col(text), F.lit("")), F.lit(seed)), 12)
+    key = F.concat(F.coalesce(F.col(doc_id).cast("string"), F.col(text), F.lit("")), F.lit(f":{seed}"))
+    draw = F.conv(F.substring(F.md5(key), 1, 13), 16, 10).cast("long")  # 52 bits
     return docs.select(*keep, F.col(source).alias("_source"), words(F.col(text)).alias("_size"),
                        ((draw + F.lit(0.5)) / float(1 << 52)).alias("_u"),
                        (F.col(relative).cast("double") if relative else F.lit(1.0)).alias("_w"),

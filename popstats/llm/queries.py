@@ -124,3 +124,104 @@ def op5_quotation_linking(spark, sf_dir):
     linked = link_quotes(load(spark, sf_dir, "conversations"))
     return linked.select("conv_id", "turn", "role", "body", "n_quoted", "n_linked", "reply_to", "root_turn", "depth",
                          F.array_join(F.transform("reply_path", lambda x: x.cast("string")), ".").alias("reply_path"))
+
+
+# ---------------------------------------------------------------- DuckDB SQL
+
+ORACLES["op3_prefix_free_parsing_dedup"] = """
+WITH b AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents)
+, g AS (SELECT doc_id, i, substr(h, 2 * i - 1, 100) AS s FROM (
+          SELECT doc_id, h, unnest(range(1, len(h) // 2 - 48)) AS i FROM b WHERE len(h) >= 100))
+, m AS (SELECT s, min(doc_id) AS first_doc FROM g GROUP BY s)
+, hit AS (SELECT g.doc_id, g.i FROM g JOIN m ON g.s = m.s WHERE m.first_doc < g.doc_id)
+, gone AS (SELECT DISTINCT doc_id, unnest(range(i, i + 50)) AS p FROM hit)
+, runs AS (SELECT doc_id, count(*) AS n_removed, count(*) FILTER (WHERE before IS NULL OR before < p - 1) AS n_spans FROM (
+             SELECT doc_id, p, lag(p) OVER (PARTITION BY doc_id ORDER BY p) AS before FROM gone) GROUP BY doc_id)
+, kept AS (SELECT doc_id, string_agg(substr(h, 2 * p - 1, 2), '' ORDER BY p) AS k FROM (
+             SELECT doc_id, h, unnest(range(1, len(h) // 2 + 1)) AS p FROM b) x
+           WHERE NOT EXISTS (SELECT 1 FROM gone WHERE gone.doc_id = x.doc_id AND gone.p = x.p) GROUP BY doc_id)
+SELECT b.doc_id, CAST(len(h) // 2 AS BIGINT) AS n_bytes, coalesce(n_removed, 0) AS n_removed, coalesce(n_spans, 0) AS n_spans,
+       sha256(unhex(coalesce(k, ''))) AS kept_sha256
+FROM b LEFT JOIN runs ON runs.doc_id = b.doc_id LEFT JOIN kept ON kept.doc_id = b.doc_id
+"""
+
+ORACLES["op6_pareto_mixing"] = r"""
+WITH d AS (SELECT doc_id, source, CAST(len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS BIGINT) AS size,
+                  (CAST('0x' || substr(md5(concat(coalesce(CAST(doc_id AS VARCHAR), text, ''), ':7')), 1, 13) AS BIGINT) + 0.5::DOUBLE)
+                    / 4503599627370496::DOUBLE AS u FROM documents)
+, s AS (SELECT source, CAST(sum(size) AS BIGINT) AS source_size FROM d GROUP BY source)
+, w AS (SELECT *, [3::DOUBLE, 1::DOUBLE, 2::DOUBLE][(row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1] AS weight FROM s)
+, c AS (SELECT *, 2::DOUBLE * source_size AS cap, 2::DOUBLE * source_size / weight AS full_at FROM w)
+, l AS (SELECT *, (1.5::DOUBLE * sum(source_size) OVER () - (sum(cap) OVER o - cap))
+                    / (sum(weight) OVER () - sum(weight) OVER o + weight) AS level
+        FROM c WINDOW o AS (ORDER BY full_at, source NULLS LAST))
+, t AS (SELECT source, source_size, CASE WHEN level < full_at THEN weight * max(level) FILTER (WHERE level < full_at) OVER ()
+                                         ELSE cap END AS target FROM l)
+, r AS (SELECT *, CASE WHEN source_size > 0 THEN target / source_size ELSE 0 END AS ratio FROM t)
+, p AS (SELECT *, CAST(floor(ratio + 1e-12::DOUBLE) AS INTEGER) AS certain,
+               greatest(ratio - floor(ratio + 1e-12::DOUBLE), 0::DOUBLE) AS p FROM r)
+, k AS (SELECT d.doc_id, d.source, d.size, p.source_size, p.target, p.certain, p.p * p.source_size AS rest,
+               sum(d.size) OVER (PARTITION BY d.source ORDER BY d.u, d.doc_id ROWS UNBOUNDED PRECEDING) AS run
+        FROM d JOIN p ON d.source IS NOT DISTINCT FROM p.source)
+, x AS (SELECT *, certain + CASE WHEN rest > 0 AND run - size / 2::DOUBLE <= rest THEN 1 ELSE 0 END AS copies FROM k)
+SELECT doc_id, size, source_size, target, CAST(copies * size AS BIGINT) AS taken, source, copies FROM x
+"""
+
+
+def _op9_sql() -> str:
+    import math
+
+    from popstats.llm.quality import ACCURACY, FLOORS
+
+    gamma = (1 + ACCURACY) / (1 - ACCURACY)
+    number = lambda x: f"{float(x)!r}::DOUBLE"
+    high = {m: number(f[1] if side == "both" else f) for m, (side, f) in FLOORS.items()}
+    low = {m: number(f[0]) for m, (side, f) in FLOORS.items() if side == "both"}
+    fences = ", ".join(
+        [f"max(CASE WHEN measure = '{m}' THEN greatest(q3 + 3::DOUBLE * (q3 - q1), {x}) END) AS {m}_high" for m, x in high.items()]
+        + [f"max(CASE WHEN measure = '{m}' THEN least(q1 - 3::DOUBLE * (q3 - q1), {x}) END) AS {m}_low" for m, x in low.items()])
+    rejects = " OR ".join([f"coalesce({m} > {m}_high, false)" for m in high] + [f"coalesce({m} < {m}_low, false)" for m in low])
+    long = " UNION ALL ".join(f"SELECT lang, source, '{m}' AS measure, {m} AS v FROM ratios" for m in FLOORS)
+    return rf"""
+WITH d AS (SELECT doc_id, lang, source, coalesce(text, '') AS t,
+                  regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents)
+, lines AS (SELECT doc_id, count(*) AS n_lines, count(*) - count(DISTINCT x) AS n_dup_lines FROM (
+              SELECT doc_id, unnest(string_split(t, chr(10))) AS x FROM d)
+            WHERE regexp_matches(x, '[^\x20\x09-\x0D]') GROUP BY doc_id)
+, win AS (SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id, s) AS n FROM (
+            SELECT doc_id, i, array_to_string(w[i:i + 2], ' ') AS s FROM (
+              SELECT doc_id, w, unnest(range(1, len(w) - 1)) AS i FROM d WHERE len(w) >= 3)))
+, rep AS (SELECT doc_id, count(*) AS n_repeat_words FROM (
+            SELECT DISTINCT doc_id, unnest(range(i, i + 3)) AS p FROM win WHERE n > 1) GROUP BY doc_id)
+, m AS (SELECT d.doc_id, lang, source, CAST(len(w) AS BIGINT) AS n_words, CAST(length(array_to_string(w, '')) AS BIGINT) AS word_chars,
+               CAST(length(t) - length(regexp_replace(t, '[#*$%&|<>]', '', 'g')) AS BIGINT) AS n_symbols,
+               coalesce(n_lines, 0) AS n_lines, coalesce(n_dup_lines, 0) AS n_dup_lines, coalesce(n_repeat_words, 0) AS n_repeat_words
+        FROM d LEFT JOIN lines ON lines.doc_id = d.doc_id LEFT JOIN rep ON rep.doc_id = d.doc_id)
+, ratios AS (SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed,
+                    n_symbols / greatest(n_words, 1)::DOUBLE AS symbols_per_word,
+                    n_dup_lines / greatest(n_lines, 1)::DOUBLE AS dup_line_share,
+                    n_repeat_words / greatest(n_words, 1)::DOUBLE AS repeat_share,
+                    word_chars / greatest(n_words, 1)::DOUBLE AS mean_word_chars FROM m)
+, long AS ({long})
+, own AS (SELECT lang, source, measure, CASE WHEN v * 1e6 <= 1 THEN 0 ELSE ceil(ln(v * 1e6) / {number(math.log(gamma))}) END AS bin,
+                 count(*) AS n FROM long GROUP BY ALL)
+, levels AS (SELECT 'own' AS level, lang, source, measure, bin, n FROM own
+             UNION ALL SELECT 'lang', lang, NULL, measure, bin, sum(n) FROM own GROUP BY lang, measure, bin)
+, run AS (SELECT *, sum(n) OVER (PARTITION BY level, lang, source, measure ORDER BY bin) AS below,
+                 sum(n) OVER (PARTITION BY level, lang, source, measure) AS total,
+                 CASE WHEN bin = 0 THEN 0::DOUBLE ELSE 2e-6::DOUBLE * pow({number(gamma)}, bin) / ({number(gamma)} + 1::DOUBLE) END AS v FROM levels)
+, q AS (SELECT level, lang, source, measure, max(total) AS total, min(v) FILTER (WHERE below >= 0.25::DOUBLE * total) AS q1,
+               min(v) FILTER (WHERE below >= 0.75::DOUBLE * total) AS q3 FROM run GROUP BY 1, 2, 3, 4)
+, chosen AS (SELECT a.lang, a.source, a.measure, CASE WHEN a.total >= 100 THEN a.q1 WHEN b.total >= 100 THEN b.q1 END AS q1,
+                    CASE WHEN a.total >= 100 THEN a.q3 WHEN b.total >= 100 THEN b.q3 END AS q3
+             FROM q a JOIN q b ON b.level = 'lang' AND a.lang IS NOT DISTINCT FROM b.lang AND a.measure = b.measure
+             WHERE a.level = 'own')
+, fence AS (SELECT lang, source, {fences} FROM chosen GROUP BY lang, source)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+       NOT base_failed AND NOT ({rejects}) AS kept,
+       r.lang, r.source, symbols_per_word, dup_line_share, repeat_share, mean_word_chars
+FROM ratios r LEFT JOIN fence f ON r.lang IS NOT DISTINCT FROM f.lang AND r.source IS NOT DISTINCT FROM f.source
+"""
+
+
+ORACLES["op9_adaptive_quality_rules"] = _op9_sql()
