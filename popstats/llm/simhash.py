@@ -11,9 +11,13 @@ task builds its own tree below and prunes by the same bound, so every pair
 within ``max_bits`` is found; it returns a spanning forest of the links it
 saw, not the pairs, and components are then contracted over all shards.
 
-Only the vantage points come from a bounded sample (``SAMPLE`` distinct
-fingerprints, the smallest by hash); they decide the balance of the shards,
-never which links are found.
+Only the vantage points come from a bounded sample (``SAMPLE`` to
+``MOST_SAMPLE`` distinct fingerprints, the smallest by hash; about 8 a leaf);
+they decide the balance of the shards, never which links are found.  Every
+level of the tree makes more points visit both sides (about 1.4 times as many
+for random fingerprints), so a leaf has far more visitors than points; past
+``VISITORS`` of them a leaf's visitors are dealt over several tasks, each of
+which holds the leaf's points.
 
 Edge cases: NULL and empty texts have fingerprint zero and link like any
 other; fewer words than a shingle are one shingle; NULL doc_ids take part
@@ -31,10 +35,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from popstats.llm._spark import materialise
-from popstats.llm._text import LOWER, Texts, slices
+from popstats.llm._text import LOWER, Texts, mix, slices
 from popstats.llm.graph import components
 
 SAMPLE = 8192
+MOST_SAMPLE = 1 << 18
+VISITORS = 2_000_000
 SEED = 42
 _LOWER = LOWER.tobytes()
 
@@ -190,12 +196,15 @@ def _forest(points: np.ndarray, queries: np.ndarray, reach: int) -> tuple[np.nda
     return nodes[linked], nodes[label[linked]]
 
 
-def links(distinct: DataFrame, max_bits: int = 2, leaf_size: int = 2048) -> DataFrame:
+def links(distinct: DataFrame, max_bits: int = 2, leaf_size: int = 2048, visitors: int = VISITORS) -> DataFrame:
     """Spanning links (u, v) of all fingerprints (column ``fp``, distinct) within ``max_bits`` bits."""
     n = distinct.count()
-    sample = distinct.orderBy(F.xxhash64("fp")).limit(SAMPLE).toPandas()["fp"].to_numpy(np.int64).view(np.uint64)
+    wanted = min(MOST_SAMPLE, max(SAMPLE, 8 * n // leaf_size))
+    sample = distinct.orderBy(F.xxhash64("fp")).limit(wanted).toPandas()["fp"].to_numpy(np.int64).view(np.uint64)
     depth = max(0, int(np.ceil(np.log2(max(1, n / leaf_size)))))
     tree = build_tree(np.sort(sample), depth)
+    visits = [at.size for _, at in _route(tree, sample, max_bits)]  # of the sample, per leaf
+    parts = int(np.ceil(max(visits, default=0) / max(1, sample.size) * n / visitors)) or 1
 
     def route(batches):
         for batch in batches:
@@ -203,10 +212,14 @@ def links(distinct: DataFrame, max_bits: int = 2, leaf_size: int = 2048) -> Data
             home = np.empty(fp.size, np.int64)
             for leaf, at in _route(tree, fp, 0):
                 home[at] = leaf
+            part = (mix(fp) % np.uint64(parts)).astype(np.int32)  # which of a leaf's tasks a visitor goes to
             for leaf, at in _route(tree, fp, max_bits):
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.full(at.size, leaf, np.int32)), pa.array(fp[at].view(np.int64)),
-                     pa.array(home[at] == leaf)], ["leaf", "fp", "lives"])
+                lives = home[at] == leaf
+                for k in range(parts):                             # the leaf's points go to all of them
+                    some = at if parts == 1 else at[lives | (part[at] == k)]
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(np.full(some.size, leaf * parts + k, np.int64)), pa.array(fp[some].view(np.int64)),
+                         pa.array(home[some] == leaf)], ["leaf", "fp", "lives"])
 
     def search(table: pa.Table) -> pa.Table:
         fp = table["fp"].to_numpy().view(np.uint64)
@@ -214,7 +227,7 @@ def links(distinct: DataFrame, max_bits: int = 2, leaf_size: int = 2048) -> Data
         u, v = _forest(fp[lives], fp, max_bits)
         return pa.table({"u": u.view(np.int64), "v": v.view(np.int64)})
 
-    shards = distinct.select("fp").mapInArrow(route, "leaf int, fp long, lives boolean")
+    shards = distinct.select("fp").mapInArrow(route, "leaf long, fp long, lives boolean")
     return shards.groupBy("leaf").applyInArrow(search, "u long, v long")
 
 
