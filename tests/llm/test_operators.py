@@ -172,7 +172,8 @@ def test_vantage_point_trees_find_every_pair():
     assert all(home[j] in visits[i] for i, j in zip(*np.nonzero(close)))
 
 
-def test_links_over_many_leaves(spark):
+@pytest.mark.parametrize("visitors", [simhash.VISITORS, 30])
+def test_links_over_many_leaves(spark, visitors):
     rng = random.Random(4)
     values = set()
     for _ in range(60):
@@ -180,7 +181,7 @@ def test_links_over_many_leaves(spark):
         values |= {c} | {c ^ (1 << rng.randrange(64)) ^ (1 << rng.randrange(64)) for _ in range(3)}
     values = sorted(values)
     frame = spark.createDataFrame([(i, v - (1 << 64) if v >> 63 else v) for i, v in enumerate(values)], "doc_id long, fp long")
-    edges = simhash.links(frame.select("fp"), 2, leaf_size=16).collect()
+    edges = simhash.links(frame.select("fp"), 2, leaf_size=16, visitors=visitors).collect()
     parent = {v: v for v in values}
 
     def find(x):
