@@ -225,3 +225,51 @@ FROM ratios r LEFT JOIN fence f ON r.lang IS NOT DISTINCT FROM f.lang AND r.sour
 
 
 ORACLES["op9_adaptive_quality_rules"] = _op9_sql()
+
+ORACLES["op5_quotation_linking"] = r"""
+WITH RECURSIVE m AS (
+  SELECT row_number() OVER () AS rid, conv_id, coalesce('=' || CAST(conv_id AS VARCHAR), '') AS conv, CAST(turn AS BIGINT) AS turn,
+         role, text, coalesce(regexp_matches(text, '(?m)^[ \t]*>'), false) AS q FROM conversations)
+, line AS (
+  SELECT rid, i, len(regexp_replace(regexp_extract(x, '^([ \t]*>)+'), '[^>]', '', 'g')) AS level,
+         regexp_replace(x, '^([ \t]*>)+[ \t]?', '') AS content
+  FROM (SELECT rid, unnest(l) AS x, generate_subscripts(l, 1) AS i
+        FROM (SELECT rid, string_split(regexp_replace(text, '\r\n?', chr(10), 'g'), chr(10)) AS l FROM m WHERE q)))
+, marked AS (SELECT *, lead(level) OVER w AS below, CASE WHEN level IS DISTINCT FROM lag(level) OVER w THEN 1 ELSE 0 END AS new
+             FROM line WINDOW w AS (PARTITION BY rid ORDER BY i))
+, numbered AS (SELECT *, sum(new) OVER (PARTITION BY rid ORDER BY i) AS run FROM marked)
+, run AS (SELECT rid, run, level, string_agg(content, chr(10) ORDER BY i) AS passage FROM numbered GROUP BY rid, run, level)
+, unquoted AS (
+  SELECT rid, regexp_replace(string_agg(content, chr(10) ORDER BY i), '^\s+|\s+$', '', 'g') AS body FROM marked
+  WHERE level = 0 AND NOT (regexp_matches(content, '(?i)^on\b.*\bwrote:\s*$') AND coalesce(below, 0) > 0) GROUP BY rid)
+, msg AS (SELECT m.*, CASE WHEN q THEN coalesce(body, '') ELSE text END AS body FROM m LEFT JOIN unquoted USING (rid))
+, passages AS (
+  SELECT conv, turn, rid, run, level, passage, true AS quoting FROM run JOIN m USING (rid) WHERE level > 0 AND turn IS NOT NULL
+  UNION ALL SELECT conv, turn, rid, run, 0, passage, false FROM run JOIN m USING (rid) WHERE level = 0 AND turn IS NOT NULL
+  UNION ALL SELECT conv, turn, rid, 0, 0, body, false FROM msg WHERE turn IS NOT NULL AND body IS NOT NULL
+            AND conv IN (SELECT conv FROM m WHERE q))
+, pieces AS (
+  SELECT DISTINCT conv, turn, rid, run, level, quoting, trim(regexp_replace(lower(unnest(
+           [passage] || regexp_split_to_array(passage, '\n[ \t]*\n') || string_split(passage, chr(10)))), '[^\p{L}\p{N}]+', ' ', 'g')) AS piece
+  FROM passages)
+, origin AS (SELECT conv, piece, min(turn) AS origin FROM pieces WHERE NOT quoting AND length(piece) >= 12 GROUP BY conv, piece)
+, hits AS (SELECT p.conv, p.turn, p.run, p.level, length(p.piece) AS chars, o.origin
+           FROM pieces p JOIN origin o ON o.conv = p.conv AND o.piece = p.piece
+           WHERE quoting AND length(p.piece) >= 12 AND o.origin < p.turn)
+, links AS (SELECT conv, turn, count(DISTINCT run) AS n_linked FROM hits GROUP BY conv, turn)
+, chosen AS (SELECT conv, turn, origin AS reply_to FROM (
+               SELECT *, row_number() OVER (PARTITION BY conv, turn ORDER BY level, chars DESC, origin DESC) AS k FROM hits) WHERE k = 1)
+, path AS (
+  SELECT conv, turn, reply_to AS up, [reply_to, turn] AS p FROM chosen
+  UNION ALL SELECT path.conv, path.turn, c.reply_to, [c.reply_to] || path.p FROM path JOIN chosen c ON c.conv = path.conv AND c.turn = path.up)
+, paths AS (SELECT conv, turn, p FROM (
+              SELECT *, row_number() OVER (PARTITION BY conv, turn ORDER BY len(p) DESC) AS k FROM path) WHERE k = 1)
+, full_path AS (SELECT msg.*, n_linked, reply_to, coalesce(p, CASE WHEN msg.turn IS NULL THEN [] ELSE [msg.turn] END) AS p
+                FROM msg LEFT JOIN links ON links.conv = msg.conv AND links.turn = msg.turn
+                LEFT JOIN chosen ON chosen.conv = msg.conv AND chosen.turn = msg.turn
+                LEFT JOIN paths ON paths.conv = msg.conv AND paths.turn = msg.turn)
+SELECT conv_id, turn, role, body, (SELECT count(*) FROM run WHERE run.rid = full_path.rid AND run.level > 0) AS n_quoted,
+       coalesce(n_linked, 0) AS n_linked, reply_to, p[1] AS root_turn, CAST(greatest(len(p) - 1, 0) AS BIGINT) AS depth,
+       array_to_string(p, '.') AS reply_path
+FROM full_path
+"""
