@@ -432,6 +432,17 @@ def test_chat(spark):
     assert one[0].body == text[0] and got[2, 0][0].body is None and got[2, 1][0].body == ""
     assert got[None, 1][0].reply_to == 0 and got[3, None][0].reply_path == [] and got[4, 0][0].reply_to is None
     assert sorted(r.body for r in got[1, 2]) == ["Ask them all, please do it.", "same turn again"]
+    import duckdb
+    from popstats.llm.queries import ORACLES
+
+    con = duckdb.connect()
+    con.execute("CREATE TABLE conversations (conv_id BIGINT, turn BIGINT, role VARCHAR, text VARCHAR)")
+    con.executemany("INSERT INTO conversations VALUES (?, ?, ?, ?)", [d[:4] for d in data])
+    rel = con.sql(ORACLES["op5_quotation_linking"])
+    sql = bag(tuple(dict(zip(rel.columns, r)).items()) for r in rel.fetchall())
+    ours = bag(tuple((c, ".".join(map(str, r.reply_path)) if c == "reply_path" else r[c]) for c in rel.columns)
+               for rs in got.values() for r in rs)
+    assert ours == sql
     order = [tuple(r.reply_path) for r in chat.reply_ordered(frame).collect() if r.conv_id == 1]
     assert order == sorted(order)
     assert chat.link_quotes(frame.limit(0)).collect() == []
