@@ -273,3 +273,38 @@ SELECT conv_id, turn, role, body, (SELECT count(*) FROM run WHERE run.rid = full
        array_to_string(p, '.') AS reply_path
 FROM full_path
 """
+
+
+def _crc32_table() -> str:
+    """The 256 steps of CRC-32 (reflected polynomial 0xEDB88320), from their rule."""
+    out = []
+    for n in range(256):
+        for _ in range(8):
+            n = (n >> 1) ^ 0xEDB88320 if n & 1 else n >> 1
+        out.append(n)
+    return "[" + ", ".join(map(str, out)) + "]::BIGINT[]"
+
+
+# crc32 byte by byte; slots, heaviest first, each to the lightest shard (a recursion over the non-empty slots)
+ORACLES["op4_virtual_slot_sharding"] = f"""
+WITH RECURSIVE d AS (
+  SELECT doc_id, coalesce(text, '') AS t, hex(encode(coalesce(text, ''))) AS h,
+         CAST(CAST('0x' || substr(md5(concat(coalesce(CAST(doc_id AS VARCHAR), ''), '|', coalesce(text, ''))), 1, 8) AS BIGINT)
+              % 8192 AS INTEGER) AS virtual_slot FROM documents)
+, r AS (SELECT doc_id, virtual_slot, CAST(len(h) // 2 + 1 AS BIGINT) AS size,
+               xor(list_reduce([4294967295::BIGINT] || list_transform(range(0, len(h) // 2),
+                     lambda i: CAST('0x' || substr(h, 2 * i + 1, 2) AS BIGINT)),
+                   lambda c, b: xor(c // 256, steps[xor(c % 256, b) + 1])), 4294967295::BIGINT) AS text_crc32
+        FROM d, (SELECT {_crc32_table()} AS steps))
+, w AS (SELECT virtual_slot, CAST(sum(size) AS BIGINT) AS bytes FROM r GROUP BY virtual_slot)
+, o AS (SELECT *, row_number() OVER (ORDER BY bytes DESC, virtual_slot) AS k FROM w)
+, deal AS (
+  SELECT 0::BIGINT AS k, list_transform(range(0, 16), lambda x: 0::BIGINT) AS loads, 0::BIGINT AS shard
+  UNION ALL
+  SELECT o.k, list_transform(loads, lambda x, i: CASE WHEN i = p THEN x + o.bytes ELSE x END), CAST(p - 1 AS BIGINT)
+  FROM (SELECT *, list_position(loads, list_min(loads)) AS p FROM deal) s JOIN o ON o.k = s.k + 1)
+SELECT doc_id, size, text_crc32, 'bytes' AS law, CAST(shard AS INTEGER) AS shard,
+       row_number() OVER (PARTITION BY shard ORDER BY r.virtual_slot, doc_id NULLS FIRST, text_crc32, size) - 1 AS slot,
+       CAST(NULL AS INTEGER) AS grown_shard, r.virtual_slot
+FROM r JOIN o ON o.virtual_slot = r.virtual_slot JOIN deal ON deal.k = o.k
+"""

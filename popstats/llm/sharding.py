@@ -31,7 +31,9 @@ MAP_SCHEMA = "virtual_slot int, shard int, bytes long, version int"
 
 
 def slot_of(n_slots: int = N_SLOTS):
-    return F.pmod(F.xxhash64("doc_id", "text"), F.lit(n_slots)).cast("int")
+    """Virtual slot: 32 bits of the MD5 of doc_id and text, modulo ``n_slots``."""
+    key = F.concat(F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.lit("|"), F.coalesce("text", F.lit("")))
+    return (F.conv(F.substring(F.md5(key), 1, 8), 16, 10).cast("long") % n_slots).cast("int")
 
 
 def sized(docs: DataFrame, n_slots: int = N_SLOTS) -> DataFrame:
