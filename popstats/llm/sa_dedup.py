@@ -99,7 +99,7 @@ class Parse:
         self.last = valid[np.append(edge[1:], at.size) - 1]
         where = at[edge]
         self.doc = t.text_of(self.first)
-        self.trigger = windows[where]
+        self.trigger = mix(windows[where] + U64(0x9E3779B97F4A7C15))  # triggers are small hashes: spread them evenly
         self.phrase = mix(range_hash(self.prefix, self.first, self.last + length) + (where - self.first).astype(U64)) | U64(1)
 
 
