@@ -9,6 +9,7 @@ from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
 def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -39,6 +40,16 @@ def materialise(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def beside(small: DataFrame, most: int = 100_000) -> DataFrame:
+    """``small`` (already materialised) for a join with wide rows: broadcast if it has at most ``most`` rows.
+
+    A materialised frame has no size estimate, so Spark would shuffle the
+    wide side before it sees how small the other one is.  A larger frame is
+    returned as it is and joined by sort-merge, with AQE's skew split.
+    """
+    return F.broadcast(small) if small.limit(most + 1).count() <= most else small
+
+
 def release(spark: SparkSession) -> None:
     """Let Spark's cleaner drop the shuffle files of finished, unreferenced steps now.
 

@@ -29,7 +29,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from popstats.llm._spark import materialise
+from popstats.llm._spark import beside, materialise
 
 WEIGHTS = (3.0, 1.0, 2.0)
 BINS = 4096
@@ -76,11 +76,11 @@ def drawn(docs: DataFrame, keep: list[str], source: str, text: str, doc_id: str,
 def _with_rank(rows: DataFrame, plan: DataFrame) -> DataFrame:
     """Join the plan (one row per source) and add each document's rank.
 
-    Spark broadcasts the plan while its measured size is under the
-    threshold, else it sort-merges and AQE splits a hot source.
+    The plan is broadcast if it has few rows, else the join is a sort-merge
+    in which AQE splits a hot source.
     """
     p = F.least(F.greatest(F.col("p") * F.col("_w"), F.lit(1e-12)), F.lit(1 - 1e-12))
-    return (rows.join(plan, F.col("_source").eqNullSafe(F.col("_s")))
+    return (rows.join(beside(plan), F.col("_source").eqNullSafe(F.col("_s")))
             .withColumn("_rank", (F.col("_u") / (1 - F.col("_u"))) / (p / (1 - p))))
 
 

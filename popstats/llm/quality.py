@@ -12,9 +12,9 @@ held against a document, however uniform its group is.
 
 Scale: the text is read once; what is shuffled is one counter per
 (group, measure, bin) and task, then one row per document without its text.
-The fence table has one row per (lang, source); Spark broadcasts it only if
-its measured size is under ``spark.sql.autoBroadcastJoinThreshold`` and
-otherwise uses a sort-merge join, in which AQE splits a hot source.
+The fence table has one row per (lang, source); it is counted and broadcast
+beside whole rows only if it is small, and otherwise joined by sort-merge, in
+which AQE splits a hot source.
 
 Edge cases: a NULL or empty text has no words and fails the base rule; NULL
 lang or source are groups of their own; repeated rows are kept as they are;
@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from popstats.llm._spark import materialise
+from popstats.llm._spark import beside, materialise
 from popstats.llm._text import U64, WORD_SPACED, Texts, chain, mix, range_hash, slices
 
 ACCURACY = 0.01
@@ -225,12 +225,12 @@ def quality_filter(docs: DataFrame, k: float = 3.0, min_group: int = 100) -> Dat
 
     The fences come from a first pass; the second pass measures each row
     again beside its columns and joins the small fence table, so no text is
-    shuffled (unless the fence table outgrows the broadcast threshold).
+    shuffled (unless the fence table has more than 100,000 rows).
     """
     names = docs.columns
     safe = [f"_c{i}" for i in range(len(names))]  # an input column may have the name of a measure
     at = {n: safe[names.index(n)] for n in ("text", "lang", "source")}
     limits = materialise(fences(materialise(measure(docs, ["lang", "source"])), k, min_group))
     rows = measure(docs.toDF(*safe), safe, at["text"])
-    kept = judge(rows, limits, at["lang"], at["source"]).filter("kept")
+    kept = judge(rows, beside(limits), at["lang"], at["source"]).filter("kept")
     return kept.select(*(F.col(s).alias(n) for s, n in zip(safe, names)))
