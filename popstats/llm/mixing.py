@@ -8,8 +8,8 @@ p / (1 - p), p = r - floor(r) (times a document's relative weight, where one
 is given).  A document has the rank (u / (1 - u)) / (p / (1 - p)) with u a
 hash of its id, and the documents of smallest rank are taken until their
 words come nearest to the rest of the target: a sample of fixed size, the
-same at every run.  The cut is kept as one place (rank, row position) per
-source, so taking is a row-wise test.
+same at every run.  The cut is kept as one place in the order per source, so
+taking is a row-wise test.
 
 Scale: only narrow columns are shuffled.  Ranks are cut into ``BINS`` bins
 per source; the sums per (source, bin) are a partial aggregation and show
@@ -18,8 +18,9 @@ taken, of higher ones not, and only that bin is put in order, so a source
 that holds a third of all rows is spread like any other.
 
 Edge cases: a NULL text has no words and nothing of it is taken; NULL source
-is a source of its own, last in order; repeated rows share a draw and are
-ordered by their position in the input; NULL ids are hashed by text; an
+is a source of its own, last in order; repeated rows share a draw and, where the
+cut falls between them, are told apart by their position in the input; NULL
+ids are hashed by text; an
 empty table gives an empty result; extra columns are carried by ``mix`` and
 never collide with its own (they are renamed on the way).
 """
@@ -64,13 +65,13 @@ def targets(sources: DataFrame, weights=WEIGHTS, share: float = 1.5, most: float
 
 def drawn(docs: DataFrame, keep: list[str], source: str, text: str, doc_id: str, relative: str | None,
           seed: int) -> DataFrame:
-    """The kept columns (renamed apart by the caller), _source, _size, the draw _u in (0, 1), weight _w, tie-break _at."""
+    """The kept columns (renamed apart by the caller), _source, _size, the draw _u in (0, 1), weight _w, tie-breaks _tie, _at."""
     key = F.concat(F.coalesce(F.col(doc_id).cast("string"), F.col(text), F.lit("")), F.lit(f":{seed}"))
     draw = F.conv(F.substring(F.md5(key), 1, 13), 16, 10).cast("long")  # 52 bits
     return docs.select(*keep, F.col(source).alias("_source"), words(F.col(text)).alias("_size"),
                        ((draw + F.lit(0.5)) / float(1 << 52)).alias("_u"),
                        (F.col(relative).cast("double") if relative else F.lit(1.0)).alias("_w"),
-                       F.monotonically_increasing_id().alias("_at"))
+                       F.xxhash64(doc_id, text).alias("_tie"), F.monotonically_increasing_id().alias("_at"))
 
 
 def _with_rank(rows: DataFrame, plan: DataFrame) -> DataFrame:
@@ -91,7 +92,11 @@ def _bin():
 
 
 def cuts(rows: DataFrame, weights=WEIGHTS, share: float = 1.5, most: float = 2.0) -> DataFrame:
-    """(one row per source) its size, target, certain copies, p, and the last place (rank, _at) that is sampled."""
+    """(one row per source) its size, target, certain copies, p, and the last place that is sampled.
+
+    The place is (rank, tie); only if some of several identical rows stand on
+    either side of the cut does the row position ``_at`` decide among them.
+    """
     sums = rows.groupBy(F.col("_source").alias("source")).agg(F.sum("_size").alias("source_size"))
     ratio = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(0.0)
     plan = (targets(sums, weights, share, most)
@@ -109,11 +114,15 @@ def cuts(rows: DataFrame, weights=WEIGHTS, share: float = 1.5, most: float = 2.0
             .filter((F.col("before") < F.col("rest")) & (F.col("run") >= F.col("rest")))
             .select(F.col("_s").alias("_e"), F.col("_bin").alias("edge_bin"), "before"))
     inside = r.join(edge, F.col("_s").eqNullSafe(F.col("_e")) & (F.col("_bin") == F.col("edge_bin")))
-    order = Window.partitionBy("_s").orderBy("_rank", "_at").rowsBetween(Window.unboundedPreceding, 0)
+    order = Window.partitionBy("_s").orderBy("_rank", "_tie", "_at").rowsBetween(Window.unboundedPreceding, 0)
+    fits = F.col("run") - F.col("_size") / 2.0 <= F.col("rest")
     last = (inside.withColumn("run", F.col("before") + F.sum("_size").over(order))
             .groupBy(F.col("_s").alias("_e")).agg(
-                F.max(F.when(F.col("run") - F.col("_size") / 2.0 <= F.col("rest"), F.struct("_rank", "_at"))).alias("last"),
-                F.min("edge_bin").alias("edge_bin")))
+                F.max(F.when(fits, F.struct("_rank", "_tie", "_at"))).alias("last"),
+                F.min(F.when(~fits, F.struct("_rank", "_tie"))).alias("next"),
+                F.min("edge_bin").alias("edge_bin"))
+            .withColumn("split", F.coalesce((F.col("next._rank") == F.col("last._rank"))
+                                            & (F.col("next._tie") == F.col("last._tie")), F.lit(False))))
     return materialise(plan.join(last, F.col("_s").eqNullSafe(F.col("_e")), "left").drop("_e"))
 
 
@@ -123,7 +132,8 @@ def _copies(r: DataFrame) -> DataFrame:
     sampled = (F.when(F.col("rest") <= 0, 0)
                .when(F.col("edge_bin").isNull(), 1)     # rounding: all of the source is below its rest
                .when(F.col("last").isNull(), (bin_ < F.col("edge_bin")).cast("int"))
-               .otherwise((F.struct("_rank", "_at") <= F.col("last")).cast("int")))
+               .otherwise((F.when(F.col("split"), F.struct("_rank", "_tie", "_at") <= F.col("last"))
+                           .otherwise(F.struct("_rank", "_tie") <= F.struct("last._rank", "last._tie"))).cast("int")))
     return r.withColumn("_copies", F.col("certain") + sampled)
 
 
