@@ -267,6 +267,13 @@ def test_mixing_targets(spark, sizes):
     _check_mix(mixing.mix_plan(docs).collect(), [(i, t, None, s) for i, t, s in data])
 
 
+def test_mixing_cuts_between_identical_rows(spark):
+    docs = spark.createDataFrame([(1, "a b c", "s")] * 500 + [(2, "d", "s")], "doc_id long, text string, source string").coalesce(1)
+    plan = mixing.mix_plan(docs, share=1.5).collect()
+    assert abs(sum(r.taken for r in plan) - 1.5 * 1501) <= 1.5
+    assert mixing.mix(docs, share=1.5).count() == sum(r.copies for r in plan)
+
+
 def test_mixing_relative_weights(spark):
     docs = spark.createDataFrame([(i, "w", "a" if i % 10 else "b", 3.0 if i % 2 else 0.3) for i in range(4000)],
                                  "doc_id long, text string, source string, q double")
