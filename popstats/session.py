@@ -8,7 +8,9 @@ none is active, with the settings below.
 from __future__ import annotations
 
 import os
+import pathlib
 import tempfile
+import zipfile
 
 from pyspark.sql import SparkSession
 
@@ -63,6 +65,20 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir()
 
 
+def ship_package(spark: SparkSession) -> None:
+    """Send this package's modules to the executors (once per context), which may not have it installed."""
+    sc = spark.sparkContext
+    if getattr(sc, "_popstats_shipped", False):
+        return
+    root = pathlib.Path(__file__).resolve().parent
+    archive = os.path.join(tempfile.mkdtemp(prefix="popstats-package-"), "popstats.zip")
+    with zipfile.ZipFile(archive, "w") as z:
+        for path in sorted(root.rglob("*.py")):
+            z.write(path, str(path.relative_to(root.parent)))
+    sc.addPyFile(archive)
+    sc._popstats_shipped = True
+
+
 def cut_lineage(df, spark: SparkSession | None = None):
     """Materialise ``df`` with ``checkpoint()`` and return a DataFrame with short lineage.
 
