@@ -108,9 +108,9 @@ def pack(docs: DataFrame, shard_bytes: int = SLICE_BYTES) -> DataFrame:
     return materialise(rows.mapInArrow(run, "shard long, block binary"))
 
 
-def ranges_for(shards: DataFrame) -> int:
-    """log2 of the number of key ranges: about one per shard, so a range holds about one shard's worth of keys."""
-    return max(3, int(np.ceil(np.log2(max(1, shards.count())))))
+def ranges_for(shards: DataFrame, shards_per_range: int = 1) -> int:
+    """log2 of the number of key ranges, so that a range holds about so many shards' worth of keys."""
+    return max(3, int(np.ceil(np.log2(max(1, shards.count() / shards_per_range)))))
 
 
 def _sent(shard: int, kind: int, keys: np.ndarray, columns: list[np.ndarray], log2_ranges: int):

@@ -55,7 +55,8 @@ LENGTH = 50
 WIDTH = 19
 _LAST = np.int64(2**63 - 1)
 PARSE, DICTIONARY = 1, 2
-SHARD_BYTES = 2 << 20
+SHARD_BYTES = 1 << 20
+SHARDS_PER_RANGE = 4
 
 
 class Parse:
@@ -73,7 +74,8 @@ class Parse:
         windows = mix((self.prefix[WIDTH:] - self.prefix[:-WIDTH]) * inverse[:n - WIDTH + 1])
         # window hash (its high bits) and position in one number: the least is the leftmost trigger
         bits = U64(max(1, int(n).bit_length()))
-        key = ((windows >> bits) << bits) | np.arange(windows.size, dtype=U64)
+        key = (windows >> bits) << bits
+        key |= np.arange(windows.size, dtype=U64)
         span, have = length - WIDTH + 1, 1
         while 2 * have <= span:
             key = np.minimum(key[:-have], key[have:])
@@ -187,7 +189,7 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH) -> DataFrame:
         raise ValueError(f"length must be above {WIDTH}")
     spark = docs.sparkSession
     shards = pack(docs, SHARD_BYTES)
-    log2 = ranges_for(shards)
+    log2 = ranges_for(shards, SHARDS_PER_RANGE)
 
     def emit_parse(shard: Shard):
         t = Triggers(Parse(shard.texts, length), _ids(shard))
