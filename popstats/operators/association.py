@@ -64,7 +64,8 @@ def _chi2(cells: DataFrame, by: list[str], rows: DataFrame, cols: DataFrame, dig
     sums = joined.groupBy(*by).agg(F.sum("_o").alias("n"),
                                    F.sum(o * o / (F.col("_r").cast("double") * F.col("_c"))).alias("_s"))
     # the margins hold one row per value: count them instead of distinct values over all cells
-    nr, nc = (m.groupBy(*by).agg(F.count(F.lit(1)).alias(c)) for m, c in ((rows, "_nr"), (cols, "_nc")))
+    # (counting the sums keeps this branch equal to the other ones, so its shuffles are reused)
+    nr, nc = (m.groupBy(*by).agg(F.count(v).alias(c)) for m, v, c in ((rows, "_r", "_nr"), (cols, "_c", "_nc")))
     stats = (sums.join(nr, by).join(nc, by) if by
              else sums.withColumn("_nr", nr.scalar()).withColumn("_nc", nc.scalar()))
     # clamp: for an exactly independent table rounding can leave a tiny negative value

@@ -41,6 +41,18 @@ def count_by(df: DataFrame, keys: str | Sequence[str], total: str = "total") ->
     return df.groupBy(*_as_list(keys)).agg(F.count(F.lit(1)).alias(total))
 
 
+def _count_items(df: DataFrame, group: list[str], item: list[str], total: str) -> DataFrame:
+    """``count_by`` with a column ``_null`` that says whether an item column is NULL.
+
+    The flag is an aggregate, so filtering by it is not pushed below the
+    count, and every use of the counts shares one scan and one shuffle.
+    """
+    null = F.lit(False)
+    for c in item:
+        null = null | F.col(c).isNull()
+    return df.groupBy(*group, *item).agg(F.count(F.lit(1)).alias(total), F.max(null).alias("_null"))
+
+
 def _order(total: str, tie_keys: Sequence[str], descending: bool = True) -> list[Column]:
     first = F.col(total).desc() if descending else F.col(total).asc()
     return [first] + [F.col(c).asc_nulls_last() for c in tie_keys]
@@ -76,20 +88,25 @@ def top_items_per_group(df: DataFrame, group: str | Sequence[str], item: str | S
     """
     _check_ties(ties)
     group, item = _as_list(group), _as_list(item)
-    cells = df if counted else count_by(df, group + item, total)
+    cells = df if counted else _count_items(df, group, item, total)
     # NULL items sort after every real item, so the real items' ranks are
     # those they would have without NULLs; they are dropped after the window.
     # (A NULL filter before the window would be pushed below the counting
     # aggregation and stop its shuffle from being reused.)
     order = [] if include_null else [F.col(c).isNull().asc() for c in item]
     order += _order(total, item)
-    known = [] if include_null else [F.col(c).isNotNull() for c in item]
+    if include_null:
+        known = []
+    elif "_null" in cells.columns:
+        known = [~F.col("_null")]
+    else:
+        known = [F.col(c).isNotNull() for c in item]
     first = cells.withColumn("rank", F.row_number().over(Window.partitionBy(*group).orderBy(*order))).filter(
         F.col("rank") <= k)
     for c in known:
         first = first.filter(c)
     if ties == "first":
-        return first
+        return first.drop("_null")
     # at most k rows per group: their distinct counts with the rank each count has
     levels = first.groupBy(*[F.col(g).alias(f"_g{i}") for i, g in enumerate(group)], F.col(total).alias("_t")).agg(
         F.min("rank").alias("rank"))
@@ -99,7 +116,7 @@ def top_items_per_group(df: DataFrame, group: str | Sequence[str], item: str | S
     out = cells.join(levels, on)
     for c in known:
         out = out.filter(c)
-    return out.select(*cells.columns, "rank")
+    return out.select(*[c for c in cells.columns if c != "_null"], "rank")
 
 
 def restrict_to_top_groups(cells: DataFrame, group: str, *, k: int = 10, total: str = "total",
@@ -133,7 +150,7 @@ def rank_within_topk(df: DataFrame, group: str, item: str | Sequence[str], *, k_
     source is scanned once.  Output: ``group, item..., total, rank``.
     """
     item = _as_list(item)
-    cells = count_by(df, [group] + item, total)
+    cells = _count_items(df, [group], item, total)
     kept = restrict_to_top_groups(cells, group, k=k_groups, total=total, ties=group_ties)
     return top_items_per_group(kept, group, item, k=k_items, ties=ties, total=total,
                                include_null=include_null, counted=True)

@@ -13,7 +13,6 @@ listed without a plan.
 from __future__ import annotations
 
 import os
-import re
 import sys
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
@@ -24,30 +23,47 @@ from popstats.session import get_session  # noqa: E402
 MODEL_KEYS = {"classify_eval", "classify_eval_gender", "classify_eval_name", "classify_topk"}
 
 
-def final_plan(text: str) -> str:
-    """The final adaptive plans of the query and of its subqueries, without the initial ones."""
-    if "== Final Plan ==" not in text:
-        return text
-    return "\n".join(part.split("== Initial Plan ==")[0] for part in text.split("== Final Plan ==")[1:])
-
-
-def summarise(plan: str) -> dict[str, str]:
-    def n(pat: str) -> int:
-        return len(re.findall(pat, plan))
-
+def nodes(plan, jvm, seen: set[int]):
+    """The operators that really run: final stages, subqueries once, nothing below a reused exchange."""
+    name = plan.getClass().getSimpleName()
+    if name == "AdaptiveSparkPlanExec":
+        yield from nodes(plan.executedPlan(), jvm, seen)
+        return
+    if name.endswith("QueryStageExec"):
+        yield from nodes(plan.plan(), jvm, seen)
+        return
+    yield name, plan
+    below = [] if name.startswith("Reused") else [plan.children().apply(i) for i in range(plan.children().size())]
+    subqueries = plan.subqueries()
+    below += [subqueries.apply(i) for i in range(subqueries.size())]
+    for child in below:
+        identity = jvm.java.lang.System.identityHashCode(child)
+        if child.getClass().getSimpleName().startswith("Subquery"):
+            if identity in seen:
+                continue
+            seen.add(identity)
+        yield from nodes(child, jvm, seen)
+
+
+def summarise(plan, jvm) -> dict[str, str]:
+    found = list(nodes(plan, jvm, set()))
+    count = lambda *names: str(sum(n in names for n, _ in found))
+    single = sum(n == "ShuffleExchangeExec" and p.outputPartitioning().toString() == "SinglePartition" for n, p in found)
     scans: dict[str, int] = {}
-    for t in re.findall(r"FileScan parquet .*?Location: InMemoryFileIndex\(1 paths\)\[file:[^\]]*/(\w+)\.parquet\]", plan):
-        scans[t] = scans.get(t, 0) + 1
+    for n, p in found:
+        if n == "FileSourceScanExec":
+            t = p.relation().location().rootPaths().apply(0).getName().removesuffix(".parquet")
+            scans[t] = scans.get(t, 0) + 1
     return {
-        "shuffles": str(n(r"\bExchange hashpartitioning|\bExchange rangepartitioning|\bExchange SinglePartition")),
-        "of which to one partition": str(n(r"\bExchange SinglePartition")),
-        "reused exchanges": str(n(r"ReusedExchange")),
-        "broadcasts": str(n(r"\bBroadcastExchange")),
-        "SMJ": str(n(r"SortMergeJoin")),
-        "BHJ": str(n(r"BroadcastHashJoin")),
-        "partial WindowGroupLimit": str(n(r"WindowGroupLimit .*Partial")),
-        "TakeOrdered": str(n(r"TakeOrderedAndProject")),
-        "python": str(n(r"(BatchEvalPython|ArrowEvalPython)")),
+        "shuffles": count("ShuffleExchangeExec"),
+        "of which to one partition": str(single),
+        "reused exchanges": count("ReusedExchangeExec"),
+        "broadcasts": count("BroadcastExchangeExec"),
+        "SMJ": count("SortMergeJoinExec"),
+        "BHJ": count("BroadcastHashJoinExec"),
+        "partial WindowGroupLimit": str(sum(n == "WindowGroupLimitExec" and p.mode().toString() == "Partial" for n, p in found)),
+        "TakeOrdered": count("TakeOrderedAndProjectExec"),
+        "python": count("BatchEvalPythonExec", "ArrowEvalPythonExec"),
         "scans per table": "; ".join(f"{t} x{c}" for t, c in sorted(scans.items())),
     }
 
@@ -63,7 +79,6 @@ def main() -> None:
     spark = get_session(shuffle_partitions=8)
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     rows = []
-    spark.conf.set("spark.sql.maxMetadataStringLength", "2000")
     for key, fn in plans.queries().items():
         if key in MODEL_KEYS:
             rows.append((key, None))
@@ -74,8 +89,8 @@ def main() -> None:
         built = len(spark.sparkContext.statusTracker().getJobIdsForGroup(group))
         spark.sparkContext.setJobGroup("run", "run")
         df.collect()
-        plan = final_plan(df._jdf.queryExecution().executedPlan().toString())
-        rows.append((key, {"jobs while built": str(built)} | summarise(plan)))
+        plan = df._jdf.queryExecution().executedPlan()
+        rows.append((key, {"jobs while built": str(built)} | summarise(plan, spark._jvm)))
     cols = list(next(s for _, s in rows if s).keys())
     lines = [
         "# Physical plans of the registered queries",
