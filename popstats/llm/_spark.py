@@ -5,9 +5,8 @@ from __future__ import annotations
 import gc
 import tempfile
 import time
-from collections.abc import Callable, Iterator
+from collections.abc import Callable
 
-import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -64,11 +63,13 @@ def release(spark: SparkSession) -> None:
         time.sleep(0.5)
 
 
-def map_batches(df: DataFrame, fn: Callable[[pa.RecordBatch], Iterator[pa.RecordBatch]], schema: str) -> DataFrame:
-    """``mapInArrow`` with a function on one batch; batches arrive bounded in rows and are cut in bytes by callers."""
-
-    def run(batches):
-        for batch in batches:
-            yield from fn(batch)
+def in_arrow(df: DataFrame, run: Callable, schema: str, batch_bytes: int = 4 << 20) -> DataFrame:
+    """``mapInArrow`` over rows with whole texts, in batches of a few MB.
 
+    Replaces the session's default Arrow batch size (64 MB, held by Spark and
+    again by Python for every task); a size that the session sets is kept.
+    """
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    if df.sparkSession.conf.get(key) in ("67108864", "67108864b", "64m", "64MB"):
+        df.sparkSession.conf.set(key, str(batch_bytes))
     return df.mapInArrow(run, schema)

@@ -31,6 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from popstats.llm._spark import in_arrow
 from popstats.llm._text import U64, WORD_ALNUM, Texts, chain, range_hash, slices
 
 WINDOW = 13
@@ -310,7 +311,7 @@ def scan(docs: DataFrame, benchmark: DataFrame, keep: list[str], text: str = "te
     out = docs.select(*types)
     for k, items in enumerate(_blocks(benchmark, block_bytes)):
         schema = ", ".join([*(f"`{n}` {t}" for n, t in types.items()), *(f"{n} {t}" for n, t, _ in _RESULT)])
-        out = out.mapInArrow(_pass(items, list(types), text, window, k > 0), schema)
+        out = in_arrow(out, _pass(items, list(types), text, window, k > 0), schema)
     return out.select(*keep, *(n for n, _, _ in _RESULT))
 
 

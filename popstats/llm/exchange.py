@@ -30,7 +30,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from popstats.llm._spark import materialise
+from popstats.llm._spark import in_arrow, materialise
 from popstats.llm._text import SLICE_BYTES, Texts, U64, slices
 
 
@@ -105,7 +105,7 @@ def pack(docs: DataFrame, shard_bytes: int = SLICE_BYTES) -> DataFrame:
             yield flush()
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    return materialise(rows.mapInArrow(run, "shard long, block binary"))
+    return materialise(in_arrow(rows, run, "shard long, block binary"))
 
 
 def ranges_for(shards: DataFrame, shards_per_range: int = 1) -> int:
@@ -188,7 +188,7 @@ def send(shards: DataFrame, emit: Callable, log2_ranges: int) -> DataFrame:
                         for m in _sent(shard, kind, keys, columns, log2_ranges)]
                 yield from _messages(rows).to_batches()
 
-    return shards.mapInArrow(run, _MESSAGE)
+    return in_arrow(shards, run, _MESSAGE)
 
 
 def read(shards: DataFrame, answers: DataFrame, fn: Callable, schema: str) -> DataFrame:

@@ -31,6 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from popstats.llm._spark import in_arrow
 from popstats.llm._text import LOWER, Texts, slices
 
 BUCKETS = 1 << 15
@@ -112,7 +113,7 @@ def gram_counts(labelled: DataFrame) -> DataFrame:
                 [pa.array([name] * at.size, pa.string()), pa.array(at, pa.int32()), pa.array(total[at])],
                 ["lang", "bucket", "n"])
 
-    parts = labelled.select("lang", "text").mapInArrow(run, "lang string, bucket int, n long")
+    parts = in_arrow(labelled.select("lang", "text"), run, "lang string, bucket int, n long")
     return parts.groupBy("lang", "bucket").agg(F.sum("n").alias("n"))
 
 
@@ -222,5 +223,5 @@ def identify(docs: DataFrame, model: Model) -> DataFrame:
                      pa.array(unsure, pa.bool_())], ["doc_id", "lang_pred", "score", "ambiguous"])
 
     id_type = docs.schema["doc_id"].dataType.simpleString()
-    return docs.select("doc_id", "text").mapInArrow(
-        run, f"doc_id {id_type}, lang_pred string, score double, ambiguous boolean")
+    return in_arrow(docs.select("doc_id", "text"), run,
+                    f"doc_id {id_type}, lang_pred string, score double, ambiguous boolean")

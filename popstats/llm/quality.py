@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from popstats.llm._spark import beside, materialise
+from popstats.llm._spark import beside, in_arrow, materialise
 from popstats.llm._text import U64, WORD_SPACED, Texts, chain, mix, range_hash, slices
 
 ACCURACY = 0.01
@@ -126,7 +126,7 @@ def measure(docs: DataFrame, keep: list[str], text: str = "text") -> DataFrame:
                 yield pa.RecordBatch.from_arrays(
                     [*(part.column(k) for k in keep), *(pa.array(v, pa.int64()) for v in m.values())], names)
 
-    return docs.select(*dict.fromkeys([*keep, text])).mapInArrow(run, schema)
+    return in_arrow(docs.select(*dict.fromkeys([*keep, text])), run, schema)
 
 
 def with_base(measures: DataFrame) -> DataFrame:

@@ -34,7 +34,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from popstats.llm._spark import materialise
+from popstats.llm._spark import in_arrow, materialise
 from popstats.llm._text import LOWER, Texts, mix, slices
 from popstats.llm.graph import components
 
@@ -82,7 +82,7 @@ def fingerprint(docs: DataFrame, keep: list[str], shingle: int = 3, text: str =
                 fp = fingerprints_of(Texts(part.column(text)), shingle).view(np.int64)
                 yield pa.RecordBatch.from_arrays([*(part.column(k) for k in keep), pa.array(fp)], [*keep, out])
 
-    return docs.select(*dict.fromkeys([*keep, text])).mapInArrow(run, schema)
+    return in_arrow(docs.select(*dict.fromkeys([*keep, text])), run, schema)
 
 
 # ---------------------------------------------------------------- vantage-point trees

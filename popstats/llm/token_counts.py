@@ -30,6 +30,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from popstats.llm._spark import in_arrow
 from popstats.llm._text import slices
 
 # Fixed value: the byte-level pre-token pattern that such vocabularies are made with.
@@ -173,4 +174,4 @@ def token_counts(docs: DataFrame, path: str, limit: int = 512, table_size: int =
                     [part.column("doc_id"), pa.array(size, pa.int64()), pa.array(n, pa.int64()),
                      pa.array([x > limit for x in n])], ["doc_id", "n_bytes", "n_tokens", "over_limit"])
 
-    return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {id_type}, n_bytes long, n_tokens long, over_limit boolean")
+    return in_arrow(docs.select("doc_id", "text"), run, f"doc_id {id_type}, n_bytes long, n_tokens long, over_limit boolean")
