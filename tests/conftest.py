@@ -26,6 +26,7 @@ def spark():
              .config("spark.ui.enabled", "false")
              .config("spark.ui.showConsoleProgress", "false")
              .config("spark.checkpoint.dir", os.path.join(scratch, "ckpt"))
+             .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
              .config("spark.sql.warehouse.dir", os.path.join(scratch, "wh"))
              .getOrCreate())
     spark.sparkContext.setLogLevel("ERROR")
