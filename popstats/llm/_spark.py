@@ -29,14 +29,16 @@ def shared_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir()
 
 
-def materialise(df: DataFrame) -> DataFrame:
+def materialise(df: DataFrame, narrow: bool = False) -> DataFrame:
     """Write ``df`` to the shared checkpoint folder and read it from there.
 
     Reliable ``checkpoint()``: the files outlive any executor, and later
-    passes do not repeat the work above.
+    passes do not repeat the work above.  ``narrow``: a frame much smaller
+    than what it was made from; its rows are rebalanced first, so it is
+    written as a few files of a sensible size instead of one a task.
     """
     shared_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    return (df.hint("rebalance") if narrow else df).checkpoint(eager=True)
 
 
 def beside(small: DataFrame, most: int = 100_000) -> DataFrame:

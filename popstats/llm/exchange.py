@@ -164,7 +164,7 @@ def ask(messages: DataFrame, answer: Callable) -> DataFrame:
         names = ["shard", "kind", "key_range", "block", "total", "n_keys"]
         return pa.table({n: pa.array(c, t) for n, c, t in zip(names, cols, types)})
 
-    return materialise(messages.groupBy("key_range").applyInArrow(merge, _ANSWER))
+    return materialise(messages.groupBy("key_range").applyInArrow(merge, _ANSWER), narrow=True)
 
 
 def _answers(table: pa.Table) -> dict[int, list[np.ndarray]]:

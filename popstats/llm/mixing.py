@@ -140,7 +140,7 @@ def _copies(r: DataFrame) -> DataFrame:
 def mix_plan(docs: DataFrame, weights=WEIGHTS, share: float = 1.5, most: float = 2.0, relative: str | None = None,
              seed: int = 7) -> DataFrame:
     """Per document: doc_id, source, size, source_size, target, copies, taken."""
-    rows = materialise(drawn(docs, ["doc_id"], "source", "text", "doc_id", relative, seed))
+    rows = materialise(drawn(docs, ["doc_id"], "source", "text", "doc_id", relative, seed), narrow=True)
     t = _copies(_with_rank(rows, cuts(rows, weights, share, most)))
     return t.select("doc_id", F.col("_source").alias("source"), F.col("_size").alias("size"), "source_size", "target",
                     F.col("_copies").alias("copies"), (F.col("_copies") * F.col("_size")).cast("long").alias("taken"))
@@ -153,7 +153,7 @@ def mix(docs: DataFrame, weights=WEIGHTS, share: float = 1.5, most: float = 2.0,
     safe = [f"_c{i}" for i in range(len(names))]
     of = dict(zip(names, safe))
     narrow = drawn(docs.toDF(*safe), [], of["source"], of["text"], of["doc_id"], of.get(relative), seed)
-    table = cuts(materialise(narrow), weights, share, most)
+    table = cuts(materialise(narrow, narrow=True), weights, share, most)
     wide = drawn(docs.toDF(*safe), safe, of["source"], of["text"], of["doc_id"], of.get(relative), seed)
     t = _copies(_with_rank(wide, table)).filter("_copies > 0")
     return (t.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_copies"))))

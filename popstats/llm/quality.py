@@ -216,7 +216,7 @@ def judge(measures: DataFrame, limits: DataFrame, lang: str = "lang", source: st
 
 def quality_rules(docs: DataFrame, k: float = 3.0, min_group: int = 100) -> DataFrame:
     """Per document: its measures, ``base_failed``, ``kept`` and the fences of its group."""
-    m = materialise(measure(docs, ["doc_id", "lang", "source"]))
+    m = materialise(measure(docs, ["doc_id", "lang", "source"]), narrow=True)
     return judge(m, fences(m, k, min_group))
 
 
@@ -230,7 +230,7 @@ def quality_filter(docs: DataFrame, k: float = 3.0, min_group: int = 100) -> Dat
     names = docs.columns
     safe = [f"_c{i}" for i in range(len(names))]  # an input column may have the name of a measure
     at = {n: safe[names.index(n)] for n in ("text", "lang", "source")}
-    limits = materialise(fences(materialise(measure(docs, ["lang", "source"])), k, min_group))
+    limits = materialise(fences(materialise(measure(docs, ["lang", "source"]), narrow=True), k, min_group))
     rows = measure(docs.toDF(*safe), safe, at["text"])
     kept = judge(rows, beside(limits), at["lang"], at["source"]).filter("kept")
     return kept.select(*(F.col(s).alias(n) for s, n in zip(safe, names)))

@@ -243,7 +243,7 @@ def group(prints: DataFrame, max_bits: int = 2) -> DataFrame:
 
 def near_duplicates(docs: DataFrame, shingle: int = 3, max_bits: int = 2) -> DataFrame:
     """Per document: doc_id, fingerprint (16 hex digits), component_id."""
-    prints = materialise(fingerprint(docs, ["doc_id"], shingle))
+    prints = materialise(fingerprint(docs, ["doc_id"], shingle), narrow=True)
     return (prints.join(group(prints, max_bits).select("fp", "component_id"), "fp")
             .select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id"))
 
@@ -260,7 +260,7 @@ def drop_near_duplicates(docs: DataFrame, shingle: int = 3, max_bits: int = 2) -
     safe = [f"_c{i}" for i in range(len(names))]
     id_, text = safe[names.index("doc_id")], safe[names.index("text")]
     rows = fingerprint(docs.toDF(*safe), safe, shingle, text, "_fp")
-    prints = materialise(fingerprint(docs, ["doc_id"], shingle))
+    prints = materialise(fingerprint(docs, ["doc_id"], shingle), narrow=True)
     firsts = group(prints, max_bits)
     # the fingerprint that holds the component's id; of several (repeated ids), the smallest
     keep = (firsts.filter(F.col("first_id").eqNullSafe(F.col("component_id"))).groupBy("root")
