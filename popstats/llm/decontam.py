@@ -6,9 +6,11 @@ vocabulary (0: a word that no item has, and the end of a document), and its
 suffixes are sorted into a suffix array.  A suffix that does not start with
 the first words (``ANCHOR``, or the whole window where that is shorter) of
 some test suffix can match no window, so only the others are put into the
-array; this leaves every match of a window in place.  Every test suffix is
-then binary-searched: the neighbours of its place give its longest verbatim
-match, and the range of a window's words gives all locations.
+array; this leaves every match of a window in place.  Windows are
+binary-searched in it: the range of a window's words gives all locations.
+The test suffixes are sorted too, by all their words up to their item's end;
+every place of the array is binary-searched among them, and its neighbours
+give its longest verbatim match (of several, the first item's).
 
 Scale: the documents are neither shuffled nor sorted globally, and a shard's
 memory is bounded.  The benchmark is sent to the tasks in blocks of at most
@@ -129,12 +131,26 @@ class TestSuffixes:
         pair = np.unique(np.stack([inverse, self.item_of[self.win_at]], axis=1), axis=0) if inverse.size else np.zeros((0, 2), np.int64)
         self.w_items = pair[:, 1]
         self.w_first = np.searchsorted(pair[:, 0], np.arange(one.size + 1))
-        # distinct suffixes (their first `window` words) for the longest matches
+        # every suffix, in the order of all its words, for the longest matches
         at = place[self.left[place] >= ANCHOR]
-        _, one = np.unique(_records(self.ids, at, window), return_index=True)
-        self.s_at = at[one]
-        self.s_rec = _records(self.ids, self.s_at, window)
-
+        at = at[np.argsort(_whole_order(self.ids, self.left)[at], kind="stable")]
+        raw = np.frombuffer(_records(self.ids, at, window).tobytes(), np.uint8).reshape(-1, 4 * window).copy()
+        raw[np.arange(4 * window) >= 4 * self.left[at][:, None]] = 0
+        self.s_at = at
+        self.s_item = self.item_of[at]
+        self.s_rec = raw.view(f"S{4 * window}").ravel()
+
+
+def _whole_order(ids: np.ndarray, left: np.ndarray) -> np.ndarray:
+    """Rank of the suffix at every position, up to its item's end, by prefix doubling (equal suffixes share a rank)."""
+    rank, k, most = ids, 1, left.max(initial=0)
+    while k < most:
+        far = np.minimum(np.arange(ids.size) + k, ids.size - 1)
+        values, rank = np.unique(rank * (ids.size + 1) + np.where(left > k, rank[far], 0), return_inverse=True)
+        k *= 2
+        if values.size == ids.size:
+            break
+    return rank
 
 def _gram(ids: np.ndarray, at: np.ndarray, g: int) -> np.ndarray:
     return chain(*(ids[np.minimum(at + k, ids.size - 1)].astype(U64) for k in range(g)), np.full(at.size, g, U64))
@@ -204,31 +220,38 @@ def search_shard(t: Texts, test: TestSuffixes):
         k, e = _expand(test.w_first[w], test.w_first[w + 1])
         code = np.unique(d[k] * len(test.names) + test.w_items[e])
         pairs = np.stack([code // len(test.names), code % len(test.names)], axis=1)
-    # every test suffix: the neighbours of its place hold its longest match
-    spot = np.searchsorted(sorted_rec, test.s_rec, "left")
-    best = np.zeros(spot.size, np.int64)
+    # every place of the array: its neighbours among the test suffixes hold its longest match
+    if not test.s_at.size:
+        return n_words, first, hit_words, doc, pairs, longest, starts, ends
+    spot = np.searchsorted(test.s_rec, sorted_rec, "left")
+    length = np.zeros(spot.size, np.int64)
     for side in (-1, 0):
-        k = np.clip(spot + side, 0, array.size - 1)
-        best = np.maximum(best, _common(ids, array[k], test.ids, test.s_at, test.window))
-    good = np.flatnonzero(best >= ANCHOR)
-    if good.size:
-        shown = np.minimum(best[good], test.window)
-        raw = np.frombuffer(test.s_rec[good].tobytes(), np.uint8).reshape(-1, 4 * test.window).copy()
-        beyond = np.arange(4 * test.window) >= 4 * shown[:, None]
-        low, high = raw.copy(), raw
-        low[beyond] = 0
-        high[beyond] = 255
-        as_key = lambda x: np.ascontiguousarray(x).view(f"S{4 * test.window}").ravel()
-        s, element = _expand(np.searchsorted(sorted_rec, as_key(low), "left"),
-                             np.searchsorted(sorted_rec, as_key(high), "right"))
-        pos, at_test = array[element], test.s_at[good][s]
-        length = _common(ids, pos, test.ids, at_test, None)
-        d = owner_of[pos]
-        item = test.item_of[at_test]
-        word0 = pos - d
-        top = np.lexsort((word0, item, -length, d))
-        keep = top[np.unique(d[top], return_index=True)[1]]
-        longest[d[keep]] = np.stack([length[keep], item[keep], word0[keep], word0[keep] + length[keep]], axis=1)
+        k = np.clip(spot + side, 0, test.s_at.size - 1)
+        length = np.maximum(length, _common(ids, array, test.ids, test.s_at[k], test.window))
+    # as long as the records: on among all suffixes with these words
+    lo, hi = np.zeros((2, spot.size), np.int64)
+    full = np.flatnonzero(length == test.window)
+    length[full], lo[full], hi[full] = _extended(
+        ids, array[full], test, spot[full], np.searchsorted(test.s_rec, sorted_rec[full], "right"))
+    d = owner_of[array]
+    top = np.zeros(t.n, np.int64)
+    np.maximum.at(top, d, length)
+    best = np.flatnonzero((length == top[d]) & (length >= ANCHOR))
+    if best.size:
+        short = best[length[best] < test.window]
+        raw = np.frombuffer(sorted_rec[short].tobytes(), np.uint8).reshape(-1, 4 * test.window).copy()
+        beyond = np.arange(4 * test.window) >= 4 * length[short][:, None]
+        for fill, side, bound in ((0, "left", lo), (255, "right", hi)):
+            raw[beyond] = fill
+            bound[short] = np.searchsorted(test.s_rec, raw.view(f"S{4 * test.window}").ravel(), side)
+        # the first item of each distinct range of suffixes
+        span, which = np.unique(np.stack([lo[best], hi[best]], axis=1), axis=0, return_inverse=True)
+        item = np.minimum.reduceat(np.append(test.s_item, len(test.names)), span.ravel())[::2][which.ravel()]
+        word0 = array[best] - d[best]
+        keep = np.lexsort((word0, item, d[best]))
+        keep = keep[np.unique(d[best][keep], return_index=True)[1]]
+        n = length[best][keep]
+        longest[d[best][keep]] = np.stack([n, item[keep], word0[keep], word0[keep] + n], axis=1)
     return n_words, first, hit_words, doc, pairs, longest, starts, ends
 
 
@@ -246,6 +269,38 @@ def _common(a: np.ndarray, at_a: np.ndarray, b: np.ndarray, at_b: np.ndarray, li
     return out
 
 
+def _extended(ids: np.ndarray, pos: np.ndarray, test: TestSuffixes, lo: np.ndarray, hi: np.ndarray):
+    """(words, first, end): the longest match from each position, and the range of test suffixes that have it.
+
+    ``[lo, hi)`` are the suffixes that share the first ``window`` words; they
+    are in order, so every further word narrows the range by binary search.
+    """
+    n, lo, hi = np.full(pos.size, test.window, np.int64), lo.copy(), hi.copy()
+    live = np.arange(pos.size)
+    k = test.window
+    while live.size:
+        x = ids[np.minimum(pos[live] + k, ids.size - 1)]
+        live, x = live[x > 0], x[x > 0]
+        a, b = (_first_place(test, k, lo[live], hi[live], y) for y in (x, x + 1))
+        live, a, b = live[a < b], a[a < b], b[a < b]
+        k += 1
+        n[live], lo[live], hi[live] = k, a, b
+    return n, lo, hi
+
+
+def _first_place(test: TestSuffixes, k: int, lo: np.ndarray, hi: np.ndarray, least: np.ndarray) -> np.ndarray:
+    """The first suffix of each range [lo, hi) whose word ``k`` is at least ``least``."""
+    lo, hi = lo.copy(), hi.copy()
+    wide = np.flatnonzero(lo < hi)
+    while wide.size:
+        mid = (lo[wide] + hi[wide]) // 2
+        less = test.ids[test.s_at[mid] + k] < least[wide]
+        lo[wide[less]] = mid[less] + 1
+        hi[wide[~less]] = mid[~less]
+        wide = wide[lo[wide] < hi[wide]]
+    return lo
+
+
 def _united(first: np.ndarray, hit: np.ndarray, previous) -> np.ndarray:
     """``hit`` with the runs that earlier blocks found."""
     if previous is None:
@@ -285,7 +340,7 @@ def _pass(items: list[tuple[str, str]], keep: list[str], text: str, window: int,
                     for d, old in enumerate(part.column("_items").to_pylist()):
                         found[d] = sorted({*found[d], *old})
                     for d, old in enumerate(part.column("_longest").to_pylist()):
-                        top[d] = max((x for x in (old, top[d]) if x), key=lambda x: x["n_words"], default=None)
+                        top[d] = min((x for x in (old, top[d]) if x), key=lambda x: (-x["n_words"], x["item_id"], x["start"]), default=None)
                 yield pa.RecordBatch.from_arrays(
                     [*(part.column(k) for k in keep), pa.array(n_words), hits.cast(_RESULT[1][2]),
                      pa.array(found, _RESULT[2][2]), pa.array(top, _RESULT[3][2])], names)

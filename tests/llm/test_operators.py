@@ -116,6 +116,34 @@ def test_longest_match(spark):
     assert text.encode()[r1.longest.start:r1.longest.end].decode() == " ".join(f"W{i}" for i in range(5, 35))
 
 
+@pytest.mark.parametrize("block_bytes", [decontam.BLOCK_BYTES, 120])
+def test_longest_match_of_items_with_a_common_start(spark, block_bytes):
+    """Of items that share more words than a window, the longer match counts; each document has its own longest match."""
+    words = lambda c, n: [f"{c}{i}" for i in range(n)]
+    items = {f"i{k}": words("p", 30) + words(c, n) for k, (c, n) in enumerate([("x", 5), ("y", 10), ("z", 7)])}
+    items |= {"j0": ["w"] * 40, "j1": ["w"] * 20 + ["v"]}
+    texts = [items["i1"], ["q"] + items["i2"], items["i0"] + ["q"], words("p", 30), words("p", 7) + ["q"], words("p", 20)[8:],
+             ["q"] + words("y", 10)[4:], words("p", 2), ["w"] * 60, ["w"] * 30 + ["v"], []]
+
+    def best(text):
+        found = []
+        for i, item in items.items():
+            for a in range(len(text)):
+                for b in range(len(item)):
+                    n = 0
+                    while a + n < len(text) and b + n < len(item) and text[a + n] == item[b + n]:
+                        n += 1
+                    found.append((-n, i, a))
+        n, i, a = min(found, default=(0, "", 0))
+        return (-n, i, " ".join(text[:a]), " ".join(text[a:a - n])) if n <= -3 else None
+
+    docs = spark.createDataFrame([(k, " ".join(x)) for k, x in enumerate(texts)], "doc_id long, text string").coalesce(1)
+    bench = spark.createDataFrame([(i, " ".join(x)) for i, x in items.items()], "item_id string, text string")
+    for r in decontam.contamination(docs, bench, block_bytes=block_bytes).collect():
+        text, x = " ".join(texts[r.doc_id]), r.longest
+        assert (x and (x.n_words, x.item_id, text[:x.start].strip(), text[x.start:x.end])) == best(texts[r.doc_id]), r.doc_id
+
+
 def test_remove_repeats(docs, rows, empty):
     got = sa_dedup.remove_repeats(docs).collect()
     expect = brute.remove_repeats([(r[0], r[1]) for r in rows])
