@@ -20,9 +20,10 @@ conversation is collected into one row or task: the result has one row per
 message, and sorting by (conv_id, reply_path) gives the reply order.
 
 Edge cases: a NULL text stays NULL and quotes nothing; an empty text is
-empty; a message that is all quote has an empty body; pieces of fewer than
-``min_chars`` normalised characters do not link; NULL conv_ids form one
-conversation; a NULL turn has no replies, replies to nothing and has an empty
+empty; a message that is all quote has an empty body; a single line of fewer
+than ``min_chars`` normalised characters does not link unless it is a whole
+passage or paragraph, both as quoted and where it was written; pieces without
+letters or digits do not link; NULL conv_ids form one conversation; a NULL turn has no replies, replies to nothing and has an empty
 path; several rows with one (conv_id, turn) share their links and each keeps
 its own row; an empty table gives an empty result; other columns of any name
 are carried through.
@@ -66,9 +67,10 @@ def _runs(parsed: str) -> Column:
 
 
 def _pieces(passage: Column, min_chars: int) -> Column:
-    """Distinct normalised pieces of a passage: itself, its paragraphs, its lines."""
-    every = F.concat(F.array(passage), F.split(passage, r"\n[ \t]*\n"), F.split(passage, r"\n"))
-    return F.array_distinct(F.filter(F.transform(every, normalised), lambda x: F.length(x) >= min_chars))
+    """Distinct normalised pieces of a passage: itself and its paragraphs of any length, its lines from ``min_chars`` on."""
+    pieces = lambda x, least: F.filter(F.transform(x, normalised), lambda p: F.length(p) >= least)
+    return F.array_distinct(F.concat(pieces(F.concat(F.array(passage), F.split(passage, r"\n[ \t]*\n")), 1),
+                                     pieces(F.split(passage, r"\n"), max(1, min_chars))))
 
 
 def _body(parsed: str) -> Column:

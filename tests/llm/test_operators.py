@@ -483,6 +483,18 @@ def test_chat(spark):
     assert chat.link_quotes(frame.limit(0)).collect() == []
 
 
+def test_chat_links_short_messages(spark):
+    """A short message or paragraph that is quoted whole is linked; a short line out of a longer paragraph is not."""
+    text = {0: "Shall we go on with this today?", 1: "Yes, I agree.", 2: "> Yes, I agree.\nThanks!", 3: "> Thanks!\n好的。",
+            4: "> 好的。\nFine by me, then.\n\nBye now", 5: "> bye  NOW\nok then\nand so on", 6: "> ok then\nno whole paragraph",
+            7: "> ...\n!!!", 8: "> Later\nquoted before it was written", 9: "Later"}
+    data = [(1, k, "r", v) for k, v in text.items()] + [(2, 0, "r", "> Thanks!\nof another conversation")]
+    got = {(r.conv_id, r.turn): r for r in chat.link_quotes(
+        spark.createDataFrame(data, "conv_id long, turn long, role string, text string")).collect()}
+    assert {k: got[1, k].reply_to for k in text} == {0: None, 1: None, 2: 1, 3: 2, 4: 3, 5: 4, 6: None, 7: None, 8: None, 9: None}
+    assert got[1, 5].reply_path == [1, 2, 3, 4, 5] and got[1, 2].body == "Thanks!" and got[2, 0].reply_to is None
+
+
 def test_chat_long_chain(spark):
     line = lambda i: f"message number {i} says something"
     data = [(1, i, "r", (f"> {line(i - 1)}\n" if i else "") + line(i)) for i in range(23)]
