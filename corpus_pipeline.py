@@ -36,7 +36,7 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def shard(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Operator 4: the documents' columns and the shard of each row."""
-    return with_shard(docs, n_shards=16)
+    return with_shard(docs, n_shards=16, map_path=spark.conf.get("spark.popstats.slotMap.pipeline", None))
 
 
 STAGES = [

@@ -74,7 +74,8 @@ FROM dw LEFT JOIN words USING (doc_id) LEFT JOIN items USING (doc_id)
 def op4_virtual_slot_sharding(spark, sf_dir):
     from popstats.llm.sharding import shard_documents
 
-    return shard_documents(load(spark, sf_dir, "documents"), n_shards=16)
+    return shard_documents(load(spark, sf_dir, "documents"), n_shards=16,
+                           map_path=spark.conf.get("spark.popstats.slotMap.op4", None))
 
 
 @register

@@ -5,7 +5,10 @@ Bytes are aggregated per slot, and a small versioned table maps slots to
 shards.  The first version deals slots, largest first, to the shard with the
 fewest bytes; ``rebalanced`` edits an existing map (for grown data or another
 number of shards) by moving as few bytes as the balance needs, so records
-move only with their slot.  The map has ``n_slots`` rows whatever the data's
+move only with their slot.  Every run stores its version as a table and
+assigns from that table: version 1 in a new folder of the shared one, or,
+given the path of earlier versions (``map_path``), the next version there.
+The map has ``n_slots`` rows whatever the data's
 size; it alone passes through the driver.
 
 Scale: no text is shuffled.  The slot sums are a partial aggregation, the
@@ -16,16 +19,21 @@ third of the rows carry are spread over all slots.
 
 Edge cases: a NULL text has size 1 and crc32 0; NULL ids are ordered first;
 identical rows share a slot and take consecutive places; an empty table gives
-an empty result and a map with empty slots.
+an empty result and a map with empty slots; a stored map of another number of
+slots is an error.
 """
 
 from __future__ import annotations
 
 import heapq
+import uuid
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from popstats.llm._spark import shared_dir
+
 N_SLOTS = 8192
 MAP_SCHEMA = "virtual_slot int, shard int, bytes long, version int"
 
@@ -103,10 +111,35 @@ def load_map(spark: SparkSession, path: str, version: int) -> list[tuple[int, in
     return sorted(tuple(r) for r in spark.read.schema(MAP_SCHEMA).parquet(f"{path.rstrip('/')}/version={version:06d}").collect())
 
 
-def assign(records: DataFrame, slot_map: list[tuple[int, int, int, int]]) -> DataFrame:
+def latest_version(spark: SparkSession, path: str) -> int:
+    """The highest stored version, 0 where there is none."""
+    try:
+        return spark.read.schema(MAP_SCHEMA).parquet(path).agg(F.max("version")).first()[0] or 0
+    except AnalysisException as e:
+        if e.getCondition() == "PATH_NOT_FOUND":
+            return 0
+        raise
+
+
+def stored_map(spark: SparkSession, weights: dict[int, int], n_shards: int, n_slots: int = N_SLOTS,
+               map_path: str | None = None) -> DataFrame:
+    """(virtual_slot, shard) of a version stored now: the first, or the one after the latest at ``map_path``."""
+    path = (map_path or f"{shared_dir(spark)}/slot-map-{uuid.uuid4().hex}").rstrip("/")
+    latest = latest_version(spark, path) if map_path else 0
+    if latest:
+        old = load_map(spark, path, latest)
+        if len(old) != n_slots:
+            raise ValueError(f"the map at {path} has {len(old)} slots, not {n_slots}")
+        rows = rebalanced(old, weights, n_shards)
+    else:
+        rows = first_map(weights, n_shards, n_slots)
+    save_map(spark, rows, path)
+    return spark.read.schema(MAP_SCHEMA).parquet(f"{path}/version={latest + 1:06d}").select("virtual_slot", "shard")
+
+
+def assign(records: DataFrame, slot_map: DataFrame) -> DataFrame:
     """``records`` (with virtual_slot) plus ``shard`` of the map."""
-    m = map_frame(records.sparkSession, slot_map).select("virtual_slot", "shard")
-    return records.join(F.broadcast(m), "virtual_slot")
+    return records.join(F.broadcast(slot_map), "virtual_slot")
 
 
 def placed(records: DataFrame) -> DataFrame:
@@ -120,18 +153,18 @@ def placed(records: DataFrame) -> DataFrame:
             .withColumn("slot", (F.col("offset") + F.col("place")).cast("long")).drop("offset", "place"))
 
 
-def shard_documents(docs: DataFrame, n_shards: int = 16, n_slots: int = N_SLOTS) -> DataFrame:
+def shard_documents(docs: DataFrame, n_shards: int = 16, n_slots: int = N_SLOTS, map_path: str | None = None) -> DataFrame:
     """Per document: doc_id, size, text_crc32, law, shard, slot, grown_shard and its virtual slot (law ``bytes``)."""
     records = sized(docs, n_slots)
-    slot_map = first_map(slot_bytes(records), n_shards, n_slots)
+    slot_map = stored_map(docs.sparkSession, slot_bytes(records), n_shards, n_slots, map_path)
     return placed(assign(records, slot_map)).select(
         "doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot",
         F.lit(None).cast("int").alias("grown_shard"), "virtual_slot")
 
 
-def with_shard(docs: DataFrame, n_shards: int = 16, n_slots: int = N_SLOTS) -> DataFrame:
+def with_shard(docs: DataFrame, n_shards: int = 16, n_slots: int = N_SLOTS, map_path: str | None = None) -> DataFrame:
     """All columns of ``docs`` (one named ``shard`` is replaced) plus ``shard``; the text is never shuffled."""
-    slot_map = first_map(slot_bytes(sized(docs, n_slots)), n_shards, n_slots)
-    m = map_frame(docs.sparkSession, slot_map).select(F.col("virtual_slot").alias("_slot"), F.col("shard"))
+    slot_map = stored_map(docs.sparkSession, slot_bytes(sized(docs, n_slots)), n_shards, n_slots, map_path)
+    m = slot_map.withColumnsRenamed({"virtual_slot": "_slot"})
     return (docs.drop("shard", "_slot").withColumn("_slot", slot_of(n_slots))
             .join(F.broadcast(m), "_slot").drop("_slot"))

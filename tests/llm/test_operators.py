@@ -260,6 +260,28 @@ def test_slot_maps(spark, scratch):
     assert sharding.load_map(spark, scratch, 1) == first and sharding.load_map(spark, scratch, 2) == grown
 
 
+def test_slot_map_is_stored_and_edited(spark, scratch):
+    """A later run edits the stored map: records move only where the balance needs it; each run assigns from its version."""
+    rng = random.Random(4)
+    data = [(i, "x" * rng.randint(1, 400)) for i in range(900)]
+    frame = lambda n: spark.createDataFrame(data[:n], "doc_id long, text string")
+    path = f"{scratch}/maps"
+    runs = [sharding.shard_documents(frame(600), 4, 64, map_path=path), sharding.shard_documents(frame(900), 4, 64, map_path=path),
+            sharding.with_shard(frame(900), 5, 64, map_path=path)]
+    maps = [{slot: shard for slot, shard, _, _ in sharding.load_map(spark, path, v)} for v in (1, 2, 3)]
+    assert sharding.latest_version(spark, path) == 3 and all(len(m) == 64 for m in maps)
+    slot = {r.doc_id: r.virtual_slot for r in runs[1].collect()}
+    for run, m in zip(runs, maps):
+        assert all(r.shard == m[slot[r.doc_id]] for r in run.collect())
+    weights = sharding.slot_bytes(sharding.sized(frame(900), 64))
+    moved = [k for k in maps[0] if maps[0][k] != maps[1][k]]
+    fresh = {k: shard for k, shard, _, _ in sharding.first_map(weights, 4, 64)}
+    assert len(moved) < sum(maps[0][k] != fresh[k] for k in fresh) / 2
+    assert {maps[2][k] for k in maps[1] if maps[1][k] != maps[2][k]} == {4}
+    with pytest.raises(ValueError, match="64 slots"):
+        sharding.shard_documents(frame(5), 4, 32, map_path=path)
+
+
 def _check_mix(plan, rows):
     size = lambda t: len(brute.SPACED.findall(t or ""))
     sizes = collections.Counter()
