@@ -178,7 +178,7 @@ def fences(measures: DataFrame, k: float = 3.0, min_group: int = 100) -> DataFra
     """(lang, source, one low and one high fence per adaptive measure).
 
     A (lang, source) with fewer than ``min_group`` documents uses the merged
-    sketches of its language; a language with fewer has no fences.
+    sketches of its language; a language with fewer has the ``FLOORS`` as fences.
     """
     own = sketches(_ratios(measures), ["lang", "source"], list(FLOORS))
     own = materialise(own)  # one pass over the measures feeds both levels
