@@ -309,3 +309,22 @@ SELECT doc_id, size, text_crc32, 'bytes' AS law, CAST(shard AS INTEGER) AS shard
        CAST(NULL AS INTEGER) AS grown_shard, r.virtual_slot
 FROM r JOIN o ON o.virtual_slot = r.virtual_slot JOIN deal ON deal.k = o.k
 """
+
+
+@register
+def op11_cross_tokenizer_alignment(spark, sf_dir):
+    import public_tokenizers
+
+    from popstats.llm.alignment import alignment
+
+    return alignment(load(spark, sf_dir, "documents"), str(public_tokenizers.path("byte_bpe_50k.json")),
+                     str(public_tokenizers.path("piece_bpe_32k.model")))
+
+
+@register
+def op13_hierarchical_best_fit_packing(spark, sf_dir):
+    import public_tokenizers
+
+    from popstats.llm.packing import packed
+
+    return packed(load(spark, sf_dir, "documents"), str(public_tokenizers.path("byte_bpe_50k.json")))
