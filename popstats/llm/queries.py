@@ -328,3 +328,11 @@ def op13_hierarchical_best_fit_packing(spark, sf_dir):
     from popstats.llm.packing import packed
 
     return packed(load(spark, sf_dir, "documents"), str(public_tokenizers.path("byte_bpe_50k.json")))
+
+
+@register
+def op12_branch_and_bound_repair(spark, sf_dir):
+    from popstats.llm.repair import damaged, repaired
+
+    given = load(spark, sf_dir, "conversations")
+    return repaired(given, damaged(given))
