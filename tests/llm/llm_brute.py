@@ -139,3 +139,118 @@ def mix_targets(sizes, weights=(3, 1, 2), share=1.5, most=2.0):
             out[s] = most * sizes[s] if over else rest * w[s] / weight
         left -= set(over or left)
     return out
+
+
+def damage(rows):
+    """(conv_id, turn, role, text) rows after the planted faults of the repair operator."""
+    out = []
+    for conv, turn, role, text in rows:
+        show = lambda x: " " if x is None else str(x)
+        fault = zlib.crc32(f"{show(conv)}:{show(turn)}".encode()) % 20
+        role, text = show(role), show(text)
+        if fault == 1:
+            text = ""
+        elif fault == 2:
+            text = re.sub("[.!?]", "", text)
+        elif fault == 4:
+            role = "user"
+        out += [(conv, turn, role, text)] * {0: 0, 3: 2}.get(fault, 1)
+    return out
+
+
+def repair(rows):
+    """(turn, role, text) rows of one conversation -> gaps, blank, duplicate, truncated, illegal, cost, audit, sha: shortest
+    paths over (rows done, state) by (cost, audit)."""
+    rows = sorted(rows, key=lambda r: (r[0] is not None, r[0] or 0, r[1].encode(), hashlib.md5(r[2].encode()).hexdigest()))
+    if not rows:
+        return 0, 0, 0, 0, 0, 0, "", hashlib.sha256(b"").hexdigest()
+    faults, seen = [], set()
+    for _, role, text in rows:
+        body = text.rstrip("\t\n\x0b\x0c\r ")
+        faults.append("blank" if not body else "duplicate" if (role, text) in seen else "" if body[-1] in ".!?" else "truncated")
+        seen.add((role, text))
+    turns = [t for t, _, _ in rows if t is not None]
+    illegal = sum(a[1][:1] + b[1][:1] not in ("su", "ua", "au") for a, b in zip(rows, rows[1:]))
+    after = {("", "s"): "s", ("", "u"): "u", ("s", "u"): "u", ("u", "a"): "a", ("a", "u"): "u"}
+    best = {"": (0, "", [])}
+
+    def insert(best):
+        for _ in range(4):
+            for q, (c, a, kept) in list(best.items()):
+                for role in ("user", "assistant"):
+                    to = after.get((q, role[0]))
+                    if to:
+                        way = (c + 3, a + "I", [*kept, f"{role}:"])
+                        best[to] = min(way, best.get(to, way))
+        return best
+
+    best = insert(best)
+    for (_, role, text), fault in zip(rows, faults):
+        then = {}
+        for q, (c, a, kept) in best.items():
+            ways = [("D", 4, q, kept)]
+            if fault not in ("blank", "duplicate"):
+                extra = 3 if fault else 0
+                if (q, role[:1]) in after:
+                    ways.append(("K", extra, after[q, role[:1]], [*kept, f"{role}:{text}"]))
+                ways += [("R", 3 + extra, after[q, x[0]], [*kept, f"{x}:{text}"]) for x in ("user", "assistant") if (q, x[0]) in after]
+            for letter, cost, to, lines in ways:
+                way = (c + cost, a + letter, lines)
+                then[to] = min(way, then.get(to, way))
+        best = insert(then)
+    cost, audit, lines = min(best[q] for q in ("", "a") if q in best)
+    return (max(turns) - min(turns) + 1 - len(set(turns)) if turns else 0, *(faults.count(x) for x in ("blank", "duplicate", "truncated")),
+            illegal, cost, audit, hashlib.sha256("\n".join(lines).encode()).hexdigest())
+
+
+def byte_level():
+    """Byte-level character -> byte."""
+    plain = [b for b in range(256) if 0x21 <= b <= 0x7E or 0xA1 <= b <= 0xAC or b >= 0xAE]
+    out, n = {chr(b): b for b in plain}, 256
+    for b in range(256):
+        if b not in plain:
+            out[chr(n)], n = b, n + 1
+    return out
+
+
+def align(docs, path_a, path_b):
+    """(id, text) rows -> a Counter of result rows of the alignment operator."""
+    import sentencepiece
+    from tokenizers import Tokenizer
+
+    tok_a, tok_b = Tokenizer.from_file(path_a), sentencepiece.SentencePieceProcessor(model_file=path_b)
+    tok_a.encode_special_tokens = True
+    alphabet, pairs, kept = byte_level(), collections.Counter(), []
+    for i, text in docs:
+        kept.append((i, [], [], [], []))
+        if not text:
+            continue
+        whole = (" " + text).encode()
+        a, b = tok_a.encode(" " + text, add_special_tokens=False).ids, tok_b.encode(text)
+        bytes_a = [bytes(alphabet[c] for c in tok_a.id_to_token(x)) for x in a]
+        bytes_b = [bytes([int(tok_b.id_to_piece(x)[3:5], 16)]) if tok_b.is_byte(x) else tok_b.id_to_piece(x).replace("▁", " ").encode()
+                   for x in b]
+        if b"".join(bytes_a) != whole or b"".join(bytes_b) != whole:
+            continue
+        ends, at = {}, 0
+        for k, x in enumerate(bytes_a):
+            at += len(x)
+            ends[at] = k + 1
+        groups, at, begin = [], 0, (0, 0)
+        for k, x in enumerate(bytes_b):
+            at += len(x)
+            if at in ends:
+                groups.append((a[begin[0]:ends[at]], b[begin[1]:k + 1]))
+                begin = (ends[at], k + 1)
+        links = [(x[-1], y[-1]) for x, y in groups]
+        pairs.update(links)
+        kept[-1] = (i, a, b, groups, links)
+    best = collections.Counter()
+    for (_, y), n in pairs.items():
+        best[y] = max(best[y], n)
+    out = collections.Counter()
+    for i, a, b, groups, links in kept:
+        text = ";".join(",".join(map(str, x)) + "|" + ",".join(map(str, y)) for x, y in groups)
+        out[i, len(a), len(b), len(groups), len(links), sum(pairs[x] == best[x[1]] for x in links), sum(pairs[x] for x in links),
+            hashlib.sha256(text.encode()).hexdigest() if a else ""] += 1
+    return out
