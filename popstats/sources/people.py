@@ -9,11 +9,12 @@ The same definition in SQL (``PEOPLE_SQL``) is the CTE every oracle starts
 from.
 
 Plan shape: ``orders`` joins ``customer`` on the customer key and ``part`` on
-a key made of both, taken modulo the number of parts (a scalar subquery that
-parquet answers from its footers).  All three grow with the data, so both
-joins are sort-merge joins (``merge`` hint; AQE splits a hot key) instead of
-broadcasts of tables that happen to be small in a test.  Only ``nation``, a
-fixed 25-row dimension, is broadcast.
+a key made of both, taken modulo the span of the part keys (scalar subqueries
+over one column).  All three grow with the data, so no join is hinted: Spark
+broadcasts a side only below its own measured size threshold and otherwise
+sort-merges, with AQE splitting a hot key.  Only ``nation``, a fixed 25-row
+dimension, is always broadcast.  Part keys need not start at 0 nor be dense: a
+person whose part does not exist is kept, with NULL names.
 """
 
 from __future__ import annotations
@@ -30,6 +31,8 @@ NATIONS = 25             # nation keys 0..24 (TPC-H fixed dimension)
 PARTS_PER_SURNAME = 20   # part keys that share one surname suffix
 CUSTOMERS_PER_STREET = 5
 CUSTOMERS_PER_DISTRICT = 100
+PARTS_PER_NEIGHBORHOOD = 100     # families of neighbouring parts live together,
+CUSTOMERS_PER_NEIGHBORHOOD = 50  # but for three in ten, who live by customer
 DATE_ORIGIN = _dt.date(1900, 1, 1)
 DATE_SPAN_DAYS = 33238   # birth dates fall in [1900-01-01, 1990-12-31)
 
@@ -40,8 +43,9 @@ def people(orders: DataFrame, customer: DataFrame, nation: DataFrame, part: Data
     c = customer.select(F.col("c_custkey").alias("ck"), F.col("c_nationkey").alias("nk"))
     origin = nation.select(F.col("n_nationkey").alias("nk"), F.col("n_name").alias("origin_city"))
     address = nation.select(F.col("n_nationkey").alias("mk"), F.col("n_name").alias("address_city"))
-    names = part.select(F.col("p_partkey").alias("pk"), F.col("p_name").alias("name"))
-    n_part = part.agg(F.count(F.lit(1))).scalar()
+    names = part.select(F.col("p_partkey").alias("pk"), F.col("p_name").alias("name"), F.lower("p_type").alias("mother"),
+                        F.translate(F.lower("p_brand"), "#", "_").alias("father"))
+    first, last = part.agg(F.min("p_partkey")).scalar(), part.agg(F.max("p_partkey")).scalar()
 
     k, ck, pk = F.col("k"), F.col("ck"), F.col("pk")
     moved_city = F.when(k % 10 < 2, k % NATIONS).otherwise(F.lit(0))
@@ -50,10 +54,10 @@ def people(orders: DataFrame, customer: DataFrame, nation: DataFrame, part: Data
         F.date_add(F.lit(DATE_ORIGIN), ((k * 7919) % DATE_SPAN_DAYS).cast("int")))
     numbered = lambda name, x, size: F.concat(F.lit(name), F.floor(x / size).cast("string"))
 
-    base = (o.join(c.hint("merge"), "ck")  # all sides grow: shuffle joins
+    base = (o.join(c, "ck")
             .withColumn("mk", (F.col("nk") + moved_city) % NATIONS)
-            .withColumn("pk", (k * 13 + ck) % n_part)
-            .join(names.hint("merge"), "pk"))
+            .withColumn("pk", first + (k * 13 + ck) % (last - first + 1))
+            .join(names, "pk", "left"))
     return (base
             .join(F.broadcast(origin), "nk")
             .join(F.broadcast(address), "mk")
@@ -69,6 +73,10 @@ def people(orders: DataFrame, customer: DataFrame, nation: DataFrame, part: Data
                 numbered("D", ck, CUSTOMERS_PER_DISTRICT).alias("origin_district"),
                 numbered("D", ck + moved_district, CUSTOMERS_PER_DISTRICT).alias("address_district"),
                 numbered("Street ", ck, CUSTOMERS_PER_STREET).alias("street"),
+                F.col("mother").alias("mother_first"), F.col("father").alias("father_first"),
+                F.when(k % 7 == 0, F.col("address_city")).otherwise(F.col("origin_city")).alias("birth_city"),
+                F.when(k % 10 < 3, numbered("C", ck, CUSTOMERS_PER_NEIGHBORHOOD))
+                 .otherwise(numbered("N", pk, PARTS_PER_NEIGHBORHOOD)).alias("address_neighborhood"),
             ))
 
 
@@ -82,7 +90,7 @@ PEOPLE_SQL = """
 SELECT o.o_orderkey AS person_id,
        printf('%06d', o.o_orderkey) AS uid,
        split_part(p.p_name, ' ', 1) AS first_name,
-       concat(split_part(p.p_name, ' ', 2), '_', CAST(p.p_partkey // 20 AS string)) AS last_name,
+       split_part(p.p_name, ' ', 2) || '_' || CAST(pk // 20 AS string) AS last_name,
        CASE WHEN (o.o_orderkey * 31 + o.o_custkey) % 50 < 26 THEN 'M' ELSE 'F' END AS gender,
        CASE WHEN o.o_orderkey % 97 = 0 THEN NULL
             ELSE DATE '1900-01-01' + CAST((o.o_orderkey * 7919) % 33238 AS int) END AS birth_date,
@@ -90,12 +98,18 @@ SELECT o.o_orderkey AS person_id,
        m.n_name AS address_city,
        concat('D', CAST(o.o_custkey // 100 AS string)) AS origin_district,
        concat('D', CAST((o.o_custkey + CASE WHEN o.o_orderkey % 10 < 3 THEN o.o_orderkey ELSE 0 END) // 100 AS string)) AS address_district,
-       concat('Street ', CAST(o.o_custkey // 5 AS string)) AS street
-FROM orders o
+       concat('Street ', CAST(o.o_custkey // 5 AS string)) AS street,
+       lower(p.p_type) AS mother_first,
+       replace(lower(p.p_brand), '#', '_') AS father_first,
+       CASE WHEN o.o_orderkey % 7 = 0 THEN m.n_name ELSE n.n_name END AS birth_city,
+       CASE WHEN o.o_orderkey % 10 < 3 THEN concat('C', CAST(o.o_custkey // 50 AS string))
+            ELSE concat('N', CAST(pk // 100 AS string)) END AS address_neighborhood
+FROM (SELECT *, lo + (o_orderkey * 13 + o_custkey) % (hi - lo + 1) AS pk
+      FROM orders, (SELECT min(p_partkey) AS lo, max(p_partkey) AS hi FROM part)) o
 JOIN customer c ON o.o_custkey = c.c_custkey
 JOIN nation n ON c.c_nationkey = n.n_nationkey
 JOIN nation m ON m.n_nationkey = (c.c_nationkey + CASE WHEN o.o_orderkey % 10 < 2 THEN o.o_orderkey % 25 ELSE 0 END) % 25
-JOIN part p ON p.p_partkey = (o.o_orderkey * 13 + o.o_custkey) % (SELECT count(*) FROM part)
+LEFT JOIN part p ON p.p_partkey = o.pk
 """
 
 

@@ -9,6 +9,9 @@ from popstats.sources.people import load_people, people
 from popstats.sources.tables import table
 
 
+PART = "p_partkey long, p_name string, p_type string, p_brand string"
+
+
 def test_names_and_places_grow_with_the_tables(spark):
     def distinct(sf):
         return load_people(spark, sf).agg(*[F.count_distinct(c).alias(c) for c in
@@ -29,7 +32,18 @@ def test_long_keys_keep_all_their_digits(spark):
     orders = spark.createDataFrame([(1234567, 0), (1234568, 0), (5, 0)], "o_orderkey long, o_custkey long")
     customer = spark.createDataFrame([(0, 0)], "c_custkey long, c_nationkey long")
     nation = spark.createDataFrame([(i, f"N{i}") for i in range(25)], "n_nationkey long, n_name string")
-    part = spark.createDataFrame([(0, "red ring"), (1, "blue box")], "p_partkey long, p_name string")
+    part = spark.createDataFrame([(0, "red ring", "LARGE", "Brand#1"), (1, "blue box", "SMALL", "Brand#2")], PART)
     got = people(orders, customer, nation, part)
     assert rows(got, "uid") == [("000005",), ("1234567",), ("1234568",)]
     assert got.filter(F.col("birth_date") < F.lit(dt.date(1900, 1, 1))).count() == 0
+
+
+def test_part_keys_may_start_anywhere_and_have_gaps(spark):
+    orders = spark.createDataFrame([(k, 0) for k in range(100)], "o_orderkey long, o_custkey long")
+    customer = spark.createDataFrame([(0, 0)], "c_custkey long, c_nationkey long")
+    nation = spark.createDataFrame([(i, f"N{i}") for i in range(25)], "n_nationkey long, n_name string")
+    for keys, unnamed in ((range(1, 11), 0), ([1, 2, 3, 5, 6, 7, 8, 9, 10], 10)):
+        part = spark.createDataFrame([(k, "red ring", "LARGE", "Brand#1") for k in keys], PART)
+        got = people(orders, customer, nation, part)
+        assert got.count() == 100 and got.filter("last_name IS NULL").count() == unnamed
+    assert set(got.columns) >= {"mother_first", "father_first", "birth_city", "address_neighborhood"}
