@@ -1,4 +1,6 @@
-"""Multiclass classifier over categorical columns, with evaluation (H1-H3).
+"""Multiclass classifier of the built-in ML library over categorical columns, with evaluation.
+
+For labels and columns whose values grow with the data see ``label_tree``.
 
 Pipeline: reproducible key-hash split (train/valid/test) -> optional merge
 of all but the most frequent classes of the label -> ``StringIndexer`` +
@@ -226,3 +228,50 @@ def top_confident(pred: DataFrame, n: int = 10, *, probability: str = "probabili
     return (pred.select(F.col(prediction).alias("prediction"), F.col(label).alias("label"),
                         conf.alias("confidence"), *([key] if key else []))
             .orderBy(*order).limit(n).select("prediction", "label", "confidence"))
+
+
+def topk_blockwise(blocks: DataFrame, labels: DataFrame, key: str, *, ks: Sequence[int] = (1, 2, 3, 4, 5)) -> DataFrame:
+    """``topk_accuracy`` of a model with too many classes for one vector per row: ``k, accuracy, n``.
+
+    ``blocks`` (key, first_class, scores) holds any number of rows per key, each
+    the scores of consecutive classes; ``labels`` (key, label) their true class
+    numbers.  The true class's score is found first; every block then counts the
+    classes ahead of it, and only these counts are summed.  Ties go to the lower
+    class; a label without a score, or NULL, counts as a miss.
+    """
+    lab = F.col("label").cast("long")
+    own = blocks.join(labels.select(F.col(key), lab.alias("label")), key)
+    at = (F.col("label") - F.col("first_class")).cast("int")
+    score = F.when((at >= 0) & (at < F.size("scores")), F.get("scores", at))
+    truth = own.groupBy(key).agg(F.max(score).alias("_true"))
+    ahead = F.size(F.filter("scores", lambda x, i: (x > F.col("_true")) | ((x == F.col("_true")) & (F.col("first_class") + i < F.col("label")))))
+    place = own.join(truth, key).groupBy(key).agg(F.when(F.max("_true").isNotNull(), F.sum(ahead) + 1).alias("_pos"))
+    every = labels.select(key).join(place, key, "left")
+    one = every.agg(F.count(F.lit(1)).alias("n"), *[F.avg(F.coalesce(F.col("_pos") <= k, F.lit(False)).cast("double")).alias(f"_a{k}") for k in ks])
+    return one.select(F.inline(F.array(*[F.struct(F.lit(k).alias("k"), F.col(f"_a{k}").alias("accuracy")) for k in ks])), "n")
+
+
+def pattern_probabilities(df: DataFrame, features: Sequence[str], label: str, *, reg_param: float = 0.0, max_iter: int = 200,
+                          tol: float = 1e-12, class_limit: int = 10_000) -> DataFrame:
+    """``features..., label, total, probability``: the fitted probability of every label for every feature pattern.
+
+    The rows are collapsed to (pattern, label, number) and the model is fitted
+    with ``weightCol`` on those, so an iteration costs a pass over the distinct
+    patterns, not over the rows.  NULL features and labels are left out.
+    """
+    from pyspark.ml.classification import LogisticRegression
+
+    features = list(features)
+    own = df.select(*[F.col(c).cast("string").alias(c) for c in features], F.col(label).cast("string").alias(label)).na.drop()
+    counts = cut_lineage(own.groupBy(*features, label).agg(F.count(F.lit(1)).alias("total")))
+    found = counts.select(label).distinct().limit(class_limit + 1).count()
+    if found > class_limit:
+        raise ValueError(f"more than {class_limit} classes in {label!r}")
+    prep = _prep_pipeline(features, label, (), 0).fit(counts)
+    encoded = prep.transform(counts.withColumn("_weight", F.col("total").cast("double")))
+    model = LogisticRegression(featuresCol="features", labelCol="_label", weightCol="_weight", regParam=float(reg_param),
+                               maxIter=max_iter, tol=tol, standardization=False).fit(encoded)
+    from pyspark.ml.functions import vector_to_array
+
+    p = F.get(vector_to_array("probability"), F.col("_label").cast("int"))
+    return model.transform(encoded).select(*features, label, "total", p.alias("probability"))

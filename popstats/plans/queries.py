@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from popstats.functions.dates import age_years as _age_years
 from popstats.functions.dates import clean_dates as _clean_dates
-from popstats.operators import association, classify, distribution, features, ranking, sampling, trend
+from popstats.operators import association, classify, distribution, encoding, features, label_tree, logit, ranking, sampling, stored, trend
 from popstats.plans.registry import register
 from popstats.sources import dump
 from popstats.sources.people import load_people, with_people
@@ -550,6 +550,27 @@ def q_dump_lines(spark, sf_dir):
     return dump.dump_lines(_people_dump(spark, sf_dir))
 
 
+@register("dump_text_lines", with_people(_DUMP_SQL + """
+, lines AS (SELECT value, regexp_matches(value, '^[0-9]{6}') AS data, CAST(len(string_split(value, chr(9))) AS INTEGER) AS n_parts FROM dump)
+SELECT value, n_parts, CASE WHEN NOT data THEN 'no_uid' WHEN n_parts != 11 THEN 'field_count' ELSE 'parsed' END AS state, true AS from_file FROM lines
+"""))
+def q_dump_text_lines(spark, sf_dir):
+    """S1 to S4 over text files: the dump is written as lines, read as text, and every line parsed or rejected with a reason."""
+    import uuid
+
+    from popstats.session import cut_lineage, ensure_checkpoint_dir
+    from popstats.sources.files import remove
+
+    path = f"{ensure_checkpoint_dir(spark)}/dump-{uuid.uuid4().hex}"
+    dump.write_dump(_people_dump(spark, sf_dir), path, compression="gzip")
+    lines = dump.read_dump(spark, path, file_column="file")
+    state = F.when(~F.col("value").rlike(dump.UID_PATTERN), "no_uid").when(F.col("n_parts") != 11, "field_count").otherwise("parsed")
+    out = cut_lineage(lines.withColumn("n_parts", F.size(F.split("value", dump.SEPARATOR, -1)))
+                      .select("value", "n_parts", state.alias("state"), F.col("file").endswith(".gz").alias("from_file")))
+    remove(spark, path)
+    return out
+
+
 @register("dump_parse", with_people(_DUMP_SQL + "SELECT * FROM parsed"))
 def q_dump_parse(spark, sf_dir):
     """S3: dump lines split into the 10-column schema (trailer dropped)."""
@@ -653,8 +674,10 @@ def q_string_index(spark, sf_dir):
 # Classifier (H1-H3): predict the current city from the other columns
 # --------------------------------------------------------------------------
 
-CITY_FEATURES = ("first_name", "last_name", "gender", "birth_month", "birth_year", "origin_city",
-                 "origin_district", "address_district", "street")
+CITY_FEATURES = ("first_name", "last_name", "mother_first", "father_first", "gender", "birth_city", "birth_month", "birth_year",
+                 "origin_city", "origin_district", "address_district", "address_neighborhood", "street")
+GENDER_FEATURES = tuple(c for c in CITY_FEATURES if c != "gender") + ("address_city",)
+NAME_FEATURES = tuple(c for c in CITY_FEATURES if c not in ("first_name", "last_name")) + ("address_city",)
 
 
 def _model_input(spark, sf_dir):
@@ -662,59 +685,165 @@ def _model_input(spark, sf_dir):
     return p.withColumn("birth_month", F.month("birth_date")).withColumn("birth_year", F.year("birth_date"))
 
 
-# columns whose values grow with the tables: hashed to a fixed width
-WIDE = ("last_name", "origin_district", "address_district", "street")
-
-
-def _model_kwargs(spark, features):
-    """Hash the wide columns; one partition per core, as every L-BFGS iteration is a job."""
-    return {"hashed": [c for c in features if c in WIDE], "num_hash_features": 1 << 12,
-            "partitions": spark.sparkContext.defaultParallelism}
-
-
 @register("classify_eval")
 def q_classify_eval(spark, sf_dir):
-    """H1: city model; regParam chosen on validation, scored on test (F1 and accuracy)."""
-    return classify.classify_eval(_model_input(spark, sf_dir), CITY_FEATURES, "address_city", "person_id",
-                                  reg_params=(0.3, 0.01, 0.001), **_model_kwargs(spark, CITY_FEATURES))
+    """H1: city from all 13 features; regParam chosen on validation, scored on test (F1 and accuracy)."""
+    return label_tree.tree_eval(_model_input(spark, sf_dir), CITY_FEATURES, "address_city", "person_id", reg_params=(0.3, 0.01, 0.001))
 
 
 @register("classify_eval_gender")
 def q_classify_eval_gender(spark, sf_dir):
     """H2: the same operator with the gender code as label."""
-    feats = [c for c in CITY_FEATURES if c != "gender"] + ["address_city"]
-    return classify.classify_eval(_model_input(spark, sf_dir), feats, "gender", "person_id",
-                                  reg_params=(0.01,), **_model_kwargs(spark, feats))
-
-
-NAME_FEATURES = tuple(c for c in CITY_FEATURES if c not in ("first_name", "last_name")) + ("address_city",)
-
-
-def _name_input(spark, sf_dir):
-    """The label of H3 is the surname's stem: a fixed vocabulary (the full surname grows with ``part``)."""
-    return _model_input(spark, sf_dir).withColumn("surname", F.split_part("last_name", F.lit("_"), F.lit(1)))
+    return label_tree.tree_eval(_model_input(spark, sf_dir), GENDER_FEATURES, "gender", "person_id", reg_params=(0.01,))
 
 
 @register("classify_eval_name")
 def q_classify_eval_name(spark, sf_dir):
-    """H3: the same operator with the surname stem as label, every class."""
-    return classify.classify_eval(_name_input(spark, sf_dir), NAME_FEATURES, "surname", "person_id",
-                                  reg_params=(0.01,), **_model_kwargs(spark, NAME_FEATURES))
+    """H3: the same operator with the whole surname as label (as many classes as the data has)."""
+    return label_tree.tree_eval(_model_input(spark, sf_dir), NAME_FEATURES, "last_name", "person_id", reg_params=(0.001,))
 
 
 @register("classify_topk")
 def q_classify_topk(spark, sf_dir):
     """H1/H3 as asked: top-1 to top-5 accuracy of the city and the surname model on the test part."""
     out = []
-    for label, data, feats in (("address_city", _model_input(spark, sf_dir), CITY_FEATURES),
-                               ("surname", _name_input(spark, sf_dir), NAME_FEATURES)):
-        clf = classify.train_classifier(data, feats, label, "person_id", reg_params=(0.01,), evaluate_test=False,
-                                        **_model_kwargs(spark, feats))
-        out.append(classify.topk_accuracy(classify.predictions(clf, "test"), ks=(1, 2, 3, 4, 5))
-                   .select(F.lit(label).alias("label"), "k", "accuracy", "n"))
+    for label, feats in (("address_city", CITY_FEATURES), ("last_name", NAME_FEATURES)):
+        rows = label_tree.split_rows(_model_input(spark, sf_dir), feats, label, "person_id")
+        test = rows.filter(F.col("part") == "test")
+        tree = label_tree.fit_label_tree(rows.filter(F.col("part") == "train"), feats, label, "person_id", reg_params=(0.001,))
+        ranked = label_tree.predict(tree, test, "person_id", beam=5)
+        out.append(label_tree.ranked_accuracy(ranked, test, label, "person_id").select(F.lit(label).alias("label"), "k", "accuracy", "n"))
     return out[0].unionByName(out[1])
 
 
+# The parts of the pipeline that SQL can follow: vocabularies fitted on the training part, exact one-hot places, assembled
+# vectors, a stored closed-form model applied to the test part, a saturated model and a Newton fit.
+
+_ENCODED = ("gender", "birth_city", "last_name", "street", "address_neighborhood")
+_PART_SQL = f"""
+, marked AS (SELECT *, CASE WHEN d < {int(0.7 / (0.7 + 0.1 + 0.2) * (1 << 60))} THEN 'train'
+       WHEN d < {int((0.7 / (0.7 + 0.1 + 0.2) + 0.1 / (0.7 + 0.1 + 0.2)) * (1 << 60))} THEN 'valid' ELSE 'test' END AS part
+  FROM (SELECT *, {_DRAW_SQL.format(seed=100)} AS d FROM people))
+"""
+
+
+def _long_sql(columns):
+    return " UNION ALL ".join(f"SELECT person_id, part, '{c}' AS column_name, {i} AS position, CAST({c} AS VARCHAR) AS value FROM marked"
+                              for i, c in enumerate(columns))
+
+
+def _onehot_sql(columns):
+    return _PART_SQL + f"""
+, long AS ({_long_sql(columns)})
+, vocab AS (SELECT column_name, value, row_number() OVER (PARTITION BY column_name ORDER BY count(*) DESC, value) - 1 AS index
+            FROM long WHERE part = 'train' AND value IS NOT NULL GROUP BY 1, 2)
+, sizes AS (SELECT column_name, position, (SELECT count(*) FROM vocab v WHERE v.column_name = c.column_name) AS size
+            FROM (SELECT DISTINCT column_name, position FROM long) c)
+, place AS (SELECT *, CAST(coalesce(sum(size + 1) OVER (ORDER BY position ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT) AS "offset"
+            FROM sizes)
+, indexed AS (SELECT person_id, long.column_name, "offset", coalesce(index, size) AS index
+              FROM long JOIN place ON place.column_name = long.column_name
+              LEFT JOIN vocab ON vocab.column_name = long.column_name AND vocab.value = long.value)
+"""
+
+
+def _fitted_vocab(spark, sf_dir, columns):
+    rows = label_tree.split_rows(_model_input(spark, sf_dir), columns, "address_city", "person_id")
+    return rows, encoding.vocabulary(rows.filter(F.col("part") == "train"), columns)
+
+
+@register("onehot_index", with_people(_onehot_sql(_ENCODED) + "SELECT person_id, column_name, index FROM indexed"))
+def q_onehot_index(spark, sf_dir):
+    """M2: the one-hot place of every value under vocabularies fitted on the training part (unseen values share the last)."""
+    rows, vocab = _fitted_vocab(spark, sf_dir, _ENCODED)
+    return encoding.onehot_index(rows, vocab, _ENCODED, "person_id")
+
+
+@register("assemble_features", with_people(_onehot_sql(_ENCODED) + """
+SELECT person_id, string_agg(CAST("offset" + index AS VARCHAR), ',' ORDER BY "offset" + index) AS indices,
+       (SELECT CAST(sum(size + 1) AS BIGINT) FROM place) AS vector_size
+FROM indexed GROUP BY person_id
+"""))
+def q_assemble_features(spark, sf_dir):
+    """M5: every row's sparse feature vector (positions of its ones, length of the vector)."""
+    rows, vocab = _fitted_vocab(spark, sf_dir, _ENCODED)
+    place = encoding.widths(vocab, _ENCODED)
+    out = encoding.assemble(encoding.onehot_index(rows, vocab, _ENCODED, "person_id"), place, "person_id")
+    return out.select("person_id", F.array_join("indices", ",").alias("indices"), encoding.vector_size(place).alias("vector_size"))
+
+
+_STORED = ("gender", "birth_city", "origin_city", "address_neighborhood")
+
+
+@register("pipeline_transform", with_people(_PART_SQL + f"""
+, long AS (SELECT l.*, m.address_city AS class FROM ({_long_sql(_STORED)}) l JOIN marked m USING (person_id))
+, cells AS (SELECT column_name, value, class, count(*) AS n FROM long WHERE part = 'train' AND value IS NOT NULL GROUP BY 1, 2, 3)
+, places AS (SELECT column_name, count(DISTINCT value) + 1 AS places FROM cells GROUP BY 1)
+, classes AS (SELECT address_city AS class, count(*) AS rows, sum(count(*)) OVER () AS every FROM marked WHERE part = 'train' GROUP BY 1)
+, scored AS (SELECT person_id, c.class, ln(any_value(c.rows) / any_value(c.every)) + sum(ln((coalesce(n, 0) + 1.0) / (c.rows + places))) AS s
+             FROM (SELECT * FROM long WHERE part = 'test') t CROSS JOIN classes c JOIN places p ON p.column_name = t.column_name
+             LEFT JOIN cells ON cells.column_name = t.column_name AND cells.value = t.value AND cells.class = c.class
+             GROUP BY person_id, c.class)
+, normed AS (SELECT *, s - max(s) OVER w - ln(sum(exp(s - m)) OVER w) AS lp FROM (
+               SELECT *, max(s) OVER (PARTITION BY person_id) AS m FROM scored) WINDOW w AS (PARTITION BY person_id))
+SELECT person_id, class AS prediction, round(lp, 6) AS log_probability FROM (
+  SELECT *, row_number() OVER (PARTITION BY person_id ORDER BY lp DESC, class) AS k FROM normed) WHERE k = 1
+"""))
+def q_pipeline_transform(spark, sf_dir):
+    """M3: a pipeline fitted on the training part, stored, loaded again and applied to the test part."""
+    import uuid
+
+    from popstats.session import cut_lineage, ensure_checkpoint_dir
+    from popstats.sources.files import remove
+
+    rows = label_tree.split_rows(_model_input(spark, sf_dir), _STORED, "address_city", "person_id")
+    path = f"{ensure_checkpoint_dir(spark)}/pipeline-transform-{uuid.uuid4().hex}"
+    stored.save(stored.fit_counts(rows.filter(F.col("part") == "train"), _STORED, "address_city", "person_id"), path)
+    ranked = label_tree.predict(stored.load(spark, path), rows.filter(F.col("part") == "test"), "person_id", beam=1)
+    out = cut_lineage(ranked.select("person_id", "prediction", F.round("log_probability", 6).alias("log_probability")))
+    remove(spark, path)
+    return out
+
+
+@register("classify_saturated", with_people("""
+SELECT CAST(month(birth_date) AS VARCHAR) AS birth_month, gender, count(*) AS total,
+       round(count(*) / sum(count(*)) OVER (PARTITION BY month(birth_date)), 4) AS probability
+FROM people WHERE birth_date IS NOT NULL AND gender IS NOT NULL GROUP BY month(birth_date), gender
+"""))
+def q_classify_saturated(spark, sf_dir):
+    """M6: an unpenalised model on one column, fitted on distinct patterns with weights, is the column's frequencies."""
+    found = classify.pattern_probabilities(_model_input(spark, sf_dir), ["birth_month"], "gender")
+    return found.withColumn("probability", F.round("probability", 4))
+
+
+def _logit_sql(iterations):
+    step = """
+, it{i} AS (SELECT b0 + (r0 * (d * f - e * e) - b * (r1 * f - e * r2) + c * (r1 * e - d * r2)) / det AS b0,
+                   b1 + (a * (r1 * f - e * r2) - r0 * (b * f - c * e) + c * (b * r2 - r1 * c)) / det AS b1,
+                   b2 + (a * (d * r2 - r1 * e) - b * (b * r2 - r1 * c) + r0 * (b * e - c * d)) / det AS b2
+  FROM (SELECT *, a * (d * f - e * e) - b * (b * f - c * e) + c * (b * e - c * d) AS det FROM (
+    SELECT any_value(b0) AS b0, any_value(b1) AS b1, any_value(b2) AS b2, sum(w) AS a, sum(w * x1) AS b, sum(w * x2) AS c,
+           sum(w * x1 * x1) AS d, sum(w * x1 * x2) AS e, sum(w * x2 * x2) AS f, sum(r) AS r0, sum(r * x1) AS r1, sum(r * x2) AS r2
+    FROM (SELECT *, n * p * (1 - p) AS w, s - n * p AS r FROM (
+      SELECT *, 1 / (1 + exp(-(b0 + b1 * x1 + b2 * x2))) AS p FROM patterns, it{j})))))"""
+    return ("""
+, patterns AS (SELECT x1, x2, count(*) AS n, count(*) FILTER (WHERE gender = 'M') AS s FROM (
+    SELECT gender, (year(birth_date) - 1945) / 50.0::DOUBLE AS x1, CAST(origin_city != address_city AS INTEGER)::DOUBLE AS x2
+    FROM people WHERE birth_date IS NOT NULL) GROUP BY x1, x2)
+, it0 AS (SELECT 0::DOUBLE AS b0, 0::DOUBLE AS b1, 0::DOUBLE AS b2)""" + "".join(step.format(i=i + 1, j=i) for i in range(iterations)) + f"""
+SELECT unnest(['(constant)', 'birth_year', 'moved']) AS term, round(unnest([b0, b1, b2]), 6) AS coefficient FROM it{iterations}
+""")
+
+
+@register("binary_logit", with_people(_logit_sql(8)))
+def q_binary_logit(spark, sf_dir):
+    """M7: logistic regression of the gender code on the scaled birth year and on having moved, by reweighted least squares."""
+    p = _people(spark, sf_dir).select(
+        ((F.year("birth_date") - 1945) / 50.0).alias("birth_year"), (F.col("origin_city") != F.col("address_city")).cast("int").alias("moved"),
+        (F.col("gender") == "M").cast("int").alias("male"))
+    return logit.binary_logit(p, ["birth_year", "moved"], "male", iterations=8).withColumn("coefficient", F.round("coefficient", 6))
+
+
 # The evaluation operators on a probability table that SQL can build too: 7
 # classes, probabilities in 1/1000ths made from the order key, the label often the likeliest.
 
@@ -750,6 +879,20 @@ def q_topk_accuracy(spark, sf_dir):
     return classify.topk_accuracy(_scored(spark, sf_dir), ks=(1, 2, 3, 4, 5))
 
 
+@register("topk_blockwise", _SCORED_SQL + """
+, pos AS (SELECT list_count(list_filter(list_transform(p, lambda x, i: CASE WHEN x > p[l + 1] OR (x = p[l + 1] AND i - 1 < l)
+                 THEN 1 END), lambda x: x = 1)) + 1 AS pos FROM scored)
+SELECT CAST(k AS INTEGER) AS k, avg(CAST(pos <= k AS DOUBLE)) AS accuracy, count(*) AS n
+FROM pos, (SELECT unnest([1, 2, 3, 4, 5]) AS k) GROUP BY k
+""")
+def q_topk_blockwise(spark, sf_dir):
+    """M10 for many classes: the same accuracies from blocks of three classes, without a vector per row."""
+    scored = _scored(spark, sf_dir)
+    blocks = scored.select("key", F.inline(F.array(*[
+        F.struct(F.lit(i).alias("first_class"), F.slice("probability", i + 1, 3).alias("scores")) for i in range(0, _CLASSES, 3)])))
+    return classify.topk_blockwise(blocks, scored.select("key", F.col("_label").alias("label")), "key")
+
+
 @register("top_confident", _SCORED_SQL + """
 SELECT prediction, CAST(l AS DOUBLE) AS label, list_max(p) AS confidence FROM scored
 ORDER BY confidence DESC, key LIMIT 10

@@ -30,9 +30,16 @@ SEPARATOR = "\t"
 TRAILER = "<NULL>"
 
 
-def read_dump(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
-    """The dump's lines as a one-column DataFrame ``value``."""
-    return spark.read.text(path if isinstance(path, str) else list(path))
+def read_dump(spark: SparkSession, path: str | Sequence[str], *, file_column: str | None = None) -> DataFrame:
+    """The dump's lines as a DataFrame ``value``, with the file that each came from in ``file_column`` if named."""
+    lines = spark.read.text(path if isinstance(path, str) else list(path))
+    return lines if file_column is None else lines.select("value", F.col("_metadata.file_path").alias(file_column))
+
+
+def write_dump(lines: DataFrame, path: str, *, column: str = "value", compression: str | None = None) -> None:
+    """Write one text line per row under ``path`` (a line break inside a line would split it and is an error)."""
+    whole = F.when(F.col(column).rlike("[\\r\\n]"), F.raise_error(F.lit("a dump line holds a line break"))).otherwise(F.col(column))
+    lines.select(whole.cast("string").alias("value")).write.text(path, compression=compression)
 
 
 def dump_lines(lines: DataFrame, *, pattern: str = UID_PATTERN, column: str = "value") -> DataFrame:

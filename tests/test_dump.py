@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import os
 
+import pytest
 from conftest import rows
 
 from popstats.sources import dump
@@ -122,3 +123,21 @@ def test_rejects_stream_on_static_lines(spark):
 
     out = {r.value: r.reason for r in rejects_stream(_lines(spark), columns=COLS).collect()}
     assert out["123459\tx\t<NULL>"] == "field_count" and out["uid\ta\tb\tmisc"] == "no_uid"
+
+
+def test_a_dump_of_text_files_is_read_back(spark, scratch):
+    lines = spark.createDataFrame([("000001\ta\t<NULL>",), ("-- footer",), ("000002\ta",)], "value string").repartition(2)
+    for k, compression in enumerate((None, "gzip")):
+        dump.write_dump(lines, f"{scratch}/{k}", compression=compression)
+        back = dump.read_dump(spark, f"{scratch}/{k}", file_column="file")
+        assert sorted(r.value for r in back.collect()) == sorted(r.value for r in lines.collect())
+        assert all(f"/{k}/part-" in r.file for r in back.collect())
+        assert [r.uid for r in dump.dump_parse(back, columns=("uid", "x")).collect()] == ["000001"]
+        assert sorted(r.reason for r in dump.dump_rejects(back, columns=("uid", "x")).collect()) == ["field_count", "no_uid"]
+    with pytest.raises(Exception, match="line break"):
+        dump.write_dump(spark.createDataFrame([("a\nb",)], "value string"), f"{scratch}/bad")
+    from popstats.sources.files import remove
+
+    remove(spark, f"{scratch}/0")
+    remove(spark, f"{scratch}/0")
+    assert not os.path.exists(f"{scratch}/0")
