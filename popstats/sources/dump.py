@@ -51,6 +51,12 @@ def _parts(value: Column, sep: str) -> Column:
     return F.split(value, re.escape(sep), -1)
 
 
+def field_count(value: Column, sep: str = SEPARATOR) -> Column:
+    """Number of fields of a line; NULL for a NULL line."""
+    gone = F.length(value) - F.length(F.replace(value, F.lit(sep), F.lit("")))
+    return (gone / len(sep)).cast("int") + 1
+
+
 def dump_parse(lines: DataFrame, *, columns: Sequence[str] = DUMP_COLUMNS, sep: str = SEPARATOR,
                drop_last: int = 1, pattern: str | None = UID_PATTERN, column: str = "value") -> DataFrame:
     """S3: split each data line and bind the schema (all STRING, empty fields kept).
@@ -60,8 +66,9 @@ def dump_parse(lines: DataFrame, *, columns: Sequence[str] = DUMP_COLUMNS, sep:
     """
     n_fields = len(columns) + drop_last
     src = dump_lines(lines, pattern=pattern, column=column) if pattern else lines
-    parts = src.select(_parts(F.col(column), sep).alias("_p"))
-    return (parts.filter(F.size("_p") == n_fields)
+    # fields are counted by their separators, so that a line is split only once
+    parts = src.filter(field_count(F.col(column), sep) == n_fields).select(_parts(F.col(column), sep).alias("_p"))
+    return (parts
             .select(*[F.col("_p").getItem(i).alias(c) for i, c in enumerate(columns)]))
 
 
@@ -74,7 +81,7 @@ def dump_rejects(lines: DataFrame, *, columns: Sequence[str] = DUMP_COLUMNS, sep
     """
     n_fields = len(columns) + drop_last
     v = F.col(column)
-    n_parts = F.size(_parts(v, sep))
+    n_parts = field_count(v, sep)
     reason = F.when(n_parts != n_fields, F.lit("field_count"))
     if pattern:
         reason = F.when(~v.rlike(pattern), F.lit("no_uid")).otherwise(reason)
@@ -88,4 +95,5 @@ def format_dump(df: DataFrame, columns: Sequence[str], *, sep: str = SEPARATOR,
     fields = [F.coalesce(F.col(c).cast("string"), F.lit("")) for c in columns]
     if trailer is not None:
         fields.append(F.lit(trailer))
-    return df.select(F.concat_ws(sep, *fields).alias("value"))
+    # generated, so that filters on the line do not repeat the expression that makes it
+    return df.select(F.explode(F.array(F.concat_ws(sep, *fields))).alias("value"))

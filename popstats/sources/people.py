@@ -40,11 +40,19 @@ DATE_SPAN_DAYS = 33238   # birth dates fall in [1900-01-01, 1990-12-31)
 def people(orders: DataFrame, customer: DataFrame, nation: DataFrame, part: DataFrame) -> DataFrame:
     """Person records: one row per order (``person_id`` is unique)."""
     o = orders.select(F.col("o_orderkey").alias("k"), F.col("o_custkey").alias("ck"))
-    c = customer.select(F.col("c_custkey").alias("ck"), F.col("c_nationkey").alias("nk"))
+    numbered = lambda name, x, size: F.concat(F.lit(name), F.floor(x / size).cast("string"))
+    # texts that depend on a customer or a part alone are made there, once, not for every order
+    key = F.col("c_custkey")
+    c = customer.select(key.alias("ck"), F.col("c_nationkey").alias("nk"),
+                        numbered("D", key, CUSTOMERS_PER_DISTRICT).alias("origin_district"),
+                        numbered("Street ", key, CUSTOMERS_PER_STREET).alias("street"),
+                        numbered("C", key, CUSTOMERS_PER_NEIGHBORHOOD).alias("by_customer"))
     origin = nation.select(F.col("n_nationkey").alias("nk"), F.col("n_name").alias("origin_city"))
     address = nation.select(F.col("n_nationkey").alias("mk"), F.col("n_name").alias("address_city"))
-    names = part.select(F.col("p_partkey").alias("pk"), F.col("p_name").alias("name"), F.lower("p_type").alias("mother"),
-                        F.translate(F.lower("p_brand"), "#", "_").alias("father"))
+    word = lambda n: F.split_part(F.col("p_name"), F.lit(" "), F.lit(n))
+    names = part.select(F.col("p_partkey").alias("pk"), word(1).alias("first_name"),
+                        F.concat(word(2), F.lit("_"), F.floor(F.col("p_partkey") / PARTS_PER_SURNAME).cast("string")).alias("last_name"),
+                        F.lower("p_type").alias("mother_first"), F.translate(F.lower("p_brand"), "#", "_").alias("father_first"))
     first, last = part.agg(F.min("p_partkey")).scalar(), part.agg(F.max("p_partkey")).scalar()
 
     k, ck, pk = F.col("k"), F.col("ck"), F.col("pk")
@@ -52,7 +60,6 @@ def people(orders: DataFrame, customer: DataFrame, nation: DataFrame, part: Data
     moved_district = F.when(k % 10 < 3, k).otherwise(F.lit(0))
     birth = F.when(k % 97 == 0, F.lit(None).cast("date")).otherwise(
         F.date_add(F.lit(DATE_ORIGIN), ((k * 7919) % DATE_SPAN_DAYS).cast("int")))
-    numbered = lambda name, x, size: F.concat(F.lit(name), F.floor(x / size).cast("string"))
 
     base = (o.join(c, "ck")
             .withColumn("mk", (F.col("nk") + moved_city) % NATIONS)
@@ -63,20 +70,15 @@ def people(orders: DataFrame, customer: DataFrame, nation: DataFrame, part: Data
             .join(F.broadcast(address), "mk")
             .select(
                 k.alias("person_id"),
-                F.format_string("%06d", k).alias("uid"),
-                F.split_part(F.col("name"), F.lit(" "), F.lit(1)).alias("first_name"),
-                F.concat(F.split_part(F.col("name"), F.lit(" "), F.lit(2)), F.lit("_"),
-                         F.floor(pk / PARTS_PER_SURNAME).cast("string")).alias("last_name"),
+                F.when(k < 1_000_000, F.lpad(k.cast("string"), 6, "0")).otherwise(k.cast("string")).alias("uid"),
+                "first_name", "last_name",
                 F.when((k * 31 + ck) % 50 < 26, "M").otherwise("F").alias("gender"),
                 birth.alias("birth_date"),
-                "origin_city", "address_city",
-                numbered("D", ck, CUSTOMERS_PER_DISTRICT).alias("origin_district"),
+                "origin_city", "address_city", "origin_district",
                 numbered("D", ck + moved_district, CUSTOMERS_PER_DISTRICT).alias("address_district"),
-                numbered("Street ", ck, CUSTOMERS_PER_STREET).alias("street"),
-                F.col("mother").alias("mother_first"), F.col("father").alias("father_first"),
+                "street", "mother_first", "father_first",
                 F.when(k % 7 == 0, F.col("address_city")).otherwise(F.col("origin_city")).alias("birth_city"),
-                F.when(k % 10 < 3, numbered("C", ck, CUSTOMERS_PER_NEIGHBORHOOD))
-                 .otherwise(numbered("N", pk, PARTS_PER_NEIGHBORHOOD)).alias("address_neighborhood"),
+                F.when(k % 10 < 3, F.col("by_customer")).otherwise(numbered("N", pk, PARTS_PER_NEIGHBORHOOD)).alias("address_neighborhood"),
             ))
 
 
