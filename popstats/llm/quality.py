@@ -4,11 +4,14 @@ Every document gets a few measures in one pass over its whole text.  For
 each adaptive measure a mergeable quantile sketch is kept per (lang, source):
 counts over logarithmic bins, so merging is addition, the result does not
 depend on task order, and a quantile is right to ``ACCURACY`` relative error.
-The sketches of one language are merged for sources with fewer than
-``min_group`` documents.  The quartiles of a group give its fences
-(``q25 - k * iqr``, ``q75 + k * iqr``), and the fences are joined back to the
-documents.  ``FLOORS`` are the values below (above) which a measure is never
-held against a document, however uniform its group is.
+To each group's sketch ``PRIOR`` pseudo-documents are added, placed at as many
+quantiles of its language's merged sketch: a small source is judged mostly like
+its language, a large one by itself, without a size at which the rule changes.
+Languages are not mixed (scripts differ), so a rare one is judged by its own
+documents alone.  The quartiles give the group's fences (``q25 - k * spread``,
+``q75 + k * spread``), which are joined back to the documents.  The spread is
+the interquartile range, but at least the measure's ``SPREADS``: in a uniform
+group small differences are no fault.  No cutoff is fixed but the base rule's.
 
 Scale: the text is read once; what is shuffled is one counter per
 (group, measure, bin) and task, then one row per document without its text.
@@ -19,7 +22,8 @@ which AQE splits a hot source.
 Edge cases: a NULL or empty text has no words and fails the base rule; NULL
 lang or source are groups of their own; repeated rows are kept as they are;
 an empty table gives an empty result; other columns (of any name) do not
-take part and are not returned by ``measure``.
+take part and are not returned by ``measure``.  Very long texts are measured
+whole.  A document alone in its language lies inside its own fences.
 """
 
 from __future__ import annotations
@@ -33,14 +37,17 @@ from popstats.llm._spark import beside, in_arrow, materialise
 from popstats.llm._text import U64, WORD_SPACED, Texts, chain, mix, range_hash, slices
 
 ACCURACY = 0.01
-# Symbols that count, and the floors of the adaptive rules.
+# Fixed value: symbols that count.
 SYMBOLS = "#*$%&|<>"
-FLOORS = {
-    "symbols_per_word": ("high", 1.0),
-    "dup_line_share": ("high", 0.5),
-    "repeat_share": ("high", 0.3),
-    "mean_word_chars": ("both", (2.0, 25.0)),
+#: The adaptive measures: which side is held against a document, and the least spread of a group.
+SPREADS = {
+    "symbols_per_word": ("high", 0.05),
+    "dup_line_share": ("high", 0.15),
+    "repeat_share": ("high", 0.15),
+    "mean_word_chars": ("both", 0.5),
 }
+PRIOR = 32
+FENCE = 3.0
 MIN_WORDS = 50
 MAX_REPEAT_PERCENT = 50
 
@@ -174,30 +181,34 @@ def quantiles(sketch: DataFrame, keys: list[str], probs: dict[str, float], accur
         *(F.min(F.when(F.col("below") >= p * F.col("total"), value)).alias(c) for c, p in probs.items()))
 
 
-def fences(measures: DataFrame, k: float = 3.0, min_group: int = 100) -> DataFrame:
-    """(lang, source, one low and one high fence per adaptive measure).
+def with_prior(own: DataFrame, prior: int = PRIOR) -> DataFrame:
+    """The sketches of (lang, source) with ``prior`` pseudo-documents at the quantiles of their language."""
+    from pyspark.sql import Window
 
-    A (lang, source) with fewer than ``min_group`` documents uses the merged
-    sketches of its language; a language with fewer has the ``FLOORS`` as fences.
-    """
-    own = sketches(_ratios(measures), ["lang", "source"], list(FLOORS))
-    own = materialise(own)  # one pass over the measures feeds both levels
-    probs = {"q1": 0.25, "q3": 0.75}
-    small = quantiles(own, ["lang", "source"], probs)
-    large = quantiles(merge(own, ["lang"]), ["lang"], probs).select(
-        F.col("lang").alias("l"), F.col("measure").alias("m"),
-        *(F.col(c).alias("l" + c) for c in ("total", "q1", "q3")))
-    both = small.join(large, F.col("lang").eqNullSafe(F.col("l")) & (F.col("measure") == F.col("m")))
-    pick = lambda c: F.when(F.col("total") >= min_group, F.col(c)).when(F.col("ltotal") >= min_group, F.col("l" + c))
-    q = both.select("lang", "source", "measure", pick("q1").alias("q1"), pick("q3").alias("q3"))
-    iqr = F.col("q3") - F.col("q1")
+    w = Window.partitionBy("lang", "measure")
+    whole = (merge(own, ["lang"]).withColumn("below", F.sum("n").over(w.orderBy("bin")))
+             .withColumn("total", F.sum("n").over(w)))
+    at = [(i + 0.5) / prior for i in range(prior)]
+    points = whole.groupBy("lang", "measure").agg(
+        F.array(*(F.min(F.when(F.col("below") >= p * F.col("total"), F.col("bin"))) for p in at)).alias("bins"))
+    points = points.select(F.col("lang").alias("l"), F.col("measure").alias("m"), F.explode("bins").alias("bin"))
+    groups = own.select("lang", "source", "measure").distinct()
+    pseudo = (groups.join(points, F.col("lang").eqNullSafe(F.col("l")) & (F.col("measure") == F.col("m")))
+              .select("lang", "source", "measure", "bin", F.lit(1).cast("long").alias("n")))
+    return merge(own.select("lang", "source", "measure", "bin", "n").unionByName(pseudo), ["lang", "source"])
+
+
+def fences(measures: DataFrame, k: float = FENCE, prior: int = PRIOR) -> DataFrame:
+    """(lang, source, one high fence per adaptive measure, and a low one where both sides count)."""
+    # one pass over the measures feeds both levels
+    own = materialise(sketches(_ratios(measures), ["lang", "source"], list(SPREADS)))
+    q = quantiles(with_prior(own, prior), ["lang", "source"], {"q1": 0.25, "q3": 0.75})
     cols = []
-    for name, (side, floor) in FLOORS.items():
-        mine = F.col("measure") == name
-        low, high = floor if side == "both" else (None, floor)
-        cols.append(F.max(F.when(mine, F.greatest(F.col("q3") + k * iqr, F.lit(float(high))))).alias(f"{name}_high"))
-        if low is not None:
-            cols.append(F.max(F.when(mine, F.least(F.col("q1") - k * iqr, F.lit(float(low))))).alias(f"{name}_low"))
+    for name, (side, least) in SPREADS.items():
+        mine, spread = F.col("measure") == name, F.greatest(F.col("q3") - F.col("q1"), F.lit(least))
+        cols.append(F.max(F.when(mine, F.col("q3") + k * spread)).alias(f"{name}_high"))
+        if side == "both":
+            cols.append(F.max(F.when(mine, F.col("q1") - k * spread)).alias(f"{name}_low"))
     return q.groupBy("lang", "source").agg(*cols)
 
 
@@ -207,20 +218,20 @@ def judge(measures: DataFrame, limits: DataFrame, lang: str = "lang", source: st
     joined = _ratios(with_base(measures)).join(
         f, F.col(lang).eqNullSafe(F.col("_lang")) & F.col(source).eqNullSafe(F.col("_source")), "left")
     out = F.lit(False)
-    for name, (side, _) in FLOORS.items():
+    for name, (side, _) in SPREADS.items():
         out = out | F.coalesce(F.col(name) > F.col(f"{name}_high"), F.lit(False))
         if side == "both":
             out = out | F.coalesce(F.col(name) < F.col(f"{name}_low"), F.lit(False))
     return joined.withColumn("kept", ~F.col("base_failed") & ~out).drop("_lang", "_source")
 
 
-def quality_rules(docs: DataFrame, k: float = 3.0, min_group: int = 100) -> DataFrame:
+def quality_rules(docs: DataFrame, k: float = FENCE, prior: int = PRIOR) -> DataFrame:
     """Per document: its measures, ``base_failed``, ``kept`` and the fences of its group."""
     m = materialise(measure(docs, ["doc_id", "lang", "source"]), narrow=True)
-    return judge(m, fences(m, k, min_group))
+    return judge(m, fences(m, k, prior))
 
 
-def quality_filter(docs: DataFrame, k: float = 3.0, min_group: int = 100) -> DataFrame:
+def quality_filter(docs: DataFrame, k: float = FENCE, prior: int = PRIOR) -> DataFrame:
     """The rows of ``docs`` that pass, with all their columns.
 
     The fences come from a first pass; the second pass measures each row
@@ -230,7 +241,7 @@ def quality_filter(docs: DataFrame, k: float = 3.0, min_group: int = 100) -> Dat
     names = docs.columns
     safe = [f"_c{i}" for i in range(len(names))]  # an input column may have the name of a measure
     at = {n: safe[names.index(n)] for n in ("text", "lang", "source")}
-    limits = materialise(fences(materialise(measure(docs, ["lang", "source"]), narrow=True), k, min_group))
+    limits = materialise(fences(materialise(measure(docs, ["lang", "source"]), narrow=True), k, prior))
     rows = measure(docs.toDF(*safe), safe, at["text"])
     kept = judge(rows, beside(limits), at["lang"], at["source"]).filter("kept")
     return kept.select(*(F.col(s).alias(n) for s, n in zip(safe, names)))

@@ -172,17 +172,16 @@ SELECT doc_id, size, source_size, target, CAST(copies * size AS BIGINT) AS taken
 def _op9_sql() -> str:
     import math
 
-    from popstats.llm.quality import ACCURACY, FLOORS
+    from popstats.llm.quality import ACCURACY, FENCE, PRIOR, SPREADS
 
     gamma = (1 + ACCURACY) / (1 - ACCURACY)
     number = lambda x: f"{float(x)!r}::DOUBLE"
-    high = {m: number(f[1] if side == "both" else f) for m, (side, f) in FLOORS.items()}
-    low = {m: number(f[0]) for m, (side, f) in FLOORS.items() if side == "both"}
-    fences = ", ".join(
-        [f"max(CASE WHEN measure = '{m}' THEN greatest(q3 + 3::DOUBLE * (q3 - q1), {x}) END) AS {m}_high" for m, x in high.items()]
-        + [f"max(CASE WHEN measure = '{m}' THEN least(q1 - 3::DOUBLE * (q3 - q1), {x}) END) AS {m}_low" for m, x in low.items()])
+    high, low = list(SPREADS), [m for m, (side, _) in SPREADS.items() if side == "both"]
+    spread = {m: f"{number(FENCE)} * greatest(q3 - q1, {number(x)})" for m, (_, x) in SPREADS.items()}
+    fences = ", ".join([f"max(CASE WHEN measure = '{m}' THEN q3 + {spread[m]} END) AS {m}_high" for m in high]
+                       + [f"max(CASE WHEN measure = '{m}' THEN q1 - {spread[m]} END) AS {m}_low" for m in low])
     rejects = " OR ".join([f"coalesce({m} > {m}_high, false)" for m in high] + [f"coalesce({m} < {m}_low, false)" for m in low])
-    long = " UNION ALL ".join(f"SELECT lang, source, '{m}' AS measure, {m} AS v FROM ratios" for m in FLOORS)
+    long = " UNION ALL ".join(f"SELECT lang, source, '{m}' AS measure, {m} AS v FROM ratios" for m in SPREADS)
     return rf"""
 WITH d AS (SELECT doc_id, lang, source, coalesce(text, '') AS t,
                   regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents)
@@ -206,17 +205,19 @@ WITH d AS (SELECT doc_id, lang, source, coalesce(text, '') AS t,
 , long AS ({long})
 , own AS (SELECT lang, source, measure, CASE WHEN v * 1e6 <= 1 THEN 0 ELSE ceil(ln(v * 1e6) / {number(math.log(gamma))}) END AS bin,
                  count(*) AS n FROM long GROUP BY ALL)
-, levels AS (SELECT 'own' AS level, lang, source, measure, bin, n FROM own
-             UNION ALL SELECT 'lang', lang, NULL, measure, bin, sum(n) FROM own GROUP BY lang, measure, bin)
-, run AS (SELECT *, sum(n) OVER (PARTITION BY level, lang, source, measure ORDER BY bin) AS below,
-                 sum(n) OVER (PARTITION BY level, lang, source, measure) AS total,
-                 CASE WHEN bin = 0 THEN 0::DOUBLE ELSE 2e-6::DOUBLE * pow({number(gamma)}, bin) / ({number(gamma)} + 1::DOUBLE) END AS v FROM levels)
-, q AS (SELECT level, lang, source, measure, max(total) AS total, min(v) FILTER (WHERE below >= 0.25::DOUBLE * total) AS q1,
-               min(v) FILTER (WHERE below >= 0.75::DOUBLE * total) AS q3 FROM run GROUP BY 1, 2, 3, 4)
-, chosen AS (SELECT a.lang, a.source, a.measure, CASE WHEN a.total >= 100 THEN a.q1 WHEN b.total >= 100 THEN b.q1 END AS q1,
-                    CASE WHEN a.total >= 100 THEN a.q3 WHEN b.total >= 100 THEN b.q3 END AS q3
-             FROM q a JOIN q b ON b.level = 'lang' AND a.lang IS NOT DISTINCT FROM b.lang AND a.measure = b.measure
-             WHERE a.level = 'own')
+, whole AS (SELECT lang, measure, bin, sum(sum(n)) OVER (PARTITION BY lang, measure ORDER BY bin) AS below,
+                  sum(sum(n)) OVER (PARTITION BY lang, measure) AS total FROM own GROUP BY lang, measure, bin)
+, points AS (SELECT lang, measure, p, min(bin) AS bin FROM whole, (SELECT (unnest(range({PRIOR})) + 0.5::DOUBLE) / {PRIOR} AS p)
+             WHERE below >= p * total GROUP BY lang, measure, p)
+, mixed AS (SELECT lang, source, measure, bin, sum(n) AS n FROM (
+              SELECT lang, source, measure, bin, n FROM own
+              UNION ALL SELECT g.lang, g.source, g.measure, p.bin, 1 FROM (SELECT DISTINCT lang, source, measure FROM own) g
+                JOIN points p ON g.lang IS NOT DISTINCT FROM p.lang AND g.measure = p.measure) GROUP BY ALL)
+, run AS (SELECT *, sum(n) OVER (PARTITION BY lang, source, measure ORDER BY bin) AS below,
+                 sum(n) OVER (PARTITION BY lang, source, measure) AS total,
+                 CASE WHEN bin = 0 THEN 0::DOUBLE ELSE 2e-6::DOUBLE * pow({number(gamma)}, bin) / ({number(gamma)} + 1::DOUBLE) END AS v FROM mixed)
+, chosen AS (SELECT lang, source, measure, min(v) FILTER (WHERE below >= 0.25::DOUBLE * total) AS q1,
+                    min(v) FILTER (WHERE below >= 0.75::DOUBLE * total) AS q3 FROM run GROUP BY lang, source, measure)
 , fence AS (SELECT lang, source, {fences} FROM chosen GROUP BY lang, source)
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
        NOT base_failed AND NOT ({rejects}) AS kept,

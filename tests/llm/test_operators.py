@@ -432,19 +432,50 @@ def test_codewords_keep_their_distance():
 
 
 def test_quality(docs, rows, empty):
-    got = quality.quality_rules(docs, min_group=5).collect()
+    got = quality.quality_rules(docs, prior=5).collect()
     names = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed"]
     assert bag((r.doc_id, *(r[c] for c in names)) for r in got) == bag(
         (r[0], *(brute.measures(r[1])[c] for c in names)) for r in rows)
     assert not any(r.kept and r.base_failed for r in got)
-    kept = quality.quality_filter(docs, min_group=5)
+    kept = quality.quality_filter(docs, prior=5)
     assert kept.columns == docs.columns
     assert bag(r.doc_id for r in kept.collect()) == bag(r.doc_id for r in got if r.kept)
     assert quality.quality_rules(empty).collect() == [] and quality.quality_filter(empty).collect() == []
 
 
+def _prose(rng, chars=5, n=80):
+    return " ".join("".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(rng.randint(chars - 2, chars + 2))) for _ in range(n))
+
+
+def test_outliers_of_a_uniform_group_go(spark):
+    rng = random.Random(1)
+    rows = [(i, _prose(rng), "en", "s") for i in range(200)]
+    rows += [(900, " ".join(w + "#" if k % 5 == 0 else w for k, w in enumerate(_prose(rng).split())), "en", "s"),   # 0.2 symbols a word
+             (901, _prose(rng, 15), "en", "s")]                                                                    # long words
+    got = {r.doc_id: r.kept for r in quality.quality_rules(spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")).collect()}
+    assert not got[900] and not got[901] and all(got[i] for i in range(200))
+
+
+def test_rare_languages_and_sources_are_judged_by_their_own(spark):
+    rng = random.Random(2)
+    rows = [(i, _prose(rng), "en", "big") for i in range(300)]
+    rows += [(1000 + i, _prose(rng, 30), "th", "big") for i in range(20)]                                 # 30 characters a word
+    rows += [(2000 + i, _prose(rng).replace(" ", "# ").replace("a", "$"), "code", f"s{i % 3}") for i in range(12)]   # over a symbol a word
+    rows += [(3000, _prose(rng, 30), None, None), (3001, _prose(rng), "en", "one"), (3002, _prose(rng, 30), "en", "two")]
+    got = {r.doc_id: r.kept for r in quality.quality_rules(spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")).collect()}
+    assert [i for i, kept in got.items() if not kept] == [3002]  # alone in its source, but unlike its language
+
+
+def test_verdicts_are_not_those_of_the_old_cutoffs(spark):
+    from conftest import SF_ORACLE
+
+    got = quality.quality_rules(spark.read.parquet(f"{SF_ORACLE}/documents.parquet"))
+    cutoffs = "symbols_per_word > 1.0 OR dup_line_share > 0.5 OR repeat_share > 0.3 OR mean_word_chars > 25 OR mean_word_chars < 2"
+    assert got.filter(f"kept != (NOT base_failed AND NOT ({cutoffs}))").count() > 10
+
+
 def test_quality_adapts_to_its_group(spark):
-    """A measure that is common in one group is junk in another; floors keep uniform groups whole."""
+    """A measure that is common in one group is junk in another; the least spread keeps uniform groups whole."""
     rng = random.Random(3)
     text = lambda marks: " ".join("w%d%s" % (rng.randint(0, 10**6), "###" if rng.random() < marks else "") for _ in range(80))
     data = [(i, text(0.0), "en", "plain") for i in range(150)] + [(200 + i, text(rng.uniform(0.5, 0.9)), "en", "code") for i in range(150)]
