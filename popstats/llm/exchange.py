@@ -76,33 +76,45 @@ class Shard:
         return pa.array(self.ids, pa.int64(), mask=self.null.astype(bool))
 
 
-def pack(docs: DataFrame, shard_bytes: int = SLICE_BYTES) -> DataFrame:
-    """(shard, block): whole documents (doc_id as long, text), at most about ``shard_bytes`` of text a shard."""
+def pack(docs: DataFrame, shard_bytes: int = SLICE_BYTES, apart: Callable | None = None) -> DataFrame:
+    """(shard, block): whole documents (doc_id as long, text), at most about ``shard_bytes`` of text a shard.
+
+    ``apart(ids, null)`` tells which documents go into shards of their own; those shards have odd numbers.
+    """
 
     def run(batches):
         base, count = TaskContext.get().partitionId() << 32, 0
-        held, size = [], 0
+        kinds = {0: ([], 0), 1: ([], 0)}
 
-        def flush():
-            nonlocal held, size, count
-            table = pa.Table.from_batches(held).combine_chunks()
+        def flush(kind):
+            nonlocal count
+            table = pa.Table.from_batches(kinds[kind][0]).combine_chunks()
             t = Texts(table.column("text"))
             ids = table.column("doc_id").combine_chunks()
             null = np.asarray(ids.is_null().to_numpy(zero_copy_only=False), np.uint8)
             block = dump(ids.fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64), null, t.off, t.raw, level=3)
             count += 1
-            held, size = [], 0
-            return pa.RecordBatch.from_arrays([pa.array([base + count]), pa.array([block], pa.binary())], ["shard", "block"])
+            kinds[kind] = ([], 0)
+            return pa.RecordBatch.from_arrays([pa.array([base + 2 * count + kind]), pa.array([block], pa.binary())], ["shard", "block"])
 
         for batch in batches:
-            for part in slices(batch, "text", shard_bytes):
-                n = int(Texts(part.column("text")).off[-1])
-                if held and size + n > shard_bytes:
-                    yield flush()
-                held.append(part)
-                size += n
-        if held:
-            yield flush()
+            for both in slices(batch, "text", shard_bytes):
+                ids = both.column("doc_id")
+                own = np.zeros(both.num_rows, bool)
+                if apart is not None:
+                    own = apart(ids.fill_null(0).to_numpy(zero_copy_only=False), np.asarray(ids.is_null().to_numpy(zero_copy_only=False)))
+                for kind, rows in ((0, ~own), (1, own)):
+                    if not rows.any():
+                        continue
+                    part = both if rows.all() else both.filter(pa.array(rows))
+                    n = int(Texts(part.column("text")).off[-1])
+                    if kinds[kind][0] and kinds[kind][1] + n > shard_bytes:
+                        yield flush(kind)
+                    kinds[kind][0].append(part)
+                    kinds[kind] = (kinds[kind][0], kinds[kind][1] + n)
+        for kind in kinds:
+            if kinds[kind][0]:
+                yield flush(kind)
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     return materialise(in_arrow(rows, run, "shard long, block binary"))

@@ -7,9 +7,10 @@ frequency (powers of two) are learned by expectation-maximisation on a
 held-out part of the training documents (fold ``EM_FOLD``), with the counts of
 the other part; the scores then use the counts of all training documents.
 
-N-gram counts of all documents are exact (up to 64-bit fingerprints): every
+N-gram counts of all documents are exact (up to 56-bit fingerprints): every
 shard sends its distinct n-grams with their counts and gets the corpus counts
-back (``exchange``).  What EM needs is a histogram over (bucket, and the
+back (``exchange``).  The documents that EM is learned on stand in shards of
+their own, so that learning moves only those.  What EM needs is a histogram over (bucket, and the
 estimates of every order in eighths of an octave), summed in Spark; its size
 depends on the number of cells, not on the corpus, and only it and the
 weights pass through the driver.
@@ -42,13 +43,18 @@ FEW = 200                 # buckets with fewer held-out tokens use the weights o
 FLOOR = 1e-4              # least weight of the uniform estimate
 _START, _END = U64(0x5851F42D4C957F2D), U64(0x14057B7EF767814F)
 _BINS_PER_OCTAVE = 8
+_KEY = ~U64(0xFF)         # the bits of a fingerprint that are sent
 
 
-def _fold(shard: Shard, parts: int) -> np.ndarray:
-    names = [b"" if null else str(i).encode() for i, null in zip(shard.ids.tolist(), shard.null.tolist())]
+def _folds(ids: np.ndarray, null: np.ndarray, parts: int) -> np.ndarray:
+    names = [b"" if no else str(i).encode() for i, no in zip(ids.tolist(), null.tolist())]
     return np.array([zlib.crc32(x) % parts for x in names], np.int64)
 
 
+def _fold(shard: Shard, parts: int) -> np.ndarray:
+    return _folds(shard.ids, shard.null, parts)
+
+
 class Tokens:
     """Tokens of a shard in order, and the n-gram key that ends at each of them, per order."""
 
@@ -64,14 +70,14 @@ class Tokens:
         token[np.arange(starts.size) + doc] = h
         self.first = np.cumsum(n) - n
         place = np.arange(token.size) - np.repeat(self.first, n)       # position in the document
-        self.keys = [chain(np.full(token.size, 1, U64), token)]
+        self.keys = [chain(np.full(token.size, 1, U64), token) & _KEY]
         before = [token]
         for k in range(2, order + 1):
             prev = np.empty_like(token)
             prev[k - 1:] = token[:token.size - k + 1]
             prev[place < k - 1] = _START
             before.insert(0, prev)
-            self.keys.append(chain(np.full(token.size, k, U64), *before))
+            self.keys.append(chain(np.full(token.size, k, U64), *before) & _KEY)
         self.place = place
 
 
@@ -157,7 +163,7 @@ _SCORES = ("doc_id long, held_out boolean, n_tokens long, n_known long, train_to
 def score(docs: DataFrame, order: int = 2, parts: int = 5, held_out: int = 1) -> DataFrame:
     """Per document: doc_id, held_out, n_tokens, n_known, train_tokens, base_score and the model's log10 probability."""
     spark = docs.sparkSession
-    shards = pack(docs)
+    shards = pack(docs, apart=lambda ids, null: _folds(ids, null, parts) == EM_FOLD)
     log2 = ranges_for(shards)
 
     def emit(shard: Shard):
@@ -190,7 +196,8 @@ def score(docs: DataFrame, order: int = 2, parts: int = 5, held_out: int = 1) ->
                          **{b: pa.array(cells[:, k + 1], pa.int64()) for k, b in enumerate(bin_names)},
                          "n": pa.array(n, pa.int64())})
 
-    cells = read(shards, answers, held_out_cells, ", ".join(f"{x} long" for x in ["bucket", *bin_names, "n"]))
+    learn = [x.filter("shard % 2 = 1") for x in (shards, answers)]
+    cells = read(*learn, held_out_cells, ", ".join(f"{x} long" for x in ["bucket", *bin_names, "n"]))
     histogram = [tuple(r) for r in cells.groupBy("bucket", *bin_names).agg(F.sum("n").alias("n")).collect()]
     weights = learn_weights(sorted(histogram), order, uniform)
     release(spark)
