@@ -27,7 +27,9 @@ shards (``exchange``):
 Copies of any number are one dictionary phrase per shard, so the work beyond
 the parse follows the size of the dictionary of the places where texts part.
 
-Between shards equal strings are recognised by 64-bit fingerprints and, in a
+Between shards equal strings are recognised by 56-bit fingerprints, phrases at
+one trigger by 48 bits more than the trigger's own 48 (triggers that collide
+only count as having several phrases), and, in a
 shard, suffixes are sorted by them (not letter by letter: only equality at
 ``length`` bytes matters).
 
@@ -56,6 +58,7 @@ WIDTH = 19
 _LAST = np.int64(2**63 - 1)
 PARSE, DICTIONARY = 1, 2
 SHARD_BYTES = 1 << 20
+_SHORT, _LONG = ~U64(0xFFFF), ~U64(0xFF)  # the bits of fingerprints that are sent
 SHARDS_PER_RANGE = 4
 
 
@@ -101,8 +104,8 @@ class Parse:
         self.last = valid[np.append(edge[1:], at.size) - 1]
         where = at[edge]
         self.doc = t.text_of(self.first)
-        self.trigger = mix(windows[where] + U64(0x9E3779B97F4A7C15))  # triggers are small hashes: spread them evenly
-        self.phrase = mix(range_hash(self.prefix, self.first, self.last + length) + (where - self.first).astype(U64)) | U64(1)
+        self.trigger = mix(windows[where] + U64(0x9E3779B97F4A7C15)) & _SHORT  # triggers are small hashes: spread them evenly
+        self.phrase = mix(range_hash(self.prefix, self.first, self.last + length) + (where - self.first).astype(U64)) & _SHORT | U64(1 << 16)
 
 
 def _ids(shard: Shard) -> np.ndarray:
@@ -142,8 +145,8 @@ class Suffixes:
         self.begin = np.cumsum(n) - n                              # place of a phrase's first suffix
         owner = np.repeat(np.arange(n.size), n)
         s = np.arange(owner.size) - np.repeat(self.begin, n) + p.first[one][owner]
-        order, start, self.run = groups(range_hash(p.prefix, s, s + length))
-        self.keys = range_hash(p.prefix, s[order[start]], s[order[start]] + length) if start.size else np.zeros(0, U64)
+        order, start, self.run = groups(range_hash(p.prefix, s, s + length) & _LONG)
+        self.keys = range_hash(p.prefix, s[order[start]], s[order[start]] + length) & _LONG if start.size else np.zeros(0, U64)
         self.least = np.minimum.reduceat(least[owner][order], start) if start.size else np.zeros(0, np.int64)
 
 
