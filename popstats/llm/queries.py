@@ -80,9 +80,9 @@ def op4_virtual_slot_sharding(spark, sf_dir):
 
 @register
 def op6_pareto_mixing(spark, sf_dir):
-    from popstats.llm.mixing import mix_plan
+    from popstats.llm.mixing import length_weight, mix_plan
 
-    return mix_plan(load(spark, sf_dir, "documents")).select(
+    return mix_plan(load(spark, sf_dir, "documents"), relative=length_weight).select(
         "doc_id", "size", "source_size", "target", "taken", "source", "copies")
 
 
@@ -149,7 +149,8 @@ FROM b LEFT JOIN runs ON runs.doc_id = b.doc_id LEFT JOIN kept ON kept.doc_id =
 ORACLES["op6_pareto_mixing"] = r"""
 WITH d AS (SELECT doc_id, source, CAST(len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS BIGINT) AS size,
                   (CAST('0x' || substr(md5(concat(coalesce(CAST(doc_id AS VARCHAR), text, ''), ':7')), 1, 13) AS BIGINT) + 0.5::DOUBLE)
-                    / 4503599627370496::DOUBLE AS u FROM documents)
+                    / 4503599627370496::DOUBLE AS u,
+                  CASE WHEN size < 100 THEN 1 WHEN size < 400 THEN 2 WHEN size < 1600 THEN 3 ELSE 4 END::DOUBLE AS w FROM documents)
 , s AS (SELECT source, CAST(sum(size) AS BIGINT) AS source_size FROM d GROUP BY source)
 , w AS (SELECT *, [3::DOUBLE, 1::DOUBLE, 2::DOUBLE][(row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1] AS weight FROM s)
 , c AS (SELECT *, 2::DOUBLE * source_size AS cap, 2::DOUBLE * source_size / weight AS full_at FROM w)
@@ -161,9 +162,15 @@ WITH d AS (SELECT doc_id, source, CAST(len(regexp_extract_all(coalesce(text, '')
 , r AS (SELECT *, CASE WHEN source_size > 0 THEN target / source_size ELSE 0 END AS ratio FROM t)
 , p AS (SELECT *, CAST(floor(ratio + 1e-12::DOUBLE) AS INTEGER) AS certain,
                greatest(ratio - floor(ratio + 1e-12::DOUBLE), 0::DOUBLE) AS p FROM r)
-, k AS (SELECT d.doc_id, d.source, d.size, p.source_size, p.target, p.certain, p.p * p.source_size AS rest,
-               sum(d.size) OVER (PARTITION BY d.source ORDER BY d.u, d.doc_id ROWS UNBOUNDED PRECEDING) AS run
-        FROM d JOIN p ON d.source IS NOT DISTINCT FROM p.source)
+, g AS (SELECT d.source, w, any_value(p * source_size) AS rest, sum(size)::DOUBLE AS s FROM d JOIN p ON d.source IS NOT DISTINCT FROM p.source
+        GROUP BY d.source, w)
+, h AS (SELECT source, w, (rest - (sum(s) OVER o - s)) / nullif(sum(w * s) OVER e - (sum(w * s) OVER o - w * s), 0) AS c
+        FROM g WINDOW o AS (PARTITION BY source ORDER BY w DESC), e AS (PARTITION BY source))
+, f AS (SELECT source, coalesce(max(c) FILTER (WHERE c * w < 1), 0) AS c FROM h GROUP BY source)
+, q AS (SELECT d.*, p.source_size, p.target, p.certain, p.p * p.source_size AS rest,
+               least(greatest(c * w, 1e-12::DOUBLE), 1 - 1e-12::DOUBLE) AS odds_p
+        FROM d JOIN p ON d.source IS NOT DISTINCT FROM p.source JOIN f ON d.source IS NOT DISTINCT FROM f.source)
+, k AS (SELECT *, sum(size) OVER (PARTITION BY source ORDER BY (u / (1 - u)) / (odds_p / (1 - odds_p)), doc_id ROWS UNBOUNDED PRECEDING) AS run FROM q)
 , x AS (SELECT *, certain + CASE WHEN rest > 0 AND run - size / 2::DOUBLE <= rest THEN 1 ELSE 0 END AS copies FROM k)
 SELECT doc_id, size, source_size, target, CAST(copies * size AS BIGINT) AS taken, source, copies FROM x
 """
@@ -251,13 +258,14 @@ WITH RECURSIVE m AS (
   UNION ALL SELECT conv, turn, rid, 0, 0, body, false FROM msg WHERE turn IS NOT NULL AND body IS NOT NULL
             AND conv IN (SELECT conv FROM m WHERE q))
 , pieces AS (
-  SELECT DISTINCT conv, turn, rid, run, level, quoting, trim(regexp_replace(lower(unnest(
-           [passage] || regexp_split_to_array(passage, '\n[ \t]*\n') || string_split(passage, chr(10)))), '[^\p{L}\p{N}]+', ' ', 'g')) AS piece
-  FROM passages)
-, origin AS (SELECT conv, piece, min(turn) AS origin FROM pieces WHERE NOT quoting AND length(piece) >= 12 GROUP BY conv, piece)
+  SELECT DISTINCT conv, turn, rid, run, level, quoting, piece FROM (
+    SELECT *, trim(regexp_replace(lower(x), '[^\p{L}\p{N}]+', ' ', 'g')) AS piece FROM (
+      SELECT *, unnest([passage] || regexp_split_to_array(passage, '\n[ \t]*\n')) AS x, 1 AS least FROM passages
+      UNION ALL SELECT *, unnest(string_split(passage, chr(10))) AS x, 12 AS least FROM passages)) WHERE length(piece) >= least)
+, origin AS (SELECT conv, piece, min(turn) AS origin FROM pieces WHERE NOT quoting GROUP BY conv, piece)
 , hits AS (SELECT p.conv, p.turn, p.run, p.level, length(p.piece) AS chars, o.origin
            FROM pieces p JOIN origin o ON o.conv = p.conv AND o.piece = p.piece
-           WHERE quoting AND length(p.piece) >= 12 AND o.origin < p.turn)
+           WHERE quoting AND o.origin < p.turn)
 , links AS (SELECT conv, turn, count(DISTINCT run) AS n_linked FROM hits GROUP BY conv, turn)
 , chosen AS (SELECT conv, turn, origin AS reply_to FROM (
                SELECT *, row_number() OVER (PARTITION BY conv, turn ORDER BY level, chars DESC, origin DESC) AS k FROM hits) WHERE k = 1)

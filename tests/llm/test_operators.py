@@ -332,6 +332,25 @@ def test_mixing_relative_weights(spark):
     assert odd > 3 * even and odd + even == 800 and sum(one.values()) == 1600
 
 
+def test_inclusion_follows_the_weights(spark):
+    """c solves sum of min(1, c w) x words = rest; heavy documents become certain, the others keep their odds."""
+    data = [(i, " ".join(["w"] * n), "s") for i, n in enumerate([50] * 3000 + [200] * 600 + [2000] * 20)]
+    docs = spark.createDataFrame(data, "doc_id long, text string, source string").repartition(3)
+    plan = mixing.mix_plan(docs, weights=(1.0,), share=0.7, relative=mixing.length_weight).collect()
+    words_ = {50: 150_000, 200: 120_000, 2000: 40_000}
+    rest, weight = 0.7 * 310_000, {50: 1, 200: 2, 2000: 4}
+    low, high = 0.0, 1.0
+    for _ in range(60):
+        c = (low + high) / 2
+        low, high = (c, high) if sum(min(1, c * weight[n]) * words_[n] for n in words_) < rest else (low, c)
+    taken = collections.Counter()
+    for r in plan:
+        taken[r["size"]] += r.taken
+    assert abs(sum(taken.values()) - rest) <= 1000
+    for n in words_:
+        assert abs(taken[n] / words_[n] - min(1, c * weight[n])) < 0.05, (n, taken[n] / words_[n], c)
+
+
 def test_lm(docs, rows, empty):
     check_lm(lm.score(docs).collect(), rows)
     assert lm.score(empty).collect() == []
@@ -499,6 +518,19 @@ def test_quantile_sketches_merge(spark):
         assert abs(whole[name] - exact) <= 0.011 * exact + 1e-6
 
 
+def _check_quotes_sql(data, rows):
+    """The registered SQL on the same messages."""
+    import duckdb
+    from popstats.llm.queries import ORACLES
+
+    con = duckdb.connect()
+    con.execute("CREATE TABLE conversations (conv_id BIGINT, turn BIGINT, role VARCHAR, text VARCHAR)")
+    con.executemany("INSERT INTO conversations VALUES (?, ?, ?, ?)", [d[:4] for d in data])
+    rel = con.sql(ORACLES["op5_quotation_linking"])
+    sql = bag(tuple(dict(zip(rel.columns, r)).items()) for r in rel.fetchall())
+    assert sql == bag(tuple((c, ".".join(map(str, r.reply_path)) if c == "reply_path" else r[c]) for c in rel.columns) for r in rows)
+
+
 def test_chat(spark):
     text = {0: "Hello there my good friends.\n\nI wonder about many things today.",
             1: "On Monday A wrote:\n> Hello there my good friends.\n>\n> I wonder about many things today.\n\nMe too, and I have questions.",
@@ -520,17 +552,7 @@ def test_chat(spark):
     assert one[0].body == text[0] and got[2, 0][0].body is None and got[2, 1][0].body == ""
     assert got[None, 1][0].reply_to == 0 and got[3, None][0].reply_path == [] and got[4, 0][0].reply_to is None
     assert sorted(r.body for r in got[1, 2]) == ["Ask them all, please do it.", "same turn again"]
-    import duckdb
-    from popstats.llm.queries import ORACLES
-
-    con = duckdb.connect()
-    con.execute("CREATE TABLE conversations (conv_id BIGINT, turn BIGINT, role VARCHAR, text VARCHAR)")
-    con.executemany("INSERT INTO conversations VALUES (?, ?, ?, ?)", [d[:4] for d in data])
-    rel = con.sql(ORACLES["op5_quotation_linking"])
-    sql = bag(tuple(dict(zip(rel.columns, r)).items()) for r in rel.fetchall())
-    ours = bag(tuple((c, ".".join(map(str, r.reply_path)) if c == "reply_path" else r[c]) for c in rel.columns)
-               for rs in got.values() for r in rs)
-    assert ours == sql
+    _check_quotes_sql(data, [r for rs in got.values() for r in rs])
     order = [tuple(r.reply_path) for r in chat.reply_ordered(frame).collect() if r.conv_id == 1]
     assert order == sorted(order)
     assert chat.link_quotes(frame.limit(0)).collect() == []
@@ -544,6 +566,7 @@ def test_chat_links_short_messages(spark):
     data = [(1, k, "r", v) for k, v in text.items()] + [(2, 0, "r", "> Thanks!\nof another conversation")]
     got = {(r.conv_id, r.turn): r for r in chat.link_quotes(
         spark.createDataFrame(data, "conv_id long, turn long, role string, text string")).collect()}
+    _check_quotes_sql(data, got.values())
     assert {k: got[1, k].reply_to for k in text} == {0: None, 1: None, 2: 1, 3: 2, 4: 3, 5: 4, 6: None, 7: None, 8: None, 9: None}
     assert got[1, 5].reply_path == [1, 2, 3, 4, 5] and got[1, 2].body == "Thanks!" and got[2, 0].reply_to is None
 
