@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from popstats.llm._spark import load, release, shared_dir
 from popstats.llm.decontam import decontaminate
-from popstats.llm.mixing import mix
+from popstats.llm.mixing import length_weight, mix
 from popstats.llm.quality import quality_filter
 from popstats.llm.sharding import with_shard
 from popstats.llm.simhash import drop_near_duplicates
@@ -30,8 +30,8 @@ def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Operator 6: every document as often (0, 1 or 2 times) as the mix takes it."""
-    return mix(docs)
+    """Operator 6: every document as often (0, 1 or 2 times) as the mix takes it; longer ones are likelier to stay."""
+    return mix(docs, relative=length_weight)
 
 
 def shard(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
