@@ -2,24 +2,28 @@
 
 Every language gets a codeword of bits; bit b is predicted by a binary
 n-gram classifier (log-odds of the n-grams of the languages whose codeword
-has a 1 against the others, each language weighing the same).  A text's
-margins are decoded by loss: the codeword with the least summed logistic
-loss wins, the share it takes of exp(-loss) over all codewords is the score,
+has a 1 against the others, each language weighing the same).  Decoding is
+loss-weighted: a codeword's loss is the weighted sum of its bits' logistic
+losses, where a bit weighs, for each language, as much as its classifier was
+right on that language's training texts.  The codeword with the least loss
+wins, the share it takes of exp(-loss) over all codewords is the score,
 and a text whose two nearest codewords are closer than ``AMBIGUOUS`` (or that
 disagrees with its codeword in half of the minimum distance) is flagged.
 
-Learning is one pass over all labelled training texts: n-gram counts per
-language are partial sums (one row per task, language and n-gram bucket).
+Learning is two passes over all labelled training texts: n-gram counts per
+language, then per language and bit how many texts its classifier gets right.
+Both are partial sums (one row per task and language and bucket or bit).
 The languages x ``BUCKETS`` count table comes to the driver (256 KB a
 language) and the weights (``BUCKETS`` x bits) are broadcast; neither grows
-with the documents.
+with the documents.  More than ``MAX_LANGUAGES`` labels are an error.
 
 Edge cases: a NULL text or one without a letter is ``und`` with score 0; with
 no labelled training text every prediction is ``und``; with one language all
 others are that language with score 1; rows without a label are predicted
 and not learned from; a NULL doc_id counts as the empty string for the fold;
-empty tables and repeated or very long texts need no special care; the label
-and source columns never enter a prediction.
+empty tables and repeated or very long texts need no special care; of equal
+losses the language that sorts first wins; the label and source columns, and
+others of any name, never enter a prediction.
 """
 
 from __future__ import annotations
@@ -39,6 +43,7 @@ ORDERS = (2, 3, 4)
 SMOOTHING = 0.5
 EVIDENCE = 20.0        # n-grams that count as independent evidence, at most
 AMBIGUOUS = 0.2        # score distance of the two nearest codewords below which a text is flagged
+MAX_LANGUAGES = 500
 _STEP = 1 << 20
 
 _LETTER = LOWER.copy()  # letters (and bytes of non-ASCII characters) stay, lower-cased; all else is one separator
@@ -152,6 +157,24 @@ class Model:
         self.weights = w
         d = (self.code[:, None, :] != self.code[None, :, :]).sum(2) + 10_000 * np.eye(len(langs), dtype=int)
         self.distance = int(d.min()) if len(langs) > 1 else 0
+        #: per language and bit the weight in decoding; a language's weights have mean 1
+        self.trust = np.ones(self.code.shape)
+
+    def weigh(self, right: np.ndarray, texts: np.ndarray) -> None:
+        """Set ``trust`` from how many of each language's ``texts`` each bit got ``right`` (one right and one wrong added)."""
+        share = (right + 1) / (texts[:, None] + 2)
+        self.trust = share / share.mean(1, keepdims=True)
+
+    def margins(self, t: Texts) -> np.ndarray:
+        """The bits' log-odds for every text, as much as ``EVIDENCE`` independent n-grams would give."""
+        margin = np.zeros((t.n, self.code.shape[1]))
+        used = np.zeros(t.n)
+        for g in _grams(t):
+            used += np.diff(np.concatenate([[0], np.cumsum(g != BUCKETS)])[t.off])
+            for a, b in self._steps(t):
+                piece = _Window(t, a, b)
+                margin[a:b] += _per_text(piece, self.weights[g[t.off[a]:t.off[b]]])
+        return margin / np.maximum(used, 1)[:, None] * np.minimum(used, EVIDENCE)[:, None]
 
     def predict(self, t: Texts) -> tuple[list[str], np.ndarray, np.ndarray]:
         """Language, score and ambiguity of every text of a slice."""
@@ -161,16 +184,9 @@ class Model:
         lettered = _lettered(t)
         if len(self.langs) == 1:
             return [self.langs[0] if x else "und" for x in lettered], lettered.astype(float), ~lettered
-        margin = np.zeros((n, self.code.shape[1]))
-        used = np.zeros(n)
-        for g in _grams(t):
-            used += np.diff(np.concatenate([[0], np.cumsum(g != BUCKETS)])[t.off])
-            for a, b in self._steps(t):
-                piece = _Window(t, a, b)
-                margin[a:b] += _per_text(piece, self.weights[g[t.off[a]:t.off[b]]])
-        z = margin / np.maximum(used, 1)[:, None] * np.minimum(used, EVIDENCE)[:, None]
+        z = self.margins(t)
         sign = 2.0 * self.code - 1
-        loss = np.logaddexp(0, -z[:, None, :] * sign[None, :, :]).sum(2)
+        loss = (np.logaddexp(0, -z[:, None, :] * sign[None, :, :]) * self.trust[None, :, :]).sum(2)
         share = np.exp(loss.min(1, keepdims=True) - loss)
         share /= share.sum(1, keepdims=True)
         best = loss.argmin(1)
@@ -198,15 +214,49 @@ class _Window:
         self.off = t.off[a:b + 1] - t.off[a]
 
 
+def _hits(labelled: DataFrame, model: Model) -> DataFrame:
+    """(lang, bit, n): training texts of every language whose bit is predicted right; bit -1: all texts."""
+    shared = labelled.sparkSession.sparkContext.broadcast(model)
+
+    def run(batches):
+        m = shared.value
+        n_bits = m.code.shape[1]
+        right, of = np.zeros((len(m.langs), n_bits + 1), np.int64), {x: k for k, x in enumerate(m.langs)}
+        for batch in batches:
+            for part in slices(batch):
+                which = np.array([of[x] for x in part.column("lang").to_pylist()])
+                ok = (m.margins(Texts(part.column("text"))) > 0) == (m.code[which] == 1)
+                np.add.at(right, which, np.column_stack([ok, np.ones(which.size, bool)]))
+        lang, bit = np.nonzero(right)
+        yield pa.RecordBatch.from_arrays([pa.array([m.langs[k] for k in lang], pa.string()),
+                                          pa.array(np.where(bit == n_bits, -1, bit).astype(np.int32)), pa.array(right[lang, bit])],
+                                         ["lang", "bit", "n"])
+
+    return in_arrow(labelled.select("lang", "text"), run, "lang string, bit int, n long").groupBy("lang", "bit").agg(F.sum("n").alias("n"))
+
+
 def fit(labelled: DataFrame) -> Model:
     """A model from (lang, text) rows; rows without a label are left out."""
-    rows = gram_counts(labelled.filter(F.col("lang").isNotNull())).toPandas()
-    langs = sorted(rows["lang"].unique().tolist())
+    labelled = labelled.filter(F.col("lang").isNotNull())
+    found = labelled.select("lang").distinct().limit(MAX_LANGUAGES + 1).collect()
+    if len(found) > MAX_LANGUAGES:
+        raise ValueError(f"more than {MAX_LANGUAGES} languages")
+    rows = gram_counts(labelled).toPandas()
+    langs = sorted(r["lang"] for r in found)
     counts = np.zeros((len(langs), BUCKETS))
     if langs:
         where = {x: k for k, x in enumerate(langs)}
-        counts[rows["lang"].map(where).to_numpy(), rows["bucket"].to_numpy()] = rows["n"].to_numpy()
-    return Model(langs, counts)
+        counts[rows["lang"].map(where).to_numpy(int), rows["bucket"].to_numpy(int)] = rows["n"].to_numpy()
+    model = Model(langs, counts)
+    if len(langs) > 1:
+        right, texts = np.zeros(model.code.shape), np.zeros(len(langs))
+        for r in _hits(labelled, model).collect():  # languages x bits
+            if r["bit"] < 0:
+                texts[where[r["lang"]]] = r["n"]
+            else:
+                right[where[r["lang"]], r["bit"]] = r["n"]
+        model.weigh(right, texts)
+    return model
 
 
 def identify(docs: DataFrame, model: Model) -> DataFrame:

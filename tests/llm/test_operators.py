@@ -9,6 +9,7 @@ import zlib
 
 import llm_brute as brute
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from popstats.llm import chat, decontam, langid, lm, mixing, quality, sa_dedup, sharding, simhash, token_counts
@@ -450,6 +451,51 @@ def test_codewords_keep_their_distance():
         assert min(d) >= (1 if n == 2 else code.shape[1] // 4)
 
 
+def test_language_of_every_text_by_brute_force(spark):
+    """Counts, weights, margins, trust and loss-weighted decoding again, text by text."""
+    rng = random.Random(6)
+    syllables = {"a": ["ka", "lo", "mi"], "b": ["ka", "sch", "ung"], "c": ["eau", "lo", "que"]}
+    text = lambda x, n: " ".join("".join(rng.choices(syllables[x], k=3)) for _ in range(n))
+    data = [(i, "abc"[i % 3], text("abc"[i % 3], rng.randint(1, 30))) for i in range(120)]
+    new = [(500 + i, text("abc"[i % 3], 2) + " " + text("abc"[(i + i // 3) % 3], 2)) for i in range(60)]
+    frame = spark.createDataFrame(data, "doc_id long, lang string, text string").repartition(3)
+    got = {r.doc_id: r for r in langid.identify(spark.createDataFrame(new, "doc_id long, text string"), langid.fit(frame)).collect()}
+
+    grams = lambda x: np.concatenate([g[g != langid.BUCKETS] for g in langid._grams(langid.Texts(pa.array([x])))])
+    counts = {x: np.zeros(langid.BUCKETS) for x in "abc"}
+    for _, lang, t in data:
+        np.add.at(counts[lang], grams(t), 1)
+    p = {x: (c + langid.SMOOTHING) / (c + langid.SMOOTHING).sum() for x, c in counts.items()}
+    words = {x: langid.codewords(3)[k] for k, x in enumerate("abc")}
+    bits = range(len(words["a"]))
+    odds = []
+    for b in bits:
+        one, zero = ([p[x] for x in "abc" if words[x][b] == v] for v in (1, 0))
+        odds.append(np.log(sum(one) / len(one)) - np.log(sum(zero) / len(zero)))
+    margin = lambda t: [odds[b][grams(t)].mean() * min(len(grams(t)), langid.EVIDENCE) for b in bits]
+    trust = {}
+    for x in "abc":
+        own = [margin(t) for _, lang, t in data if lang == x]
+        share = [(1 + sum((m[b] > 0) == (words[x][b] == 1) for m in own)) / (len(own) + 2) for b in bits]
+        trust[x] = [s / (sum(share) / len(share)) for s in share]
+    for i, t in new:
+        m = margin(t)
+        loss = {x: sum(w * math.log1p(math.exp(-m[b] * (1 if words[x][b] else -1))) for b, w in zip(bits, trust[x])) for x in "abc"}
+        best = min("abc", key=loss.get)
+        score = math.exp(-loss[best]) / sum(math.exp(-v) for v in loss.values())
+        assert got[i].lang_pred == best and got[i].score == pytest.approx(score, abs=1e-4), (i, loss)
+    with pytest.raises(ValueError, match="languages"):
+        langid.fit(spark.range(langid.MAX_LANGUAGES + 1).selectExpr("cast(id as string) AS lang", "'x' AS text"))
+
+
+def test_shards_keep_columns_of_any_name(spark):
+    data = [(i, f"text {i}", i, 7, "was") for i in range(50)]
+    docs = spark.createDataFrame(data, "doc_id long, text string, _slot int, virtual_slot int, shard string")
+    got = sharding.with_shard(docs, 4)
+    assert got.columns == ["doc_id", "text", "_slot", "virtual_slot", "shard"]
+    assert sorted((r.doc_id, r._slot, r.virtual_slot) for r in got.collect()) == [(i, i, 7) for i in range(50)]
+
+
 def test_quality(docs, rows, empty):
     got = quality.quality_rules(docs, prior=5).collect()
     names = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed"]
