@@ -25,8 +25,9 @@ than ``min_chars`` normalised characters does not link unless it is a whole
 passage or paragraph, both as quoted and where it was written; pieces without
 letters or digits do not link; NULL conv_ids form one conversation; a NULL turn has no replies, replies to nothing and has an empty
 path; several rows with one (conv_id, turn) share their links and each keeps
-its own row; an empty table gives an empty result; other columns of any name
-are carried through.
+its own row; very long texts are taken whole; an empty table gives an empty result;
+other columns of any name are carried through, but those named like an added one
+(body, n_quoted, n_linked, reply_to, root_turn, depth, reply_path) are replaced.
 """
 
 from __future__ import annotations

@@ -20,7 +20,9 @@ third of the rows carry are spread over all slots.
 Edge cases: a NULL text has size 1 and crc32 0; NULL ids are ordered first;
 identical rows share a slot and take consecutive places; an empty table gives
 an empty result and a map with empty slots; a stored map of another number of
-slots is an error.
+slots is an error; very long texts are only measured and hashed; other columns
+of any name are carried by ``with_shard``, but for one named ``shard``, which is
+replaced.
 """
 
 from __future__ import annotations
@@ -38,9 +40,9 @@ N_SLOTS = 8192
 MAP_SCHEMA = "virtual_slot int, shard int, bytes long, version int"
 
 
-def slot_of(n_slots: int = N_SLOTS):
+def slot_of(n_slots: int = N_SLOTS, doc_id: str = "doc_id", text: str = "text"):
     """Virtual slot: 32 bits of the MD5 of doc_id and text, modulo ``n_slots``."""
-    key = F.concat(F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.lit("|"), F.coalesce("text", F.lit("")))
+    key = F.concat(F.coalesce(F.col(doc_id).cast("string"), F.lit("")), F.lit("|"), F.coalesce(text, F.lit("")))
     return (F.conv(F.substring(F.md5(key), 1, 8), 16, 10).cast("long") % n_slots).cast("int")
 
 
@@ -165,6 +167,8 @@ def shard_documents(docs: DataFrame, n_shards: int = 16, n_slots: int = N_SLOTS,
 def with_shard(docs: DataFrame, n_shards: int = 16, n_slots: int = N_SLOTS, map_path: str | None = None) -> DataFrame:
     """All columns of ``docs`` (one named ``shard`` is replaced) plus ``shard``; the text is never shuffled."""
     slot_map = stored_map(docs.sparkSession, slot_bytes(sized(docs, n_slots)), n_shards, n_slots, map_path)
-    m = slot_map.withColumnsRenamed({"virtual_slot": "_slot"})
-    return (docs.drop("shard", "_slot").withColumn("_slot", slot_of(n_slots))
-            .join(F.broadcast(m), "_slot").drop("_slot"))
+    names = docs.columns
+    safe = [f"_c{i}" for i in range(len(names))]  # an input column may have the name of one made here
+    of = dict(zip(names, safe))
+    rows = docs.toDF(*safe).withColumn("virtual_slot", slot_of(n_slots, of["doc_id"], of["text"]))
+    return assign(rows, slot_map).select(*[F.col(s).alias(n) for s, n in zip(safe, names) if n != "shard"], "shard")
