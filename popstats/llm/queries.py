@@ -345,3 +345,71 @@ def op12_branch_and_bound_repair(spark, sf_dir):
 
     given = load(spark, sf_dir, "conversations")
     return repaired(given, damaged(given))
+
+
+def _best(*ways: str) -> str:
+    """The least (cost, audit, text) of several, NULL ones left out."""
+    return f"list_min([{', '.join(ways)}])"
+
+
+def _after(state: str, cost: str, letter: str, line: str | None) -> str:
+    """A state's best after an edit: cost and letter added, and the line if one stays."""
+    text = f"{state}.t" if line is None else f"{state}.t || CASE WHEN {state}.t = '' THEN '' ELSE chr(10) END || {line}"
+    return f"CASE WHEN {state} IS NOT NULL THEN {{'c': {state}.c + {cost}, 'a': {state}.a || '{letter}', 't': {text}}} END"
+
+
+def _op12_sql() -> str:
+    """Shortest paths over (rows done, state): a recursion that carries the best (cost, audit, text) of the four states."""
+    keep = lambda q, initial: (f"CASE WHEN kind != 'forced' AND initial = '{initial}' THEN " + _after(q, "extra", "K", "role || ':' || text") + " END")
+    rerole = lambda q, role: "CASE WHEN kind != 'forced' THEN " + _after(q, "3 + extra", "R", f"'{role}:' || text") + " END"
+    user = [f(q) for q in ("s0", "s1", "s3") for f in (lambda q: keep(q, "u"), lambda q: rerole(q, "user"))]
+    states = {"x0": _after("s0", "4", "D", None), "x1": _best(_after("s1", "4", "D", None), keep("s0", "s")),
+              "x2": _best(_after("s2", "4", "D", None), *user),
+              "x3": _best(_after("s3", "4", "D", None), keep("s2", "a"), rerole("s2", "assistant"))}
+    insert2 = _best("x2", *(_after(q, "3", "I", "'user:'") for q in ("x0", "x1", "x3")))
+    insert3 = _best("x3", _after("s2", "3", "I", "'assistant:'"))
+    struct = "STRUCT(c BIGINT, a VARCHAR, t VARCHAR)"
+    return rf"""
+WITH RECURSIVE given AS (
+  SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+         hex(encode(coalesce(CAST(conv_id AS VARCHAR), ' ') || ':' || coalesce(CAST(turn AS VARCHAR), ' '))) AS h FROM conversations)
+, planted AS (
+  SELECT *, xor(list_reduce([4294967295::BIGINT] || list_transform(range(0, len(h) // 2), lambda i: CAST('0x' || substr(h, 2 * i + 1, 2) AS BIGINT)),
+                            lambda c, b: xor(c // 256, steps[xor(c % 256, b) + 1])), 4294967295::BIGINT) % 20 AS fault
+  FROM given, (SELECT {_crc32_table()} AS steps))
+, damaged AS (
+  SELECT conv_id, turn, CASE WHEN fault = 4 THEN 'user' ELSE role END AS role,
+         CASE WHEN fault = 1 THEN '' WHEN fault = 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text
+  FROM (SELECT *, unnest(range(CASE fault WHEN 0 THEN 0 WHEN 3 THEN 2 ELSE 1 END)) FROM planted))
+, ordered AS (
+  SELECT *, substr(role, 1, 1) AS initial, regexp_extract(text, '([^\x20\x09-\x0D])[\x20\x09-\x0D]*$', 1) AS last,
+         row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, md5(text)) AS k FROM damaged)
+, judged AS (
+  SELECT *, CASE WHEN NOT regexp_matches(text, '[^\x20\x09-\x0D]') THEN 'blank'
+                 WHEN row_number() OVER (PARTITION BY conv_id, role, text ORDER BY k) > 1 THEN 'duplicate'
+                 WHEN last NOT IN ('.', '!', '?') THEN 'truncated' ELSE 'sound' END AS state,
+         lag(initial) OVER (PARTITION BY conv_id ORDER BY k) AS before FROM ordered)
+, counted AS (
+  SELECT conv_id, CAST(coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS BIGINT) AS gaps, count(*) FILTER (WHERE state = 'blank') AS blank,
+         count(*) FILTER (WHERE state = 'duplicate') AS duplicate, count(*) FILTER (WHERE state = 'truncated') AS truncated,
+         count(*) FILTER (WHERE before || initial NOT IN ('su', 'ua', 'au')) AS illegal, max(k) AS n FROM judged GROUP BY conv_id)
+, steps AS (SELECT conv_id, k, role, text, initial, CASE WHEN state IN ('blank', 'duplicate') THEN 'forced' ELSE 'free' END AS kind,
+                   CASE WHEN state = 'truncated' THEN 3 ELSE 0 END AS extra FROM judged)
+, walk AS (
+  SELECT conv_id, 0::BIGINT AS k, {{'c': 0::BIGINT, 'a': '', 't': ''}}::{struct} AS s0, NULL::{struct} AS s1,
+         {{'c': 3::BIGINT, 'a': 'I', 't': 'user:'}}::{struct} AS s2, {{'c': 6::BIGINT, 'a': 'II', 't': 'user:' || chr(10) || 'assistant:'}}::{struct} AS s3
+  FROM (SELECT DISTINCT conv_id FROM conversations)
+  UNION ALL
+  SELECT conv_id, k, x0 AS s0, x1 AS s1, s2, {insert3} AS s3 FROM (
+    SELECT *, {insert2} AS s2 FROM (
+      SELECT w.conv_id, p.k, {", ".join(f"({x})::{struct} AS {name}" for name, x in states.items())}
+      FROM walk w JOIN steps p ON p.conv_id IS NOT DISTINCT FROM w.conv_id AND p.k = w.k + 1)))
+, ended AS (SELECT w.conv_id, CASE WHEN s0 <= s3 THEN s0 ELSE s3 END AS best FROM walk w LEFT JOIN counted c ON c.conv_id IS NOT DISTINCT FROM w.conv_id
+            WHERE w.k = coalesce(n, 0))
+SELECT e.conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate, coalesce(truncated, 0) AS truncated,
+       coalesce(illegal, 0) AS illegal, best.c AS cost, best.a AS audit, sha256(best.t) AS repaired_sha256
+FROM ended e LEFT JOIN counted c ON c.conv_id IS NOT DISTINCT FROM e.conv_id
+"""
+
+
+ORACLES["op12_branch_and_bound_repair"] = _op12_sql()
