@@ -6,6 +6,9 @@ documents and p_0 = 1 / (V + 1).  The weights of each bucket of context
 frequency (powers of two) are learned by expectation-maximisation on a
 held-out part of the training documents (fold ``EM_FOLD``), with the counts of
 the other part; the scores then use the counts of all training documents.
+Every bucket is learned with ``LEAN`` pseudo-tokens at the weights of all
+buckets together, so a bucket with few tokens stays near those and one with
+many follows its own; there is no size at which the rule changes.
 
 N-gram counts of all documents are exact (up to 56-bit fingerprints): every
 shard sends its distinct n-grams with their counts and gets the corpus counts
@@ -39,7 +42,7 @@ from popstats.llm.exchange import Shard, ask, groups, pack, ranges_for, read, se
 
 EM_FOLD = 0
 EM_ROUNDS = 60
-FEW = 200                 # buckets with fewer held-out tokens use the weights of all buckets
+LEAN = 200                # held-out tokens, at the weights of all buckets together, that every bucket is given besides its own
 FLOOR = 1e-4              # least weight of the uniform estimate
 _START, _END = U64(0x5851F42D4C957F2D), U64(0x14057B7EF767814F)
 _BINS_PER_OCTAVE = 8
@@ -138,22 +141,21 @@ def learn_weights(histogram: list[tuple], order: int, uniform: float, rounds: in
     bins = data[:, 1:-1]
     p = np.concatenate([np.full((len(data), 1), uniform), np.where(bins >= 0, 2.0 ** (-bins / _BINS_PER_OCTAVE), 0.0)], axis=1)
 
-    def em(rows: np.ndarray, start: np.ndarray) -> np.ndarray:
+    def em(rows: np.ndarray, start: np.ndarray, lean: int) -> np.ndarray:
         lam, n = start, data[rows, -1]
         for _ in range(rounds):
             part = p[rows] * lam
             total = part.sum(1, keepdims=True)
-            lam = (part / np.maximum(total, 1e-300) * n[:, None]).sum(0) / max(n.sum(), 1e-300)
+            own = (part / np.maximum(total, 1e-300) * n[:, None]).sum(0)
+            lam = (own + lean * start) / max(n.sum() + lean, 1e-300)
             lam = np.maximum(lam, np.r_[FLOOR, np.zeros(order)])
             lam /= lam.sum()
         return lam
 
-    everything = em(np.arange(len(data)), np.full(order + 1, 1 / (order + 1))) if len(data) else np.r_[1.0, np.zeros(order)]
+    everything = em(np.arange(len(data)), np.full(order + 1, 1 / (order + 1)), 0) if len(data) else np.r_[1.0, np.zeros(order)]
     out = np.tile(everything, (65, 1))
     for b in np.unique(data[:, 0]).astype(int) if len(data) else []:
-        rows = np.flatnonzero(data[:, 0] == b)
-        if data[rows, -1].sum() >= FEW:
-            out[b] = em(rows, everything)
+        out[b] = em(np.flatnonzero(data[:, 0] == b), everything, LEAN)
     return out
 
 

@@ -388,20 +388,19 @@ def check_lm(got, rows, order=2):
                 events[bucket(ctx[a])].append((1 / (v + 1), uni[b] / n, bi[a, b] / ctx[a] if ctx[a] else 0.0))
     every = [e for es in events.values() for e in es]
 
-    def em(p, lam):
-        p = np.array(p)
+    def em(p, start, lean):
+        p, lam = np.array(p), start
         for _ in range(lm.EM_ROUNDS):
             w = p * lam
-            lam = (w / np.maximum(w.sum(1, keepdims=True), 1e-300)).sum(0) / len(p)
+            lam = ((w / np.maximum(w.sum(1, keepdims=True), 1e-300)).sum(0) + lean * start) / (len(p) + lean)
             lam = np.maximum(lam, [lm.FLOOR, 0, 0])
             lam /= lam.sum()
         return lam
 
-    shared = em(every, np.full(3, 1 / 3))
+    shared = em(every, np.full(3, 1 / 3), 0)
     lam = collections.defaultdict(lambda: shared)
     for b, es in events.items():
-        if len(es) >= lm.FEW:
-            lam[b] = em(es, shared)
+        lam[b] = em(es, shared, lm.LEAN)
     uni, bi, ctx = counts(train)
     score = []
     for t in toks:
@@ -421,6 +420,14 @@ def test_lm_probabilities_sum_to_one():
     assert lam.shape == (65, 3) and np.allclose(lam.sum(1), 1) and (lam[:, 0] > 0).all()
 
 
+def test_lm_weights_lean_by_bucket_size():
+    """One rule at every size: a bucket moves from the common weights to its own without a jump as its tokens grow."""
+    big = [(3, 8, 80, 10**6)]
+    lam = [lm.learn_weights([*big, (1, 80, 8, n)], 2, 0.01)[1, 2] for n in (0, 1, 20, 199, 200, 201, 2000, 20_000)]
+    assert lam == sorted(lam) and lam[-1] > 0.9 > 0.1 > lam[0]
+    assert abs(lam[5] - lam[3]) < 0.01
+
+
 def test_language_id(spark, docs, empty):
     speech = {"en": "the and of that with have from which would there", "fr": "les des dans pour avec cette sont mais nous plus",
               "de": "und nicht eine werden auch nach einer durch wenn sich", "es": "los para como pero sobre entre cuando muy hasta donde",
