@@ -57,12 +57,13 @@ def mix(h: np.ndarray) -> np.ndarray:
 
 
 class Texts:
-    """Concatenated UTF-8 bytes of a slice of texts; NULL counts as empty."""
+    """Concatenated UTF-8 bytes of a slice of texts (strings, or bytes that may be part of one); NULL counts as empty."""
 
     def __init__(self, column, lower: bool = False):
         if isinstance(column, pa.ChunkedArray):
             column = column.combine_chunks()
-        column = pc.fill_null(column.cast(pa.large_string()), "")
+        raw_bytes = pa.types.is_binary(column.type) or pa.types.is_large_binary(column.type)
+        column = pc.fill_null(column.cast(pa.large_binary() if raw_bytes else pa.large_string()), b"" if raw_bytes else "")
         n = len(column)
         off = np.frombuffer(column.buffers()[1], np.int64, n + 1 + column.offset)[column.offset:]
         data = column.buffers()[2]

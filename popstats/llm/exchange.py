@@ -63,10 +63,11 @@ def _deltas(keys: np.ndarray) -> np.ndarray:
 
 
 class Shard:
-    """Documents of one shard: ids (with a mask of NULLs) and texts."""
+    """Documents of one shard: ids (with a mask of NULLs) and texts; for pieces of a cut text its row and their number."""
 
     def __init__(self, block: bytes):
-        self.ids, self.null, off, raw = undump(block)
+        self.ids, self.null, off, raw, *cut = undump(block)
+        self.row, self.piece = cut or (None, None)
         t = Texts(pa.array([], pa.string()))
         t.raw = t.buf = raw
         t.off, t.n = off, off.size - 1
@@ -76,10 +77,23 @@ class Shard:
         return pa.array(self.ids, pa.int64(), mask=self.null.astype(bool))
 
 
-def pack(docs: DataFrame, shard_bytes: int = SLICE_BYTES, apart: Callable | None = None) -> DataFrame:
+def _cut(rows: DataFrame, size: int, overlap: int) -> DataFrame:
+    """(doc_id, text as bytes, row, piece): texts over ``size`` bytes in pieces that share ``overlap`` bytes, row -1 for others."""
+    n = F.octet_length("text")
+    pieces = F.when(n > size, F.ceil((n - overlap) / (size - overlap))).otherwise(1).cast("int")
+    row = F.when(n > size, F.monotonically_increasing_id()).otherwise(-1)
+    part = F.substring("text", F.col("piece") * (size - overlap) + 1, F.lit(size))
+    return (rows.select("doc_id", F.coalesce("text", F.lit("")).cast("binary").alias("text"), row.alias("row"), pieces.alias("n"))
+            .select("doc_id", "text", "row", F.explode(F.sequence(F.lit(0), F.coalesce("n", F.lit(1)) - 1)).alias("piece"))
+            .select("doc_id", F.when(F.col("row") < 0, F.col("text")).otherwise(part).alias("text"), "row", "piece"))
+
+
+def pack(docs: DataFrame, shard_bytes: int = SLICE_BYTES, apart: Callable | None = None, overlap: int | None = None) -> DataFrame:
     """(shard, block): whole documents (doc_id as long, text), at most about ``shard_bytes`` of text a shard.
 
     ``apart(ids, null)`` tells which documents go into shards of their own; those shards have odd numbers.
+    With ``overlap`` a text longer than a shard is cut into pieces of a shard each, which share so many bytes
+    with the next one; then the pieces, and only they, stand in the shards with odd numbers.
     """
 
     def run(batches):
@@ -92,7 +106,8 @@ def pack(docs: DataFrame, shard_bytes: int = SLICE_BYTES, apart: Callable | None
             t = Texts(table.column("text"))
             ids = table.column("doc_id").combine_chunks()
             null = np.asarray(ids.is_null().to_numpy(zero_copy_only=False), np.uint8)
-            block = dump(ids.fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64), null, t.off, t.raw, level=3)
+            cut = [table.column(c).to_numpy() for c in ("row", "piece")] if overlap else []
+            block = dump(ids.fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64), null, t.off, t.raw, *cut, level=3)
             count += 1
             kinds[kind] = ([], 0)
             return pa.RecordBatch.from_arrays([pa.array([base + 2 * count + kind]), pa.array([block], pa.binary())], ["shard", "block"])
@@ -103,6 +118,8 @@ def pack(docs: DataFrame, shard_bytes: int = SLICE_BYTES, apart: Callable | None
                 own = np.zeros(both.num_rows, bool)
                 if apart is not None:
                     own = apart(ids.fill_null(0).to_numpy(zero_copy_only=False), np.asarray(ids.is_null().to_numpy(zero_copy_only=False)))
+                elif overlap:
+                    own = both.column("row").to_numpy() >= 0
                 for kind, rows in ((0, ~own), (1, own)):
                     if not rows.any():
                         continue
@@ -117,6 +134,8 @@ def pack(docs: DataFrame, shard_bytes: int = SLICE_BYTES, apart: Callable | None
                 yield flush(kind)
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    if overlap:
+        rows = _cut(rows, shard_bytes, overlap)
     return materialise(in_arrow(rows, run, "shard long, block binary"))
 
 

@@ -37,8 +37,11 @@ Edge cases: NULL and empty texts have nothing to remove; a document shorter
 than ``length`` is kept whole; documents with the same doc_id do not count as
 earlier for each other; NULL doc_ids count as later than all others and not
 earlier than each other; matches never cross documents; an empty table gives
-an empty result; other columns are not read.  A text longer than a shard is a
-shard of its own, and a task's memory is about 100 times its shard.
+an empty result; other columns are not read.  A text longer than a shard is
+cut into pieces of a shard each that share ``length - 1`` bytes, so every string
+stands in one piece; the removed ranges of its pieces are united at the end.  A
+task's memory is about 100 times its shard, and a few times one whole text where
+a cut text is put together again.
 """
 
 from __future__ import annotations
@@ -182,16 +185,39 @@ def _runs(covered: np.ndarray, t: Texts):
     return edge[keep], end[keep], t.text_of(edge[keep])
 
 
+def _ranges(t: Texts, a: np.ndarray, b: np.ndarray, of: np.ndarray) -> pa.ListArray:
+    """Per text, its runs as places in it."""
+    base = t.off[of]
+    return pa.ListArray.from_arrays(
+        pa.array(np.searchsorted(of, np.arange(t.n + 1)), pa.int32()),
+        pa.StructArray.from_arrays([pa.array(a - base), pa.array(b - base)], ["start", "end"]))
+
+
+def _digests(ids, t: Texts, covered: np.ndarray) -> pa.Table:
+    """The result rows of texts whose removed bytes are known."""
+    a, b, of = _runs(covered, t)
+    n_spans = np.bincount(of, minlength=t.n)
+    n_removed = np.bincount(of, weights=b - a, minlength=t.n).astype(np.int64)
+    sha = []
+    for i in range(t.n):
+        x, y = t.off[i], t.off[i + 1]
+        kept = t.raw[x:y] if not n_spans[i] else t.raw[x:y][~covered[x:y]]
+        sha.append(hashlib.sha256(kept.tobytes()).hexdigest())
+    return pa.table({"doc_id": ids, "n_bytes": pa.array(t.lengths()), "n_removed": pa.array(n_removed),
+                     "n_spans": pa.array(n_spans.astype(np.int64)), "kept_sha256": pa.array(sha, pa.string()),
+                     "removed": _ranges(t, a, b, of)})
+
+
 _SCHEMA = ("doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, "
            "removed array<struct<start:long,end:long>>")
 
 
 def remove_repeats(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     """Per document: doc_id, n_bytes, n_removed, n_spans, kept_sha256 and the removed byte ranges."""
-    if length <= WIDTH:
-        raise ValueError(f"length must be above {WIDTH}")
+    if not WIDTH < length <= SHARD_BYTES:
+        raise ValueError(f"length must be above {WIDTH}, and no more than a shard")
     spark = docs.sparkSession
-    shards = pack(docs, SHARD_BYTES)
+    shards = pack(docs, SHARD_BYTES, overlap=length - 1)
     log2 = ranges_for(shards, SHARDS_PER_RANGE)
 
     def emit_parse(shard: Shard):
@@ -204,7 +230,7 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH) -> DataFrame:
             s = Suffixes(p, Triggers(p, ids), ids, answers[PARSE][0], length)
             yield DICTIONARY, s.keys, [s.least]
 
-    def finish(shard: Shard, answers) -> pa.Table:
+    def covered(shard: Shard, answers) -> np.ndarray:
         t = shard.texts
         delta = np.zeros(t.buf.size + 1, np.int32)
         if PARSE in answers:
@@ -225,25 +251,36 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH) -> DataFrame:
                 where = p.first[s.at][owner][hit] + step[hit]
                 np.add.at(delta, where, 1)
                 np.add.at(delta, where + length, -1)
-        covered = np.cumsum(delta[:-1]) > 0
-        a, b, of = _runs(covered, t)
-        n_spans = np.bincount(of, minlength=t.n)
-        n_removed = np.bincount(of, weights=b - a, minlength=t.n).astype(np.int64)
-        per = np.searchsorted(of, np.arange(t.n + 1))
-        sha = []
-        for i in range(t.n):
-            x, y = t.off[i], t.off[i + 1]
-            kept = t.raw[x:y] if not n_spans[i] else t.raw[x:y][~covered[x:y]]
-            sha.append(hashlib.sha256(kept.tobytes()).hexdigest())
-        base = t.off[of]
-        ranges = pa.ListArray.from_arrays(
-            pa.array(per, pa.int32()), pa.StructArray.from_arrays([pa.array(a - base), pa.array(b - base)], ["start", "end"]))
-        return pa.table({"doc_id": shard.id_column(), "n_bytes": pa.array(t.lengths()), "n_removed": pa.array(n_removed),
-                         "n_spans": pa.array(n_spans.astype(np.int64)), "kept_sha256": pa.array(sha, pa.string()),
-                         "removed": ranges})
+        return np.cumsum(delta[:-1]) > 0
+
+    def finish(shard: Shard, answers) -> pa.Table:
+        return _digests(shard.id_column(), shard.texts, covered(shard, answers))
+
+    def finish_pieces(shard: Shard, answers) -> pa.Table:
+        t = shard.texts
+        ranges = _ranges(t, *_runs(covered(shard, answers), t))
+        return pa.table({"doc_id": shard.id_column(), "row": pa.array(shard.row, pa.int64()), "piece": pa.array(shard.piece, pa.int32()),
+                         "bytes": pa.array([t.bytes_of(i) for i in range(t.n)], pa.binary()), "removed": ranges})
+
+    step = SHARD_BYTES - (length - 1)
+
+    def whole(pieces: pa.Table) -> pa.Table:
+        pieces = pieces.sort_by("piece")
+        raw = [np.frombuffer(x.as_buffer(), np.uint8) for x in pieces["bytes"]]
+        t = Texts(pa.array([], pa.string()))
+        t.raw = t.buf = np.concatenate([x[:step] for x in raw[:-1]] + raw[-1:])
+        t.off, t.n = np.array([0, t.raw.size]), 1
+        gone = np.zeros(t.raw.size, bool)
+        for k, ranges in enumerate(pieces["removed"].to_pylist()):
+            for r in ranges:
+                gone[k * step + r["start"]:k * step + r["end"]] = True
+        return _digests(pieces["doc_id"].slice(0, 1), t, gone)
 
     parse = ask(send(shards, emit_parse, log2), _answer)
     release(spark)
     dictionary = ask(send_after(shards, parse, emit_dictionary, log2), _answer)
     release(spark)
-    return read(shards, parse.unionByName(dictionary), finish, _SCHEMA)
+    answers = parse.unionByName(dictionary)
+    rest, cut = ([x.filter(f"shard % 2 = {k}") for x in (shards, answers)] for k in (0, 1))
+    pieces = read(*cut, finish_pieces, "doc_id long, row long, piece int, bytes binary, removed array<struct<start:long,end:long>>")
+    return read(*rest, finish, _SCHEMA).unionByName(pieces.groupBy("row").applyInArrow(whole, _SCHEMA))

@@ -166,6 +166,33 @@ def test_remove_repeats_over_many_shards(spark, monkeypatch):
         assert (got[i].n_bytes, got[i].n_removed, got[i].n_spans, got[i].kept_sha256) == e
 
 
+def test_remove_repeats_of_texts_longer_than_a_shard(spark, monkeypatch):
+    """Long texts are cut into overlapping pieces: repeats across the cuts, repeated and NULL ids, letters of several bytes."""
+    rng = random.Random(12)
+    parts = ["".join(rng.choice("abc é漢") for _ in range(rng.randint(30, 400))) for _ in range(10)]
+    data = [(i, "".join(rng.choice(parts) for _ in range(rng.choice([1, 2, 3, 15, 40])))) for i in range(25)]
+    data += [(3, data[4][1]), (None, data[2][1] + data[4][1]), (None, data[2][1] + data[4][1]), (30, None), (31, ""), (32, parts[0] * 20)]
+    data += [(40 + n, "".join(rng.choice("xyz") for _ in range(n))) for n in (600, 601, 1151, 1152, 1153)]
+    monkeypatch.setattr(sa_dedup, "SHARD_BYTES", 600)
+    got = sa_dedup.remove_repeats(spark.createDataFrame(data, "doc_id long, text string").repartition(4)).collect()
+    assert sum(len((x or "").encode()) > 600 for _, x in data) > 15
+    assert bag((r.doc_id, r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in got) == bag(
+        (r[0], *e) for r, e in zip(data, brute.remove_repeats(data)))
+    for r in got:
+        assert sum(x.end - x.start for x in r.removed) == r.n_removed and len(r.removed) == r.n_spans
+
+
+def test_remove_repeats_of_a_text_of_several_mb(spark):
+    """One text of 6 MB beside copies of parts of it; nothing but those parts goes."""
+    rng = random.Random(13)
+    big = "".join(rng.choices("abcdefghijklmnopqrstuvwxyz ", k=6_000_000))
+    edge = sa_dedup.SHARD_BYTES
+    data = [(1, big[edge - 500:edge + 500]), (2, big), (3, big[5_000_000:5_000_100]), (4, "x" * 49)]
+    got = {r.doc_id: r for r in sa_dedup.remove_repeats(spark.createDataFrame(data, "doc_id long, text string")).collect()}
+    assert {k: (r.n_removed, r.n_spans) for k, r in got.items()} == {1: (0, 0), 2: (1000, 1), 3: (100, 1), 4: (0, 0)}
+    assert [(r.start, r.end) for r in got[2].removed] == [(edge - 500, edge + 500)] and got[2].n_bytes == 6_000_000
+
+
 def test_simhash(docs, rows, empty):
     prints = [brute.fingerprint(r[1]) for r in rows]
     comp = brute.hamming_components([r[0] for r in rows], prints)
