@@ -53,6 +53,11 @@ def _count_items(df: DataFrame, group: list[str], item: list[str], total: str) -
     return df.groupBy(*group, *item).agg(F.count(F.lit(1)).alias(total), F.max(null).alias("_null"))
 
 
+def _flag(cells: DataFrame) -> list[Column]:
+    """The flag of ``_count_items`` as a column of group totals, where ``cells`` has it."""
+    return [F.max("_null").alias("_any")] if "_null" in cells.columns else []
+
+
 def _order(total: str, tie_keys: Sequence[str], descending: bool = True) -> list[Column]:
     first = F.col(total).desc() if descending else F.col(total).asc()
     return [first] + [F.col(c).asc_nulls_last() for c in tie_keys]
@@ -132,7 +137,9 @@ def restrict_to_top_groups(cells: DataFrame, group: str, *, k: int = 10, total:
     way the shuffle of the counts is reused and the source is read once.
     """
     cells = cells.filter(F.col(group).isNotNull())  # an unknown group is never a top group
-    group_totals = cells.groupBy(group).agg(F.sum(total).alias(total))
+    group_totals = cells.groupBy(group).agg(F.sum(total).alias(total), *_flag(cells))
+    if "_any" in group_totals.columns:
+        group_totals = group_totals.filter(F.col("_any").isNotNull())  # keeps the flag, so both branches share the counts
     top_keys = top_groups(group_totals, group, k=k, ties=ties, total=total, counted=True).select(group)
     if ties == "first":
         top_keys = F.broadcast(top_keys)  # bounded: at most k rows

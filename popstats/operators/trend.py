@@ -83,21 +83,24 @@ def trend_eval(counts: DataFrame, *, year: str = "year", total: str = "total",
         from popstats.operators.sampling import key_draw
 
         marked = long.withColumn("_test", key_draw("year", seed) >= int((1 - test_fraction) * (1 << 60)))
-    fit = _fit(marked.filter(~F.col("_test")))
-    test = marked.filter(F.col("_test")).join(fit.select("model", "slope", "intercept"), "model")
-    resid = F.col("y") - (F.col("intercept") + F.col("slope") * F.col("index"))
-    scores = test.groupBy("model").agg(
+    # the training rows' line, beside every row: no join, so the counts are made and read once
+    models = Window.partitionBy("model")
+    train_y, test_y = F.when(~F.col("_test"), F.col("y")), F.when(F.col("_test"), F.col("y"))
+    beside = (marked.withColumn("slope", F.regr_slope(train_y, F.col("index")).over(models))
+              .withColumn("intercept", F.regr_intercept(train_y, F.col("index")).over(models)))
+    resid = test_y - (F.col("intercept") + F.col("slope") * F.col("index"))
+    scores = beside.groupBy("model", "slope", "intercept").agg(
         F.sum(resid * resid).alias("_sse"),
-        (F.var_pop("y") * F.count(F.lit(1))).alias("_sst"),
-        F.count(F.lit(1)).alias("n_test"),
+        (F.var_pop(test_y) * F.count(test_y)).alias("_sst"),
+        F.count(train_y).alias("n_train"),
+        F.count(test_y).alias("n_test"),
     )
-    return (fit.join(scores, "model", "left")
+    return (scores.filter(F.col("n_train") > 0)
             .select("model",
                     F.round("slope", digits).alias("slope"),
                     F.round("intercept", digits).alias("intercept"),
                     F.round(1 - F.col("_sse") / F.nullif(F.col("_sst"), F.lit(0.0)), digits).alias("r2"),
-                    F.col("n").alias("n_train"),
-                    F.coalesce(F.col("n_test"), F.lit(0)).alias("n_test")))
+                    "n_train", "n_test"))
 
 
 def next_year_forecast(counts: DataFrame, *, year: str = "year", total: str = "total",
