@@ -3,7 +3,7 @@ from __future__ import annotations
 import datetime as dt
 
 import pytest
-from conftest import plan_text, rows
+from conftest import SF_SMALL, plan_text, rows
 from pyspark.sql import functions as F
 
 from popstats.operators import ranking
@@ -129,3 +129,10 @@ def test_extreme_rows_null_group_and_no_group(spark):
     assert rows(ranking.extreme_rows(df, None, "v", ascending=False)) == [("a", 5)]
     empty = spark.createDataFrame([(None, None)], "g string, v int")
     assert ranking.extreme_rows(empty, "g", "v").count() == 0
+
+
+def test_rank_within_topk_reads_its_source_once(spark):
+    df = spark.read.parquet(f"{SF_SMALL}/events.parquet").select("user_id", "event_type")
+    out = ranking.rank_within_topk(df, "user_id", "event_type", k_groups=5, k_items=2)
+    out.collect()
+    assert plan_text(out).split("Initial Plan")[0].count("FileScan") == 1

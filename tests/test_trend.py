@@ -1,7 +1,9 @@
 from __future__ import annotations
 
+import hashlib
 import math
 
+import numpy as np
 import pytest
 
 from popstats.operators import trend
@@ -60,3 +62,26 @@ def test_forecast_single_model(spark):
     df = _yearly(spark, [(2000 + i, 100 + 5 * i) for i in range(10)])
     out = [tuple(r) for r in trend.next_year_forecast(df, model="linear").collect()]
     assert out == [("linear", 2010, 150.0)]
+
+
+def test_trend_eval_hash_split_against_least_squares(spark):
+    """The line of the training years alone, scored on the others; a year without births has no logarithm."""
+    pairs = [(1900 + i, (i * i * 37) % 101) for i in range(80)]
+    out = {r.model: r for r in trend.trend_eval(_yearly(spark, pairs), split="hash", seed=2020).collect()}
+    held = {y: int(hashlib.md5(f"{y}:2020".encode()).hexdigest()[:15], 16) >= int((1 - 0.2) * (1 << 60)) for y, _ in pairs}
+    for model, value in (("linear", float), ("log", math.log)):
+        rows = [(y - 1900, value(t), held[y]) for y, t in pairs if t > 0 or model == "linear"]
+        train, test = ([(x, v) for x, v, h in rows if h == k] for k in (False, True))
+        slope, intercept = np.polyfit(*zip(*train), 1)
+        mean = sum(v for _, v in test) / len(test)
+        r2 = 1 - sum((v - intercept - slope * x) ** 2 for x, v in test) / sum((v - mean) ** 2 for _, v in test)
+        r = out[model]
+        assert (r.n_train, r.n_test) == (len(train), len(test))
+        assert (r.slope, r.intercept, r.r2) == pytest.approx((slope, intercept, r2), abs=1e-6)
+
+
+@pytest.mark.parametrize("fraction, sizes", [(0.0, (10, 0)), (1.0, None)])
+def test_trend_eval_without_test_or_training_years(spark, fraction, sizes):
+    df = _yearly(spark, [(2000 + i, 3 * i + 7) for i in range(10)])
+    out = trend.trend_eval(df, test_fraction=fraction).collect()
+    assert [(r.n_train, r.n_test, r.r2) for r in out] == ([] if sizes is None else [(*sizes, None)] * 2)
