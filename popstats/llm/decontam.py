@@ -14,10 +14,12 @@ give its longest verbatim match (of several, the first item's).
 
 Scale: the documents are neither shuffled nor sorted globally, and a shard's
 memory is bounded.  The benchmark is sent to the tasks in blocks of at most
-about ``block_bytes`` (hashed by item, sized before they are collected); more
-blocks mean more passes over a batch while it is in memory, and the hit
-words of the blocks are united per row.  Ship one block's size in driver
-memory, never the whole of a large benchmark.
+about ``block_bytes`` (hashed by item, sized before they are collected).
+Every block but the first is a pass of its own, whose findings are written to
+the checkpoint folder by the digest of the text; equal texts have equal
+findings.  They are joined to the documents by that digest (broadcast where
+they are at most ``block_bytes``) and united with those of the first block.
+The driver and a task hold one block at a time, never a whole large benchmark.
 
 Edge cases: a NULL or empty text (either table) has no words and no windows;
 an item with fewer words than the window is one window; a NULL item_id
@@ -33,7 +35,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from popstats.llm._spark import in_arrow
+from popstats.llm._spark import in_arrow, materialise
 from popstats.llm._text import U64, WORD_ALNUM, Texts, chain, range_hash, slices
 
 WINDOW = 13
@@ -152,6 +154,7 @@ def _whole_order(ids: np.ndarray, left: np.ndarray) -> np.ndarray:
             break
     return rank
 
+
 def _gram(ids: np.ndarray, at: np.ndarray, g: int) -> np.ndarray:
     return chain(*(ids[np.minimum(at + k, ids.size - 1)].astype(U64) for k in range(g)), np.full(at.size, g, U64))
 
@@ -359,15 +362,48 @@ def _blocks(benchmark: DataFrame, block_bytes: int):
         yield [(r["i"], r["x"]) for r in rows.collect()]
 
 
+def _schema(keep: dict[str, str]) -> str:
+    return ", ".join([*(f"`{n}` {t}" for n, t in keep.items()), *(f"{n} {t}" for n, t, _ in _RESULT)])
+
+
+def _found(rows: DataFrame, items: list[tuple[str, str]], text: str, window: int) -> DataFrame:
+    """What one block finds, per distinct text (``_key``, its digest) that has anything of it."""
+    keyed = rows.select(F.sha2(F.col(text), 256).alias("_key"), F.col(text).alias("_text"))
+    found = in_arrow(keyed, _pass(items, ["_key"], "_text", window, False), _schema({"_key": "string"}))
+    return materialise(found.drop("_n_words").filter(F.col("_longest").isNotNull() | (F.size("_items") > 0))
+                       .dropDuplicates(["_key"]), narrow=True)
+
+
+def _with_found(rows: DataFrame, found: list[DataFrame], text: str, block_bytes: int) -> DataFrame:
+    """``rows`` with the findings of several blocks as ``_hits`` (runs may overlap), ``_items`` and ``_longest``."""
+    union = found[0]
+    for f in found[1:]:
+        union = union.unionByName(f)
+    longest = F.when(F.col("_longest").isNotNull(), F.struct(-F.col("_longest.n_words"), "_longest.item_id", "_longest.start"))
+    # a text has at most one row per block
+    per_text = materialise(union.groupBy("_key").agg(
+        F.flatten(F.collect_list("_hits")).alias("_hits"), F.flatten(F.collect_list("_items")).alias("_items"),
+        F.min_by("_longest", longest).alias("_longest")), narrow=True)
+    item_bytes = F.aggregate("_items", F.lit(0).cast("long"), lambda n, i: n + F.octet_length(i) + 16)
+    size = per_text.agg(F.sum(F.size("_hits") * 16 + item_bytes + 256)).first()[0] or 0
+    joined = rows.withColumn("_key", F.sha2(F.col(text), 256)).join(
+        F.broadcast(per_text) if size <= block_bytes else per_text, "_key", "left")
+    for name, kind, _ in _RESULT[1:3]:
+        joined = joined.withColumn(name, F.coalesce(name, F.array().cast(kind)))
+    return joined
+
+
 def scan(docs: DataFrame, benchmark: DataFrame, keep: list[str], text: str = "text", window: int = WINDOW,
          block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """The ``keep`` columns and, per row, ``_n_words``, hit word runs ``_hits``, ``_items`` and the ``_longest`` match."""
     types = {f.name: f.dataType.simpleString() for f in docs.select(*dict.fromkeys([*keep, text])).schema.fields}
-    out = docs.select(*types)
-    for k, items in enumerate(_blocks(benchmark, block_bytes)):
-        schema = ", ".join([*(f"`{n}` {t}" for n, t in types.items()), *(f"{n} {t}" for n, t, _ in _RESULT)])
-        out = in_arrow(out, _pass(items, list(types), text, window, k > 0), schema)
-    return out.select(*keep, *(n for n, _, _ in _RESULT))
+    rows = docs.select(*types)
+    blocks = _blocks(benchmark, block_bytes)
+    first = next(blocks)
+    found = [_found(rows, items, text, window) for items in blocks]
+    out = _with_found(rows, found, text, block_bytes) if found else rows
+    return (in_arrow(out, _pass(first, list(types), text, window, bool(found)), _schema(types))
+            .select(*keep, *(n for n, _, _ in _RESULT)))
 
 
 def _n_hit():

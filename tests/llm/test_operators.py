@@ -108,6 +108,14 @@ def test_contamination(spark, docs, rows, empty, block_bytes):
     assert decontam.contamination(empty, bench).collect() == []
 
 
+def test_every_benchmark_block_is_a_pass_of_its_own(spark, docs):
+    """The final plan holds one block of items, whatever the number of blocks; the others are read as findings."""
+    bench = spark.createDataFrame(ITEMS, "item_id long, text string")
+    assert len(list(decontam._blocks(bench, 120))) > 2
+    plan = decontam.contamination(docs, bench, block_bytes=120)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("MapInArrow") == 1
+
+
 def test_longest_match(spark):
     item = " ".join(f"w{i}" for i in range(40))
     text = "Début w1 w2 w3 zz " + " ".join(f"W{i}" for i in range(5, 35)) + ", end"
