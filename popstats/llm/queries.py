@@ -295,12 +295,16 @@ def _crc32_table() -> str:
     return "[" + ", ".join(map(str, out)) + "]::BIGINT[]"
 
 
-# crc32 byte by byte; slots, heaviest first, each to the lightest shard (a recursion over the non-empty slots)
+# identical rows are numbered; crc32 byte by byte; slots, heaviest first, each to the lightest shard (a recursion over the
+# non-empty slots)
 ORACLES["op4_virtual_slot_sharding"] = f"""
-WITH RECURSIVE d AS (
-  SELECT doc_id, coalesce(text, '') AS t, hex(encode(coalesce(text, ''))) AS h,
-         CAST(CAST('0x' || substr(md5(concat(coalesce(CAST(doc_id AS VARCHAR), ''), '|', coalesce(text, ''))), 1, 8) AS BIGINT)
-              % 8192 AS INTEGER) AS virtual_slot FROM documents)
+WITH RECURSIVE m AS (
+  SELECT doc_id, coalesce(text, '') AS t, md5(concat(coalesce(CAST(doc_id AS VARCHAR), ''), '|', coalesce(text, ''))) AS digest,
+         row_number() OVER (PARTITION BY doc_id, coalesce(text, '')) - 1 AS copy FROM documents)
+, d AS (
+  SELECT doc_id, t, hex(encode(t)) AS h,
+         CAST(CAST('0x' || substr(CASE WHEN copy = 0 THEN digest ELSE md5(concat(digest, '|', copy)) END, 1, 8) AS BIGINT)
+              % 8192 AS INTEGER) AS virtual_slot FROM m)
 , r AS (SELECT doc_id, virtual_slot, CAST(len(h) // 2 + 1 AS BIGINT) AS size,
                xor(list_reduce([4294967295::BIGINT] || list_transform(range(0, len(h) // 2),
                      lambda i: CAST('0x' || substr(h, 2 * i + 1, 2) AS BIGINT)),

@@ -18,8 +18,9 @@ than one slot.  The hash covers doc_id and text, so NULL ids or an id that a
 third of the rows carry are spread over all slots.
 
 Edge cases: a NULL text has size 1 and crc32 0; NULL ids are ordered first;
-identical rows share a slot and take consecutive places; an empty table gives
-an empty result and a map with empty slots; a stored map of another number of
+identical rows are numbered and their copies spread over the slots by
+``shard_documents``, however many (``with_shard``, whose rows may differ in other
+columns, leaves them in one slot); an empty table gives an empty result and a map with empty slots; a stored map of another number of
 slots is an error; very long texts are only measured and hashed; other columns
 of any name are carried by ``with_shard``, but for one named ``shard``, which is
 replaced.
@@ -37,21 +38,48 @@ from pyspark.sql import functions as F
 from popstats.llm._spark import shared_dir
 
 N_SLOTS = 8192
+COPIES = 1 << 16
 MAP_SCHEMA = "virtual_slot int, shard int, bytes long, version int"
 
 
+def _digest(doc_id: str = "doc_id", text: str = "text"):
+    return F.md5(F.concat(F.coalesce(F.col(doc_id).cast("string"), F.lit("")), F.lit("|"), F.coalesce(text, F.lit(""))))
+
+
+def _slot(digest, n_slots: int):
+    return (F.conv(F.substring(digest, 1, 8), 16, 10).cast("long") % n_slots).cast("int")
+
+
 def slot_of(n_slots: int = N_SLOTS, doc_id: str = "doc_id", text: str = "text"):
     """Virtual slot: 32 bits of the MD5 of doc_id and text, modulo ``n_slots``."""
-    key = F.concat(F.coalesce(F.col(doc_id).cast("string"), F.lit("")), F.lit("|"), F.coalesce(text, F.lit("")))
-    return (F.conv(F.substring(F.md5(key), 1, 8), 16, 10).cast("long") % n_slots).cast("int")
+    return _slot(_digest(doc_id, text), n_slots)
+
+
+def _measures():
+    return ["doc_id", (F.coalesce(F.octet_length("text"), F.lit(0)) + 1).cast("long").alias("size"),
+            F.crc32(F.encode(F.coalesce("text", F.lit("")), "UTF-8")).cast("long").alias("text_crc32")]
 
 
 def sized(docs: DataFrame, n_slots: int = N_SLOTS) -> DataFrame:
-    """doc_id, size, text_crc32, virtual_slot of every record."""
-    return docs.select(
-        "doc_id", (F.coalesce(F.octet_length("text"), F.lit(0)) + 1).cast("long").alias("size"),
-        F.crc32(F.encode(F.coalesce("text", F.lit("")), "UTF-8")).cast("long").alias("text_crc32"),
-        slot_of(n_slots).alias("virtual_slot"))
+    """doc_id, size, text_crc32, virtual_slot of every record; identical records share a slot."""
+    return docs.select(*_measures(), slot_of(n_slots).alias("virtual_slot"))
+
+
+def spread(docs: DataFrame, n_slots: int = N_SLOTS) -> DataFrame:
+    """``sized``, but identical records are numbered, and every copy after the first has a slot of its own number.
+
+    The copies are counted first (partial aggregation), then made again from
+    their count in blocks of ``COPIES``, so no task gathers them.
+    """
+    key = ["doc_id", "size", "text_crc32", "digest"]
+    counted = docs.select(*_measures(), _digest().alias("digest")).groupBy(*key).agg(F.count(F.lit(1)).alias("n"))
+    last = F.col("n") - 1
+    blocks = counted.select(*key, "n", F.explode(F.sequence(F.lit(0).cast("long"), F.floor(last / COPIES))).alias("block"))
+    start = F.col("block") * COPIES
+    copies = blocks.select(*key, F.explode(F.sequence(start, F.least(last, start + COPIES - 1))).alias("copy"))
+    again = F.md5(F.concat_ws("|", "digest", F.col("copy").cast("string")))
+    return copies.select("doc_id", "size", "text_crc32",
+                         _slot(F.when(F.col("copy") == 0, F.col("digest")).otherwise(again), n_slots).alias("virtual_slot"))
 
 
 def slot_bytes(records: DataFrame) -> dict[int, int]:
@@ -157,7 +185,7 @@ def placed(records: DataFrame) -> DataFrame:
 
 def shard_documents(docs: DataFrame, n_shards: int = 16, n_slots: int = N_SLOTS, map_path: str | None = None) -> DataFrame:
     """Per document: doc_id, size, text_crc32, law, shard, slot, grown_shard and its virtual slot (law ``bytes``)."""
-    records = sized(docs, n_slots)
+    records = spread(docs, n_slots)
     slot_map = stored_map(docs.sparkSession, slot_bytes(records), n_shards, n_slots, map_path)
     return placed(assign(records, slot_map)).select(
         "doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot",

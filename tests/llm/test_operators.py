@@ -7,12 +7,14 @@ import math
 import random
 import zlib
 
+import duckdb
 import llm_brute as brute
 import numpy as np
 import pyarrow as pa
 import pytest
 
 from popstats.llm import chat, decontam, langid, lm, mixing, quality, sa_dedup, sharding, simhash, token_counts
+from popstats.llm.queries import ORACLES
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, fp long, shard string, n_words string, _size int"
 ITEMS = [(0, "The quick brown fox jumps over the lazy dog while seven wise owls watch from a tall tree"),
@@ -278,6 +280,28 @@ def test_sharding(docs, rows, empty, scratch, spark):
     assert sharding.shard_documents(empty).collect() == [] and sharding.with_shard(empty).collect() == []
 
 
+def test_identical_rows_are_spread_over_shards(spark, monkeypatch):
+    """A third of the rows being identical leaves the shards equal; every row is there, and the query's SQL agrees."""
+    rng = random.Random(9)
+    other = [(i, "y" * rng.randint(1, 300)) for i in range(4000)]
+    data = [*other, *[(7, "same " * 40)] * 2000, *[(None, None)] * 50, *[(None, "")] * 3]
+    docs = spark.createDataFrame(data, "doc_id long, text string")
+    for copies in (sharding.COPIES, 7):
+        monkeypatch.setattr(sharding, "COPIES", copies)
+        got = sharding.shard_documents(docs, 16).drop("virtual_slot").collect()
+        load = collections.Counter()
+        for r in got:
+            load[r.shard] += r["size"]
+        assert len(load) == 16 and max(load.values()) <= 1.02 * min(load.values())
+        assert bag((r.doc_id, r["size"]) for r in got) == bag((i, len(t or "") + 1) for i, t in data)
+        for s in load:
+            assert sorted(r.slot for r in got if r.shard == s) == list(range(sum(r.shard == s for r in got)))
+    con = duckdb.connect()
+    con.register("documents", pa.table({"doc_id": pa.array([i for i, _ in data], pa.int64()), "text": [t for _, t in data]}))
+    expect = con.execute(f"SELECT doc_id, size, text_crc32, law, shard, slot, grown_shard FROM ({ORACLES['op4_virtual_slot_sharding']})")
+    assert bag(map(tuple, got)) == bag(expect.fetchall())
+
+
 def test_slot_maps(spark, scratch):
     rng = random.Random(1)
     weights = {k: rng.randint(1, 1000) for k in range(512)}
