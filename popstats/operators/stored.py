@@ -20,10 +20,11 @@ from pyspark.sql import functions as F
 
 from popstats.operators.encoding import encode, vocabulary, widths
 from popstats.operators.features import dense_index
-from popstats.operators.label_tree import INTERCEPT, LabelTree
+from popstats.operators.label_tree import FREQUENT, INTERCEPT, LabelTree
 from popstats.session import cut_lineage
 
 _TABLES = ("vocab", "classes", "weights")
+WEIGHTS_AT_ONCE = 4_000_000  # of a counted model, in one bucket
 
 
 def fit_counts(train: DataFrame, features: Sequence[str], label: str, key: str, *, smooth: float = 1.0, class_limit: int = 10_000) -> LabelTree:
@@ -50,10 +51,20 @@ def fit_counts(train: DataFrame, features: Sequence[str], label: str, key: str,
     whose = (F.col("feature") >= F.col("offset")) & (F.col("feature") < F.col("offset") + F.col("places"))
     weight = F.array(*[F.log((F.coalesce(F.col("held")[F.lit(c).cast("long")], F.lit(0)) + smooth) / (n + smooth * F.col("places")))
                        for c, n in enumerate(sizes)])
-    none = (F.lit(0).alias("model"), F.lit(0).alias("level"), F.lit(0).cast("long").alias("node"))
     prior = F.array(*[F.lit(math.log(n / sum(sizes))) for n in sizes])
-    weights = every.join(p, whose).select(*none, "feature", weight.alias("w")).unionByName(
-        train.sparkSession.range(1).select(*none, F.lit(INTERCEPT).cast("long").alias("feature"), prior.alias("w")))
+    # about WEIGHTS_AT_ONCE weights a bucket; a column's first values, its keep place and the prior are in bucket 0
+    n_places = place.agg(F.sum(F.col("size") + 1).alias("n")).first()["n"]
+    n_buckets = 1 if n_places * len(sizes) <= WEIGHTS_AT_ONCE else 1 + math.ceil(n_places * len(sizes) / WEIGHTS_AT_ONCE)
+    index = F.col("feature") - F.col("offset")
+    dealt = F.when((F.lit(n_buckets) == 1) | (index < FREQUENT) | (index >= F.col("places") - 1), F.lit(0)).otherwise(1 + F.col("feature") % max(n_buckets - 1, 1))
+
+    def blocks(rows: DataFrame, feature, bucket, w) -> DataFrame:
+        return rows.select(F.lit(0).alias("model"), F.lit(0).alias("level"), F.lit(0).cast("long").alias("node"),
+                           F.lit(n_buckets).cast("long").alias("buckets"), bucket.cast("long").alias("bucket"),
+                           F.array(feature.cast("long")).alias("features"), F.array(F.lit(0)).alias("at"), w.alias("w"))
+
+    weights = blocks(every.join(p, whose), F.col("feature"), dealt, weight).unionByName(
+        blocks(train.sparkSession.range(1), F.lit(INTERCEPT), F.lit(0), prior))
     return LabelTree(vocab, classes.select("value", "class"), cut_lineage(weights), features, [0.0], 1, len(sizes))
 
 
